@@ -16,13 +16,13 @@ from pyspark.sql import functions as F
 
 from pairlore import (
     accepted_bigrams,
+    bigrams_of_text,
     by_second_word,
     by_words_nulls_first,
     collocations,
     collocations_from,
     contingency,
     count_facts,
-    count_pairs,
     decade_totals,
     default_stop_words,
     first_word_counts,
@@ -75,6 +75,12 @@ def doc_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngrams_from_text(_documents(spark, sf_dir), "text", year, "doc_id")
 
 
+def doc_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same bigrams uncounted; every count over them is the same."""
+    year = 1950 + F.col("doc_id") % 60
+    return bigrams_of_text(_documents(spark, sf_dir), "text", year)
+
+
 def part_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
@@ -93,16 +99,13 @@ def part_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def english_only_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+def english_only_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All document bigrams, counting English texts only: the others have count 0."""
     documents = _documents(spark, sf_dir, "lang")
     year = 1950 + F.col("doc_id") % 60
-    everything = ngrams_from_text(documents, "text", year, "doc_id")
-    english = ngrams_from_text(documents.where("lang = 'en'"), "text", year, "doc_id")
-    columns = ["ngram", "year", "match_count"]
-    return english.select(columns).unionByName(
-        everything.withColumn("match_count", F.lit(0).cast("bigint")).select(columns)
-    )
+    bigrams = bigrams_of_text(documents, "text", year, "lang")
+    english = F.when(F.col("lang") == "en", F.col("match_count")).otherwise(F.lit(0))
+    return bigrams.select("w1", "w2", "year", english.alias("match_count"))
 
 
 def _shared_folder(spark: SparkSession) -> str:
@@ -120,7 +123,7 @@ def _rounded(table: DataFrame, *columns: str) -> DataFrame:
 # ------------------------------------------------------------------------------ queries
 def q_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job on documents, through stage tables."""
-    stages = write_stages(doc_ngrams(spark, sf_dir), _shared_folder(spark))
+    stages = write_stages(doc_bigrams(spark, sf_dir), _shared_folder(spark))
     return _rounded(collocations_from(stages, *DOC_THRESHOLDS), "npmi")
 
 
@@ -143,7 +146,7 @@ def q_collocations_rel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_collocations_exact_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ngrams = doc_ngrams(spark, sf_dir)
+    ngrams = doc_bigrams(spark, sf_dir)
     return _rounded(collocations(ngrams, *DOC_THRESHOLDS, stopword_mode="exact"), "npmi")
 
 
@@ -153,7 +156,7 @@ def q_collocations_sum_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_collocations_with_perfect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ngrams = doc_ngrams(spark, sf_dir)
+    ngrams = doc_bigrams(spark, sf_dir)
     return _rounded(collocations(ngrams, *DOC_THRESHOLDS, include_perfect=True), "npmi")
 
 
@@ -187,7 +190,7 @@ def q_stopword_exact_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_pair_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pair_counts(doc_ngrams(spark, sf_dir))
+    return pair_counts(doc_bigrams(spark, sf_dir))
 
 
 def q_pair_counts_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,15 +198,15 @@ def q_pair_counts_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_first_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return first_word_counts(pair_counts(doc_ngrams(spark, sf_dir)))
+    return first_word_counts(pair_counts(doc_bigrams(spark, sf_dir)))
 
 
 def q_second_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return second_word_counts(pair_counts(doc_ngrams(spark, sf_dir)))
+    return second_word_counts(pair_counts(doc_bigrams(spark, sf_dir)))
 
 
 def q_decade_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decade_totals(pair_counts(doc_ngrams(spark, sf_dir)))
+    return decade_totals(pair_counts(doc_bigrams(spark, sf_dir)))
 
 
 def q_decade_totals_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,7 +214,7 @@ def q_decade_totals_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_multi_level_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return multi_level_counts(doc_ngrams(spark, sf_dir))
+    return multi_level_counts(doc_bigrams(spark, sf_dir))
 
 
 def q_multi_level_counts_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,7 +226,7 @@ def q_pairs_by_second_word(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_contingency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contingency(pair_counts(doc_ngrams(spark, sf_dir)))
+    return contingency(pair_counts(doc_bigrams(spark, sf_dir)))
 
 
 def q_window_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,32 +243,32 @@ def q_tagged_facts_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_count_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_facts(contingency(pair_counts(doc_ngrams(spark, sf_dir))))
+    return count_facts(contingency(pair_counts(doc_bigrams(spark, sf_dir))))
 
 
 def q_npmi_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = npmi_scores(contingency(pair_counts(doc_ngrams(spark, sf_dir))))
+    scores = npmi_scores(contingency(pair_counts(doc_bigrams(spark, sf_dir))))
     return _rounded(scores.select(*PAIR_KEYS, "npmi"), "npmi")
 
 
 def q_npmi_scores_perfect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = contingency(pair_counts(doc_ngrams(spark, sf_dir)))
+    table = contingency(pair_counts(doc_bigrams(spark, sf_dir)))
     scores = npmi_scores(table, include_perfect=True)
     return _rounded(scores.select(*PAIR_KEYS, "npmi"), "npmi")
 
 
 def q_npmi_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = contingency(pair_counts(doc_ngrams(spark, sf_dir)))
+    table = contingency(pair_counts(doc_bigrams(spark, sf_dir)))
     return _rounded(npmi_sums(table), "sum_npmi")
 
 
 def q_npmi_sums_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = contingency(pair_counts(doc_ngrams(spark, sf_dir)))
+    table = contingency(pair_counts(doc_bigrams(spark, sf_dir)))
     return _rounded(npmi_sums(table, "all"), "sum_npmi")
 
 
 def q_integrity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return integrity_audit(contingency(pair_counts(english_only_ngrams(spark, sf_dir))))
+    return integrity_audit(contingency(pair_counts(english_only_bigrams(spark, sf_dir))))
 
 
 def q_passing_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,7 +304,7 @@ def q_sequencefile_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_count_facts_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pair counts and totals to tagged text and back."""
     folder = _shared_folder(spark)
-    pairs = pair_counts(doc_ngrams(spark, sf_dir))
+    pairs = pair_counts(doc_bigrams(spark, sf_dir))
     write_facts(as_facts(pairs, "Cw1w2", "c12"), f"{folder}/pairs")
     write_facts(as_facts(decade_totals(pairs), "N", "n"), f"{folder}/totals")
     return read_count_facts(spark, [f"{folder}/pairs", f"{folder}/totals"])
@@ -309,13 +312,13 @@ def q_count_facts_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_result_text_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _shared_folder(spark)
-    write_text(collocations(doc_ngrams(spark, sf_dir), *DOC_THRESHOLDS), folder)
+    write_text(collocations(doc_bigrams(spark, sf_dir), *DOC_THRESHOLDS), folder)
     return _rounded(read_score_facts(spark, folder), "value")
 
 
 def q_by_decade_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _shared_folder(spark)
-    write_by_decade(collocations(doc_ngrams(spark, sf_dir), *DOC_THRESHOLDS), folder)
+    write_by_decade(collocations(doc_bigrams(spark, sf_dir), *DOC_THRESHOLDS), folder)
     found = spark.read.parquet(folder)
     return _rounded(found.withColumn("decade", F.col("decade").cast("bigint")), "npmi")
 

@@ -44,6 +44,7 @@ from pairlore.sources.facts import (
     write_facts,
 )
 from pairlore.sources.ngrams import (
+    bigrams_of_text,
     ngrams_from_text,
     parse_ngram_lines,
     read_lines,
@@ -55,6 +56,7 @@ from pairlore.sources.sinks import write_by_decade, write_text
 __all__ = [
     "accepted_bigrams",
     "as_facts",
+    "bigrams_of_text",
     "by_descending_score",
     "by_second_word",
     "by_words_nulls_first",

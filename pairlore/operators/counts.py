@@ -42,15 +42,28 @@ def accepted_bigrams(
 ) -> DataFrame:
     """Bigrams whose two words both pass the word test, one row per input row.
 
-    Filter order: cheap length tests, hash lookups, then one digit search over the n-gram
-    text (the space between the words is no digit, so this equals testing each word).
+    Takes an n-gram table ``(ngram, year, match_count)``, or the same with the words already
+    apart: ``(w1, w2, year, match_count)``.
+
+    Filter order: cheap length tests, hash lookups, then the digit search.  On an n-gram the
+    digits are searched once in the whole text, as the space between the words is no digit.
     """
-    bigrams = two_word_ngrams(ngrams)
+    if "ngram" in ngrams.columns:
+        bigrams = two_word_ngrams(ngrams)
+        digit = has_digit("ngram")
+    else:
+        bigrams = ngrams.select(
+            decade_of("year").alias("decade"),
+            "w1",
+            "w2",
+            F.col("match_count").cast("bigint").alias("match_count"),
+        )
+        digit = has_digit("w1") | has_digit("w2")
     for test in (
         is_short("w1") | is_short("w2"),
         is_listed("w1", stop_words, stopword_mode),
         is_listed("w2", stop_words, stopword_mode),
-        has_digit("ngram"),
+        digit,
     ):
         bigrams = bigrams.where(~test)
     # Without these null tests Spark derives them from each later join and puts them into

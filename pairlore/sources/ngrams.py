@@ -102,32 +102,37 @@ def rejected_ngram_lines(lines: DataFrame) -> DataFrame:
     return lines.where(~_is_well_formed()).select("value")
 
 
-def ngrams_from_text(
-    texts: DataFrame, text: str, year: Column, document: str
-) -> DataFrame:
-    """Yearly bigram table of a table of texts, in the n-gram schema.
+def bigrams_of_text(texts: DataFrame, text: str, year: Column, *keep: str) -> DataFrame:
+    """Every adjacent word pair of every text: ``(w1, w2, year, match_count = 1)``.
 
-    Words are separated by runs of space, tab, newline and carriage return.  Whole texts
-    are used; the pairs are counted map-side before they are shuffled.
+    Words are separated by runs of space, tab, newline and carriage return; whole texts are
+    used.  The rows are not counted here: the pair count sums them, map-side first, so a
+    count by year in between would only add a shuffle.
     """
     separators = " \n\t\r"
     words = F.split(F.trim(text, F.lit(separators)), f"[{separators}]+")
     following = F.size("words") - 1
-    pairs = (
-        texts.select(year.alias("year"), F.col(document).alias("document"), words.alias("words"))
+    pairs = F.arrays_zip(
+        F.slice("words", F.lit(1), following).alias("w1"),
+        F.slice("words", F.lit(2), following).alias("w2"),
+    )
+    return (
+        texts.select(*keep, year.alias("year"), words.alias("words"))
         .where(F.size("words") > 1)
-        .select(
-            "year",
-            "document",
-            F.inline(
-                F.arrays_zip(
-                    F.slice("words", F.lit(1), following).alias("first"),
-                    F.slice("words", F.lit(2), following).alias("second"),
-                )
-            ).alias("first", "second"),
-        )
+        .select(*keep, F.inline(pairs).alias("w1", "w2"), "year")
+        .withColumn("match_count", F.lit(1).cast("bigint"))
     )
-    return pairs.groupBy("year", F.concat_ws(" ", "first", "second").alias("ngram")).agg(
-        F.count(F.lit(1)).alias("match_count"),
-        F.count_distinct("document").alias("volume_count"),
+
+
+def ngrams_from_text(
+    texts: DataFrame, text: str, year: Column, document: str
+) -> DataFrame:
+    """Yearly bigram table of a table of texts, in the full n-gram schema."""
+    return (
+        bigrams_of_text(texts, text, year, document)
+        .groupBy("year", F.concat_ws(" ", "w1", "w2").alias("ngram"))
+        .agg(
+            F.sum("match_count").alias("match_count"),
+            F.count_distinct(document).alias("volume_count"),
+        )
     )

@@ -102,7 +102,7 @@ def stop_text(stop_words: Sequence[str] | None = None) -> str:
 def _fragments(stop_words: tuple[str, ...]) -> tuple[str, ...]:
     """Every substring of every entry: what substring mode covers, as a finite set."""
     return tuple(sorted({
-        w[i:j] for w in stop_words for i in range(len(w)) for j in range(i + 1, len(w) + 1)
+        w[i:j] for w in ("", *stop_words) for i in range(len(w) + 1) for j in range(i, len(w) + 1)
     }))
 
 

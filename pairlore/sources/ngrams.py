@@ -21,8 +21,9 @@ def read_ngrams(
 ) -> DataFrame:
     """``(ngram, year, match_count)`` from one corpus, given by its path.
 
-    ``text`` and ``sequencefile`` hold TAB-separated lines.  ``csv`` is TAB-separated with
-    quoting off unless ``options`` say otherwise.
+    ``text`` and ``sequencefile`` hold TAB-separated lines of three or more fields.  ``csv``
+    has the four columns of NGRAM_SCHEMA; it is TAB-separated with quoting off unless
+    ``options`` say otherwise.
     """
     if format in ("text", "sequencefile"):
         lines = read_lines(spark, path, format)

@@ -1,0 +1,120 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from pairlore import (
+    collocations,
+    collocations_from,
+    contingency,
+    pair_counts,
+    read_stages,
+    write_stages,
+)
+from pairlore.plans import pipeline
+
+from conftest import GOLDEN, rows
+
+LETTERS = "bdfghjklmn"
+
+
+def executed_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, tmp_path_factory):
+    """20,000 pairs; one first word and one second word hold a third of them each."""
+    path = str(tmp_path_factory.mktemp("corpus") / "ngrams")
+    word = F.translate(F.col("id").cast("string"), "0123456789", LETTERS)
+    kind = F.col("id") % 3
+    spark.range(20_000).select(
+        F.when(kind == 0, F.concat(F.lit("hotfirst q"), word))
+        .when(kind == 1, F.concat(F.lit("q"), word, F.lit(" hotsecond")))
+        .otherwise(F.concat(F.lit("q"), word, F.lit(" z"), word))
+        .alias("ngram"),
+        (1950 + F.col("id") % 10).alias("year"),
+        (1 + F.col("id") % 7).alias("match_count"),
+        F.lit(1).cast("bigint").alias("volume_count"),
+    ).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_stage_tables_give_the_lazy_result(ngrams, spark, tmp_path):
+    rng = random.Random(9)
+    names = ["zulu", "yoyo", "kiwi", "vodka", "jazz", "gypsy"]
+    data = [
+        (f"{rng.choice(names)} {rng.choice(names)}", rng.randint(1, 9), rng.choice((1950, 1961)))
+        for _ in range(200)
+    ]
+    table = ngrams(*data, *GOLDEN)
+    stages = write_stages(table, str(tmp_path / "s"))
+    assert tuple(stages) == pipeline.STAGES
+    again = read_stages(spark, str(tmp_path / "s"))
+    for low, rel in ((0.1, 0.2), (0.02, 2), (2, 0.3)):
+        want = rows(collocations(table, low, rel))
+        assert rows(collocations_from(stages, low, rel)) == want
+        assert rows(collocations_from(again, low, rel)) == want
+    assert sorted(rows(stages["contingency"])) == sorted(rows(contingency(pair_counts(table))))
+    with pytest.raises(Exception, match="(?i)exist"):
+        write_stages(table, str(tmp_path / "s"))
+
+
+def test_stage_options(ngrams, tmp_path):
+    table = ngrams(*GOLDEN, ("ring plate", 3), ("ring deer", 1))
+    options = {"stopword_mode": "exact", "sum_scope": "all"}
+    stages = write_stages(table, str(tmp_path / "s"), **options)
+    want = rows(collocations(table, 0.3, 0.2, include_perfect=True, **options))
+    assert rows(collocations_from(stages, 0.3, 0.2, include_perfect=True)) == want
+    assert any(r[1] == "ring" for r in rows(stages["pair_counts"]))
+
+
+def test_stage_join_follows_the_number_of_decades(ngrams, tmp_path, monkeypatch):
+    table = ngrams(*((n, c, y) for y in (1950, 1960, 1970) for n, c in GOLDEN))
+    want = rows(collocations(table, 0.37, 0.38))
+    monkeypatch.setattr(pipeline, "MAX_BROADCAST_DECADES", 2)
+    stages = write_stages(table, str(tmp_path / "s"))
+    found = collocations_from(stages, 0.37, 0.38)
+    assert rows(found) == want
+    assert "raise_error" not in executed_plan(found)
+
+
+def test_corpus_is_scanned_once_and_no_python_runs(corpus):
+    plan = executed_plan(collocations(corpus, 0.05, 2))
+    assert plan.count("FileScan") == 1
+    assert "volume_count" not in plan.split("ReadSchema")[1].split("\n")[0]
+    assert "Python" not in plan and "CartesianProduct" not in plan
+    assert "BroadcastNestedLoopJoin" not in plan and "Window" not in plan
+
+
+def test_hot_words_are_split(corpus, conf):
+    """A partition that one word dominates is divided among tasks, on either side."""
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20k",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="10k",
+    )
+    counts = contingency(pair_counts(corpus))
+    plan = executed_plan(counts)
+    assert plan.count("SortMergeJoin(skew=true)") == 2
+    assert counts.count() == 20_000
+
+
+def test_hot_words_are_split_from_stage_tables(corpus, conf, tmp_path):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20k",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="10k",
+    )
+    stages = write_stages(corpus, str(tmp_path / "s"))
+    joined = pipeline.attach_counts(
+        stages["pair_counts"],
+        stages["first_word_counts"],
+        stages["second_word_counts"],
+        pipeline.totals_of_words(stages["first_word_counts"]),
+    )
+    assert executed_plan(joined).count("SortMergeJoin(skew=true)") == 2
+    assert sorted(rows(joined)) == sorted(rows(stages["contingency"]))

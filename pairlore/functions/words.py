@@ -13,8 +13,9 @@ digit, or when the stop list covers it.  "Covers" has two modes:
 from __future__ import annotations
 
 import zipfile
-from collections.abc import Sequence
-from functools import lru_cache
+from collections.abc import Callable, Sequence
+from functools import lru_cache, reduce
+from operator import or_
 from pathlib import Path
 
 from pyspark.find_spark_home import _find_spark_home
@@ -127,25 +128,56 @@ def has_digit(word: str) -> Column:
     return F.col(word).rlike("[0-9]")
 
 
+def _words_of(stop_words: Sequence[str] | None, mode: str) -> tuple[str, ...]:
+    if mode not in STOP_WORD_MODES:
+        raise ValueError(f"stopword_mode must be one of {STOP_WORD_MODES}, not {mode!r}")
+    return tuple(default_stop_words() if stop_words is None else stop_words)
+
+
+def _is_covered(word: str, words: tuple[str, ...], mode: str) -> Column:
+    """Hash lookup that decides every word without a newline.
+
+    Searching the list text for each word costs about 1 microsecond per word, which would be
+    the most expensive thing the counting scan does.  A word without a newline lies inside
+    the joined text exactly when it lies inside one entry, so substring mode is a lookup in
+    the set of all entry substrings.
+    """
+    return _is_one_of(word, sorted(set(words)) if mode == "exact" else _fragments(words))
+
+
+def _spans_entries(word: str, words: tuple[str, ...]) -> Column:
+    """A word with a newline can match across entries; only these search the list text."""
+    return F.contains(word, F.lit("\n")) & F.contains(F.lit(stop_text(words)), F.col(word))
+
+
 def is_listed(
     word: str, stop_words: Sequence[str] | None = None, mode: str = "substring"
 ) -> Column:
-    """True when the stop list covers the word.
+    """True when the stop list covers the word."""
+    words = _words_of(stop_words, mode)
+    covered = _is_covered(word, words, mode)
+    return covered if mode == "exact" else covered | _spans_entries(word, words)
 
-    Searching the list text for each word costs about 1 microsecond per word, which is the
-    most expensive thing the counting scan would do.  A word without a newline lies inside
-    the joined text exactly when it lies inside one entry, so substring mode is a lookup in
-    the set of all entry substrings; only a word with a newline searches the text itself.
+
+def bigram_rejections(
+    texts: Sequence[str], stop_words: Sequence[str] | None = None, mode: str = "substring"
+) -> list[Column]:
+    """``is_stop_word(w1) | is_stop_word(w2)`` as a list of tests, cheapest first.
+
+    ``texts`` are the columns to search for digits and newlines: either the words, or the
+    n-gram they came from, which needs one search instead of two.
     """
-    if mode not in STOP_WORD_MODES:
-        raise ValueError(f"stopword_mode must be one of {STOP_WORD_MODES}, not {mode!r}")
-    words = tuple(default_stop_words() if stop_words is None else stop_words)
-    if mode == "exact":
-        return _is_one_of(word, sorted(set(words)))
-    across_entries = F.contains(word, F.lit("\n")) & F.contains(
-        F.lit(stop_text(words)), F.col(word)
-    )
-    return _is_one_of(word, _fragments(words)) | across_entries
+    words = _words_of(stop_words, mode)
+
+    def some(test: Callable[[str], Column], columns: Sequence[str]) -> Column:
+        return reduce(or_, map(test, columns))
+
+    sides = ("w1", "w2")
+    late = some(has_digit, texts)
+    if mode == "substring":
+        unusual = some(lambda text: F.col(text).rlike("[0-9\n]"), texts)
+        late = unusual & (late | some(lambda w: _spans_entries(w, words), sides))
+    return [some(is_short, sides), *(_is_covered(w, words, mode) for w in sides), late]
 
 
 def is_stop_word(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairlore.functions.measures import decade_of
-from pairlore.functions.words import has_digit, is_listed, is_short
+from pairlore.functions.words import bigram_rejections
 
 PAIR_KEYS = ["decade", "w1", "w2"]
 
@@ -29,8 +29,9 @@ def two_word_ngrams(ngrams: DataFrame) -> DataFrame:
     ).select(
         "ngram",
         decade_of("year").alias("decade"),
-        first.alias("w1"),
-        last.alias("w2"),
+        # The filter leaves no NULL; saying so spares a null test that splits the text again.
+        F.coalesce(first, F.lit("")).alias("w1"),
+        F.coalesce(last, F.lit("")).alias("w2"),
         F.col("match_count").cast("bigint").alias("match_count"),
     )
 
@@ -44,13 +45,10 @@ def accepted_bigrams(
 
     Takes an n-gram table ``(ngram, year, match_count)``, or the same with the words already
     apart: ``(w1, w2, year, match_count)``.
-
-    Filter order: cheap length tests, hash lookups, then the digit search.  On an n-gram the
-    digits are searched once in the whole text, as the space between the words is no digit.
     """
     if "ngram" in ngrams.columns:
         bigrams = two_word_ngrams(ngrams)
-        digit = has_digit("ngram")
+        texts = ["ngram"]
     else:
         bigrams = ngrams.select(
             decade_of("year").alias("decade"),
@@ -58,13 +56,8 @@ def accepted_bigrams(
             "w2",
             F.col("match_count").cast("bigint").alias("match_count"),
         )
-        digit = has_digit("w1") | has_digit("w2")
-    for test in (
-        is_short("w1") | is_short("w2"),
-        is_listed("w1", stop_words, stopword_mode),
-        is_listed("w2", stop_words, stopword_mode),
-        digit,
-    ):
+        texts = ["w1", "w2"]
+    for test in bigram_rejections(texts, stop_words, stopword_mode):
         bigrams = bigrams.where(~test)
     # Without these null tests Spark derives them from each later join and puts them into
     # some copies of this subtree only, which then cannot share their shuffle.

@@ -18,6 +18,16 @@ from conftest import GOLDEN, rows
 LETTERS = "bdfghjklmn"
 
 
+#: Makes adaptive execution treat kilobytes as it treats gigabytes by default.
+SMALL_SKEW = {
+    "spark__sql__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "20k",
+    "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "1.5",
+    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "10k",
+    "spark__sql__adaptive__coalescePartitions__minPartitionSize": "1k",
+}
+
+
 def executed_plan(df):
     df.collect()
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
@@ -90,12 +100,7 @@ def test_corpus_is_scanned_once_and_no_python_runs(corpus):
 
 def test_hot_words_are_split(corpus, conf):
     """A partition that one word dominates is divided among tasks, on either side."""
-    conf(
-        spark__sql__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20k",
-        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="10k",
-    )
+    conf(**SMALL_SKEW)
     counts = contingency(pair_counts(corpus))
     plan = executed_plan(counts)
     assert plan.count("SortMergeJoin(skew=true)") == 2
@@ -103,12 +108,7 @@ def test_hot_words_are_split(corpus, conf):
 
 
 def test_hot_words_are_split_from_stage_tables(corpus, conf, tmp_path):
-    conf(
-        spark__sql__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20k",
-        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="10k",
-    )
+    conf(**SMALL_SKEW)
     stages = write_stages(corpus, str(tmp_path / "s"))
     joined = pipeline.attach_counts(
         stages["pair_counts"],

@@ -111,3 +111,16 @@ def test_membership_test_is_one_hash_lookup(spark):
         words_df(spark, ["x"]).where(~F.col("w").isNull()).where(W.is_listed("w"))
     )._jdf.queryExecution().optimizedPlan().toString()
     assert "INSET" in plan
+
+
+def test_bigram_rejections_are_the_word_test_on_both_words(spark):
+    tested = ["the\ntheir", "the\nplate", "x\n9", "mp3", "ring", "plate", "🦆", "é", "zz", "of"]
+    ngrams = [f"{a} {b}" for a in tested for b in tested]
+    table = spark.createDataFrame([(n, 1994, 1) for n in ngrams], "ngram string, year int, match_count int")
+    for mode in W.STOP_WORD_MODES:
+        bad = rejected(spark, tested, mode=mode)
+        want = {n for n in ngrams if not bad & set(n.split(" "))}
+        split = two_word_ngrams(table).select("w1", "w2", F.lit(1994).alias("year"), "match_count")
+        for form in (table, split):
+            kept = accepted_bigrams(form, stopword_mode=mode).collect()
+            assert {f"{r.w1} {r.w2}" for r in kept} == want

@@ -456,12 +456,27 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_collocations(spark, "/root/testdata/sf0.001")
 
 
+def _training_data() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data operators, if that folder is there."""
+    try:
+        import corpus_pipeline
+        from pairlore.llm import registry
+    except ImportError:
+        return {}, {}
+    queries, sql = registry.queries(), registry.oracle_sql()
+    queries["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return queries, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    own = {
         name.removeprefix("q_"): function
         for name, function in globals().items()
         if name.startswith("q_")
     }
+    return own | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
@@ -477,7 +492,7 @@ def oracle_sql() -> dict[str, str]:
     part_pairs = _sql(parts, words, _PAIRS, pairs)
     perfect = f"({_POSITIVE}) OR perfect"
     sums = "\nSELECT DISTINCT decade, round(sum_npmi, 6) AS sum_npmi FROM sums"
-    return {
+    return _training_data()[1] | {
         "collocations": doc_result,
         "collocations_lazy": doc_result,
         "by_decade_round_trip": doc_result,

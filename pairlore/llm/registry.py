@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pairlore.llm import mixing
+from pairlore.llm.pii import op6_pii
 from pairlore.llm.secrets import op8_secrets
+from pairlore.llm.urls import op2_urls
 from pairlore.llm.winnowing import op9_winnowing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (mixing.op4_mixing, op8_secrets, op9_winnowing)
+    found = (op2_urls, mixing.op4_mixing, op6_pii, op8_secrets, op9_winnowing)
     return {f.__name__: f for f in found}
 
 

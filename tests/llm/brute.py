@@ -55,3 +55,34 @@ def contamination(documents, items, window=13):
         ids = sorted(str(i) for i in found if i is not None)
         out.append((doc_id, len(w), len(hit), len(ids), sha(ids), bool(hit) and 20 * len(hit) >= len(w)))
     return out
+
+
+RULES6 = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def passes_luhn(digits):
+    odd, even = digits[-1::-2], digits[-2::-2]
+    return (sum(odd) + sum(sum(divmod(2 * d, 10)) for d in even)) % 10 == 0
+
+
+def pii_passes(kind, span):
+    digits = [int(c) for c in span if c in "0123456789"]
+    if kind == "ip":
+        return all(int(p) <= 255 for p in span.split("."))
+    if kind == "card":
+        return 12 <= len(digits) <= 19 and passes_luhn(digits)
+    return kind == "email" or 9 <= len(digits) <= 15
+
+
+def pii(text):
+    text, spans, counts = text or "", [], []
+    for rank, (kind, pattern) in enumerate(RULES6.items()):
+        found = [m for m in re.finditer(pattern, text) if pii_passes(kind, m[0])]
+        counts.append(len(found))
+        spans += [(m.start(), rank, m.end(), kind) for m in found]
+    return (*counts, sha(f"{k}:{s}:{e}" for s, _, e, k in sorted(spans)))

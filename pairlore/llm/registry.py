@@ -6,17 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pairlore.llm import mixing
+from pairlore.llm import mixing, neighbours
 from pairlore.llm.pii import op6_pii
+from pairlore.llm.quality import op7_quality
 from pairlore.llm.secrets import op8_secrets
 from pairlore.llm.urls import op2_urls
 from pairlore.llm.winnowing import op9_winnowing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_urls, mixing.op4_mixing, op6_pii, op8_secrets, op9_winnowing)
+    found = (
+        op2_urls, mixing.op4_mixing, neighbours.op5_neighbours, op6_pii, op7_quality, op8_secrets,
+        op9_winnowing,
+    )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": mixing.ORACLE_SQL}
+    return {"op4_mixing": mixing.ORACLE_SQL, "op5_neighbours": neighbours.ORACLE_SQL}

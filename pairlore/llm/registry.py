@@ -10,13 +10,14 @@ from pairlore.llm import mixing, neighbours
 from pairlore.llm.pii import op6_pii
 from pairlore.llm.quality import op7_quality
 from pairlore.llm.secrets import op8_secrets
+from pairlore.llm.toxicity import op1_toxicity
 from pairlore.llm.urls import op2_urls
 from pairlore.llm.winnowing import op9_winnowing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
-        op2_urls, mixing.op4_mixing, neighbours.op5_neighbours, op6_pii, op7_quality, op8_secrets,
+        op1_toxicity, op2_urls, mixing.op4_mixing, neighbours.op5_neighbours, op6_pii, op7_quality, op8_secrets,
         op9_winnowing,
     )
     return {f.__name__: f for f in found}

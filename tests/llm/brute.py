@@ -86,3 +86,38 @@ def pii(text):
         counts.append(len(found))
         spans += [(m.start(), rank, m.end(), kind) for m in found]
     return (*counts, sha(f"{k}:{s}:{e}" for s, _, e, k in sorted(spans)))
+
+
+def shingle_set(text, words=4):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    w = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    if not w:
+        return frozenset()
+    return frozenset(tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1)))
+
+
+def near_groups(documents, words=4, percent=85):
+    """(id, set size, smallest id reachable) by comparing all pairs of distinct sets."""
+    sets = [shingle_set(t, words) for _, t in documents]
+    distinct = list(dict.fromkeys(s for s in sets if s))
+    parent = {s: s for s in distinct}
+
+    def find(s):
+        while parent[s] is not s:
+            s = parent[s]
+        return s
+
+    by_size = sorted(distinct, key=len)
+    for i, a in enumerate(by_size):
+        for b in by_size[i + 1 :]:
+            if 100 * len(a) < percent * len(b):
+                break
+            shared = len(a & b)
+            if 100 * shared >= percent * (len(a) + len(b) - shared):
+                parent[find(a)] = find(b)
+    least = {}
+    for (doc_id, _), s in zip(documents, sets):
+        if s and doc_id is not None:
+            root = find(s)
+            least[root] = min(doc_id, least.get(root, doc_id))
+    return [(i, len(s), least.get(find(s)) if s else i) for (i, _), s in zip(documents, sets)]

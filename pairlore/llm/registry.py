@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pairlore.llm import mixing, neighbours
 from pairlore.llm.jaccard import op3_jaccard
 from pairlore.llm.pii import op6_pii
+from pairlore.llm.ppm import op10_ppm
 from pairlore.llm.quality import op7_quality
 from pairlore.llm.secrets import op8_secrets
 from pairlore.llm.toxicity import op1_toxicity
@@ -19,7 +20,7 @@ from pairlore.llm.winnowing import op9_winnowing
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_toxicity, op2_urls, op3_jaccard, mixing.op4_mixing, neighbours.op5_neighbours, op6_pii, op7_quality, op8_secrets,
-        op9_winnowing,
+        op9_winnowing, op10_ppm,
     )
     return {f.__name__: f for f in found}
 

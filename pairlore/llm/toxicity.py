@@ -424,15 +424,15 @@ def train(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE, folds: i
     return fit([t for _, t, _ in sample], [y for _, _, y in sample])
 
 
-def score(documents: DataFrame, model: ToxicityModel | None) -> DataFrame:
-    """``documents`` with a ``score`` from 0 to 1 of every whole text."""
+def score(documents: DataFrame, model: ToxicityModel | None, column: str = "score") -> DataFrame:
+    """``documents`` with a score from 0 to 1 of every whole text in ``column``."""
 
     @F.pandas_udf("double")
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series(np.zeros(len(texts)) if model is None else model.score(texts.tolist()), dtype=float)
 
-    return documents.withColumn("score", scores(F.coalesce("text", F.lit(""))))
+    return documents.withColumn(column, scores(F.coalesce("text", F.lit(""))))
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -199,6 +199,13 @@ def contamination(
     )
 
 
+def without(documents: DataFrame, marked: DataFrame) -> DataFrame:
+    """``documents`` less those in ``marked`` (doc_id, digest)."""
+    listed = saved(marked.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct(), "marked")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.xxhash64("text").eqNullSafe(F.col("_digest"))
+    return documents.join(listed.hint("shuffle_hash"), same, "left_anti")
+
+
 def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document against every benchmark item."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -1,6 +1,7 @@
 """Plain versions of the contracts, for small inputs."""
 
 import hashlib
+import math
 import re
 import zlib
 
@@ -121,3 +122,57 @@ def near_groups(documents, words=4, percent=85):
             root = find(s)
             least[root] = min(doc_id, least.get(root, doc_id))
     return [(i, len(s), least.get(find(s)) if s else i) for (i, _), s in zip(documents, sets)]
+
+
+def lower_words(text):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x20\x09-\x0D]+", lower)
+
+
+class Trie:
+    """PPM by the book: contexts in a dictionary, method C, exclusion of what was escaped."""
+
+    def __init__(self, texts, order=4):
+        self.order, self.follows = order, {}
+        for text in texts:
+            raw = self.raw(text)
+            for i in range(order, len(raw)):
+                for k in range(order + 1):
+                    after = self.follows.setdefault((k, raw[i - k : i]), {})
+                    after[raw[i]] = after.get(raw[i], 0) + 1
+
+    def raw(self, text):
+        return bytes(self.order) + " ".join(lower_words(text)).encode() + b"\0"
+
+    def probability(self, context, byte):
+        p, excluded = 1.0, set()
+        for k in range(self.order, -1, -1):
+            after = self.follows.get((k, context[len(context) - k :]))
+            if not after:
+                continue
+            left = {b: n for b, n in after.items() if b not in excluded}
+            total = sum(left.values()) + len(left)
+            if byte in left:
+                return p * left[byte] / total
+            if left:
+                p *= len(left) / total
+            excluded |= set(after)
+        return p / (256 - len(excluded))
+
+    def score(self, text):
+        raw = self.raw(text)
+        return sum(math.log10(self.probability(raw[i - self.order : i], raw[i])) for i in range(self.order, len(raw)))
+
+
+def ppm(documents, folds=10, held=0):
+    train = [t for i, t in documents if crc(i) % folds != held]
+    counts = {}
+    for t in train:
+        for w in [*lower_words(t), None]:
+            counts[w] = counts.get(w, 0) + 1
+    n, v, trie, out = sum(counts.values()), len(counts), Trie(train), []
+    for i, t in documents:
+        own = [counts.get(w, 0) for w in [*lower_words(t), None]]
+        base = sum(math.log10((c + 0.1) / (n + 0.1 * (v + 1))) for c in own)
+        out.append((i, crc(i) % folds == held, len(own), sum(c > 0 for c in own), n, base, trie.score(t)))
+    return out

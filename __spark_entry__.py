@@ -7,9 +7,8 @@ SQL: ``doc_ngrams`` (adjacent words of ``documents``, year 1950 + doc_id % 60) a
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,23 +34,27 @@ from pairlore import (
     passing_scores,
     pivot_counts,
     read_count_facts,
+    read_lines,
     read_ngrams,
     read_score_facts,
+    rejected_ngram_lines,
     second_word_counts,
-    stop_text,
     two_word_ngrams,
     union_facts,
     without_listed_words,
     write_by_decade,
     write_facts,
+    write_sequence_file,
     write_stages,
     write_text,
 )
 from pairlore.functions.words import has_digit, is_short
 from pairlore.operators.counts import PAIR_KEYS
 from pairlore.sources.facts import as_facts
+from pairlore.sources.scratch import shared_folder
 
-DOC_THRESHOLDS = (0.5, 0.2)
+# At 2.5e-5 of a decade's sum, either threshold lets pairs through that the other stops.
+DOC_THRESHOLDS = (0.5, 2.5e-5)
 PART_THRESHOLDS = (0.05, 0.1)
 NEVER = 2.0  # above every score and every share: switches one of the two thresholds off
 
@@ -62,12 +65,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """The texts; spread out when the file has fewer splits than there are task slots."""
-    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", *columns)
-    slots = spark.sparkContext.defaultParallelism
-    if documents.rdd.getNumPartitions() < slots:
-        documents = documents.repartition(slots)
-    return documents
+    return _table(spark, sf_dir, "documents").select("doc_id", "text", *columns)
 
 
 def doc_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,22 +106,19 @@ def english_only_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bigrams.select("w1", "w2", "year", english.alias("match_count"))
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    """A new folder where the cluster keeps checkpoints; a local one only without it."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        base = tempfile.mkdtemp(prefix="pairlore-")
-    return f"{base.rstrip('/')}/pairlore-{uuid.uuid4().hex}"
-
-
 def _rounded(table: DataFrame, *columns: str) -> DataFrame:
     return table.withColumns({c: F.round(c, 6) for c in columns})
 
 
 # ------------------------------------------------------------------------------ queries
 def q_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole job on documents, through stage tables."""
-    stages = write_stages(doc_bigrams(spark, sf_dir), _shared_folder(spark))
+    """The whole job on documents as one lazy plan; it needs no scratch folder."""
+    return _rounded(collocations(doc_bigrams(spark, sf_dir), *DOC_THRESHOLDS), "npmi")
+
+
+def q_collocations_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through stage tables on shared storage."""
+    stages = write_stages(doc_bigrams(spark, sf_dir), shared_folder(spark))
     return _rounded(collocations_from(stages, *DOC_THRESHOLDS), "npmi")
 
 
@@ -150,9 +145,18 @@ def q_collocations_exact_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(collocations(ngrams, *DOC_THRESHOLDS, stopword_mode="exact"), "npmi")
 
 
+def q_collocations_doc_abs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(collocations(doc_bigrams(spark, sf_dir), DOC_THRESHOLDS[0], NEVER), "npmi")
+
+
+def q_collocations_doc_rel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(collocations(doc_bigrams(spark, sf_dir), NEVER, DOC_THRESHOLDS[1]), "npmi")
+
+
 def q_collocations_sum_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ngrams = part_ngrams(spark, sf_dir)
-    return _rounded(collocations(ngrams, *PART_THRESHOLDS, sum_scope="all"), "npmi")
+    """Perfect pairs raise the sum, so fewer pairs pass the relative threshold."""
+    ngrams = doc_bigrams(spark, sf_dir)
+    return _rounded(collocations(ngrams, NEVER, DOC_THRESHOLDS[1], sum_scope="all"), "npmi")
 
 
 def q_collocations_with_perfect(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,6 +193,16 @@ def q_stopword_exact_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_listed_words(bigrams, listed).select(*PAIR_KEYS, "match_count")
 
 
+def q_stopword_substring_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default mode against a table of stop words."""
+    listed = spark.createDataFrame([(w,) for w in default_stop_words()], "word string")
+    bigrams = two_word_ngrams(doc_ngrams(spark, sf_dir)).where(
+        ~is_short("w1") & ~is_short("w2") & ~has_digit("ngram")
+    )
+    kept = without_listed_words(bigrams, listed, "substring")
+    return kept.select(*PAIR_KEYS, "match_count")
+
+
 def q_pair_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_counts(doc_bigrams(spark, sf_dir))
 
@@ -271,6 +285,22 @@ def q_integrity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity_audit(contingency(pair_counts(english_only_bigrams(spark, sf_dir))))
 
 
+def q_integrity_audit_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts folded back without the second-word facts of every pair with an even count."""
+    facts = count_facts(contingency(pair_counts(part_ngrams(spark, sf_dir), stopword_mode="exact")))
+    lost = (F.col("tag") == "Cw2") & (F.col("value") % 2 == 0)
+    return integrity_audit(pivot_counts(facts.where(~lost)))
+
+
+def q_integrity_audit_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """French texts counted as corrections: their pairs have negative counts."""
+    documents = _documents(spark, sf_dir, "lang")
+    bigrams = bigrams_of_text(documents, "text", 1950 + F.col("doc_id") % 60, "lang")
+    signed = F.when(F.col("lang") == "fr", -F.col("match_count")).otherwise(F.col("match_count"))
+    counted = pair_counts(bigrams.select("w1", "w2", "year", signed.alias("match_count")))
+    return integrity_audit(contingency(counted)).where("reason like '%negative'")
+
+
 def q_passing_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = contingency(pair_counts(part_ngrams(spark, sf_dir), stopword_mode="exact"))
     kept = passing_scores(npmi_scores(table), npmi_sums(table), *PART_THRESHOLDS)
@@ -283,27 +313,51 @@ def _as_lines(ngrams: DataFrame) -> DataFrame:
 
 
 def q_text_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _shared_folder(spark)
+    folder = shared_folder(spark)
     _as_lines(doc_ngrams(spark, sf_dir)).write.text(folder)
     return pair_counts(read_ngrams(spark, folder, "text"))
 
 
 def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _shared_folder(spark)
+    folder = shared_folder(spark)
     _as_lines(doc_ngrams(spark, sf_dir)).write.text(folder)
     return pair_counts(read_ngrams(spark, folder, "csv"))
 
 
+def q_csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of three to five fields and bad ones: accepted rows and rejects, both readers."""
+    lines = doc_ngrams(spark, sf_dir).select(
+        F.concat_ws(
+            "\t", "ngram", F.when(F.col("match_count") == 7, F.lit("year")).otherwise(F.col("year").cast("string")),
+            F.col("match_count").cast("string"),
+            F.when(F.col("volume_count") > 1, F.col("volume_count").cast("string")),
+            F.when(F.col("volume_count") > 2, F.lit("more")),
+        ).alias("value")
+    )
+    folder = shared_folder(spark)
+    lines.write.text(folder)
+    found = [
+        read_ngrams(spark, folder, form, on_error="quarantine")
+        .agg(F.count("*").alias("lines"), F.sum("match_count").alias("match_count"))
+        .select(F.lit(form).alias("format"), F.lit(None).cast("string").alias("rejected"), "lines", "match_count")
+        for form in ("csv", "text")
+    ]
+    rejected = rejected_ngram_lines(read_lines(spark, folder, "csv")).select(
+        F.lit("csv").alias("format"), F.col("value").alias("rejected"),
+        F.lit(1).cast("bigint").alias("lines"), F.lit(None).cast("bigint").alias("match_count"),
+    )
+    return found[0].unionByName(found[1]).unionByName(rejected)
+
+
 def q_sequencefile_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _shared_folder(spark)
-    lines = _as_lines(part_ngrams(spark, sf_dir))
-    lines.rdd.map(lambda row: (0, row.value)).saveAsSequenceFile(folder)
+    folder = shared_folder(spark)
+    write_sequence_file(_as_lines(doc_ngrams(spark, sf_dir)), folder)
     return pair_counts(read_ngrams(spark, folder, "sequencefile"))
 
 
 def q_count_facts_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pair counts and totals to tagged text and back."""
-    folder = _shared_folder(spark)
+    folder = shared_folder(spark)
     pairs = pair_counts(doc_bigrams(spark, sf_dir))
     write_facts(as_facts(pairs, "Cw1w2", "c12"), f"{folder}/pairs")
     write_facts(as_facts(decade_totals(pairs), "N", "n"), f"{folder}/totals")
@@ -311,13 +365,13 @@ def q_count_facts_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_result_text_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _shared_folder(spark)
+    folder = shared_folder(spark)
     write_text(collocations(doc_bigrams(spark, sf_dir), *DOC_THRESHOLDS), folder)
     return _rounded(read_score_facts(spark, folder), "value")
 
 
 def q_by_decade_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _shared_folder(spark)
+    folder = shared_folder(spark)
     write_by_decade(collocations(doc_bigrams(spark, sf_dir), *DOC_THRESHOLDS), folder)
     found = spark.read.parquet(folder)
     return _rounded(found.withColumn("decade", F.col("decade").cast("bigint")), "npmi")
@@ -351,6 +405,12 @@ ngrams AS (
          CAST(count(DISTINCT doc_id) AS BIGINT) AS volume_count
   FROM adjacent WHERE b IS NOT NULL GROUP BY ALL)"""
 
+_SIGNED_NGRAMS = _DOC_PAIRS + """,
+ngrams AS (
+  SELECT year, a || ' ' || b AS ngram,
+         CAST(sum(CASE WHEN lang = 'fr' THEN -1 ELSE 1 END) AS BIGINT) AS match_count
+  FROM adjacent WHERE b IS NOT NULL GROUP BY ALL)"""
+
 _ENGLISH_NGRAMS = _DOC_PAIRS + """,
 ngrams AS (
   SELECT year, a || ' ' || b AS ngram,
@@ -358,6 +418,14 @@ ngrams AS (
   FROM adjacent WHERE b IS NOT NULL GROUP BY ALL)"""
 
 
+# The list as the tests keep it, so that a wrong entry in the engine shows.
+_STOP_WORDS = Path(__file__).with_name("tests") / "stop_words.txt"
+
+
+def _stop_text() -> str:
+    return _STOP_WORDS.read_text(encoding="utf-8").removesuffix("\n")
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -366,12 +434,12 @@ def _accepted(mode: str = "substring") -> str:
     """Word test as the definition has it: search the list text, or look up the entry."""
     if mode == "substring":
         listed = "contains((SELECT t FROM stop_text), {w})"
-        lists = f"stop_text AS (SELECT {_quoted(stop_text())} AS t)"
+        lists = f"stop_text AS (SELECT {_quoted(_stop_text())} AS t)"
     else:
         listed = "{w} IN (SELECT word FROM stop_list)"
         lists = (
             "stop_list AS (SELECT DISTINCT unnest(string_split("
-            f"{_quoted(stop_text())}, chr(10))) AS word)"
+            f"{_quoted(_stop_text())}, chr(10))) AS word)"
         )
     reject = "(length({w}) < 2 AND strlen({w}) < 4) OR " + listed
     reject += " OR regexp_matches({w}, '[0-9]')"
@@ -440,10 +508,30 @@ SELECT decade, w1, w2,
 FROM accepted
 GROUP BY GROUPING SETS ((decade, w1, w2), (decade, w1), (decade, w2), (decade))"""
 
-_AUDIT = " UNION ALL ".join(
-    f"SELECT decade, w1, w2, '{c} is zero' AS reason FROM contingency WHERE {c} = 0"
-    for c in ("c12", "c1", "c2")
-)
+def _audit(table: str, test: str, reason: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT decade, w1, w2, '{c} is {reason}' AS reason FROM {table} WHERE {c} {test}"
+        for c in ("c12", "c1", "c2")
+    )
+
+
+_AUDIT = _audit("contingency", "= 0", "zero") + " UNION ALL " + _audit("contingency", "< 0", "negative")
+
+_LOSSY = """,
+lossy AS (
+  SELECT decade, w1, w2, c12, c1, CASE WHEN c2 % 2 = 0 THEN 0 ELSE c2 END AS c2 FROM contingency)
+"""
+
+_QUARANTINE = """,
+lines AS (SELECT *, match_count = 7 AS bad FROM ngrams),
+good AS (SELECT count(*) AS lines, CAST(sum(match_count) AS BIGINT) AS match_count FROM lines WHERE NOT bad)
+SELECT format, CAST(NULL AS VARCHAR) AS rejected, lines, match_count
+FROM good, (VALUES ('csv'), ('text')) f(format)
+UNION ALL
+SELECT 'csv', concat_ws(chr(9), ngram, 'year', match_count,
+                        CASE WHEN volume_count > 1 THEN CAST(volume_count AS VARCHAR) END,
+                        CASE WHEN volume_count > 2 THEN 'more' END), 1, NULL
+FROM lines WHERE bad"""
 
 
 def _sql(ngrams: str, *steps: str) -> str:
@@ -494,7 +582,10 @@ def oracle_sql() -> dict[str, str]:
     sums = "\nSELECT DISTINCT decade, round(sum_npmi, 6) AS sum_npmi FROM sums"
     return _training_data()[1] | {
         "collocations": doc_result,
+        "collocations_staged": doc_result,
         "collocations_lazy": doc_result,
+        "collocations_doc_abs": _sql(docs, words, _scored(), _kept(DOC_THRESHOLDS[0], NEVER)),
+        "collocations_doc_rel": _sql(docs, words, _scored(), _kept(NEVER, DOC_THRESHOLDS[1])),
         "by_decade_round_trip": doc_result,
         "result_text_round_trip": _sql(
             docs, words, _scored(),
@@ -507,7 +598,7 @@ def oracle_sql() -> dict[str, str]:
         "collocations_rel": _sql(parts, words, _scored(), _kept(NEVER, PART_THRESHOLDS[1])),
         "collocations_exact_words": _sql(docs, exact, _scored(), _kept(*DOC_THRESHOLDS)),
         "collocations_sum_all": _sql(
-            parts, words, _scored(scope="true"), _kept(*PART_THRESHOLDS)
+            docs, words, _scored(scope="true"), _kept(NEVER, DOC_THRESHOLDS[1])
         ),
         "collocations_with_perfect": _sql(
             docs, words, _scored(kept=perfect), _kept(*DOC_THRESHOLDS)
@@ -523,9 +614,17 @@ def oracle_sql() -> dict[str, str]:
         "pair_counts": doc_pairs,
         "text_round_trip": doc_pairs,
         "csv_round_trip": doc_pairs,
+        "sequencefile_round_trip": doc_pairs,
+        "csv_quarantine": _sql(docs, _QUARANTINE),
+        "stopword_substring_table": _sql(docs, words, accepted),
+        "integrity_audit_missing": _sql(
+            parts, exact, _PAIRS, _CONTINGENCY, _LOSSY, _audit("lossy", "= 0", "zero")
+        ),
+        "integrity_audit_negative": _sql(
+            _SIGNED_NGRAMS, words, _PAIRS, _CONTINGENCY, "\n" + _audit("contingency", "< 0", "negative")
+        ),
         "pair_counts_parts": part_pairs,
         "pairs_by_second_word": part_pairs,
-        "sequencefile_round_trip": part_pairs,
         "first_word_counts": _sql(
             docs, words, _PAIRS,
             "\nSELECT decade, w1, CAST(sum(c12) AS BIGINT) AS c1 FROM pairs GROUP BY ALL",

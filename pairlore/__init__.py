@@ -39,6 +39,7 @@ from pairlore.sources.facts import (
     pivot_counts,
     read_count_facts,
     read_score_facts,
+    read_tagged_facts,
     rejected_facts,
     union_facts,
     write_facts,
@@ -50,6 +51,7 @@ from pairlore.sources.ngrams import (
     read_lines,
     read_ngrams,
     rejected_ngram_lines,
+    write_sequence_file,
 )
 from pairlore.sources.sinks import write_by_decade, write_text
 
@@ -84,6 +86,7 @@ __all__ = [
     "read_lines",
     "read_ngrams",
     "read_score_facts",
+    "read_tagged_facts",
     "read_stages",
     "rejected_facts",
     "rejected_ngram_lines",
@@ -94,6 +97,7 @@ __all__ = [
     "without_listed_words",
     "write_by_decade",
     "write_facts",
+    "write_sequence_file",
     "write_stages",
     "write_text",
 ]

@@ -12,43 +12,38 @@ digit, or when the stop list covers it.  "Covers" has two modes:
 
 from __future__ import annotations
 
-import zipfile
 from collections.abc import Callable, Sequence
 from functools import lru_cache, reduce
 from operator import or_
-from pathlib import Path
 
-from pyspark.find_spark_home import _find_spark_home
-from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------------------
 # The stop words.  Results only agree with published counts when the list
 # holds exactly these entries, so they are data, not a matter of taste.
-#
-# English starts from the list that Spark ships for StopWordsRemover (contractions left
-# out).  NOT_STOP_WORDS are entries of that list which do not belong; MORE_ENGLISH are the
-# entries it lacks.  The three together give 319 English words.
 # ---------------------------------------------------------------------------------------
-NOT_STOP_WORDS = "did does doing don having just ought s t theirs".split()
-
-MORE_ENGLISH = """
-across afterwards almost alone along already also although always among amongst amoungst amount
-another anyhow anyone anything anyway anywhere around back became become becomes becoming
-beforehand behind beside besides beyond bill bottom call cant co computer con couldnt cry de
-describe detail done due eg eight either eleven else elsewhere empty enough etc even ever every
-everyone everything everywhere except fifteen fify fill find fire first five former formerly
-forty found four front full get give go hasnt hence hereafter hereby herein hereupon however
-hundred ie inc indeed interest keep last latter latterly least less ltd made many may meanwhile
-might mill mine moreover mostly move much must name namely neither never nevertheless next nine
-nobody none noone nothing nowhere often one onto others otherwise part per perhaps please put
-rather re see seem seemed seeming seems serious several show side since sincere six sixty
-somehow someone something sometime sometimes somewhere still system take ten thence thereafter
-thereby therefore therein thereupon thick thin third though three throughout thru thus together
-top toward towards twelve twenty two un upon us via well whatever whence whenever whereafter
-whereas whereby wherein whereupon wherever whether whither whoever whole whose within without
-yet
+ENGLISH = """
+a about above across after afterwards again against all almost alone along already also although
+always am among amongst amoungst amount an and another any anyhow anyone anything anyway anywhere
+are around as at back be became because become becomes becoming been before beforehand behind
+being below beside besides between beyond bill both bottom but by call can cannot cant co computer
+con could couldnt cry de describe detail do done down due during each eg eight either eleven else
+elsewhere empty enough etc even ever every everyone everything everywhere except few fifteen fify
+fill find fire first five for former formerly forty found four from front full further get give go
+had has hasnt have he hence her here hereafter hereby herein hereupon hers herself him himself his
+how however hundred i ie if in inc indeed interest into is it its itself keep last latter latterly
+least less ltd made many may me meanwhile might mill mine more moreover most mostly move much must
+my myself name namely neither never nevertheless next nine no nobody none noone nor not nothing
+now nowhere of off often on once one only onto or other others otherwise our ours ourselves out
+over own part per perhaps please put rather re same see seem seemed seeming seems serious several
+she should show side since sincere six sixty so some somehow someone something sometime sometimes
+somewhere still such system take ten than that the their them themselves then thence there
+thereafter thereby therefore therein thereupon these they thick thin third this those though three
+through throughout thru thus to together too top toward towards twelve twenty two un under until
+up upon us very via was we well were what whatever when whence whenever where whereafter whereas
+whereby wherein whereupon wherever whether which while whither who whoever whole whom whose why
+will with within without would yet you your yours yourself yourselves
 """.split()
 
 HEBREW = """
@@ -68,42 +63,22 @@ SYMBOLS = """
 STOP_WORD_MODES = ("substring", "exact")
 
 
-@lru_cache(maxsize=1)
-def _spark_english() -> tuple[str, ...]:
-    """Spark's own English list; from its jar while no session is running yet."""
-    if SparkSession.getActiveSession() is not None:
-        return tuple(StopWordsRemover.loadDefaultStopWords("english"))
-    jar = next(Path(_find_spark_home(), "jars").glob("spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as archive:
-        text = archive.read("org/apache/spark/ml/feature/stopwords/english.txt")
-    return tuple(text.decode("utf-8").split())
-
-
-def english_stop_words() -> list[str]:
-    kept = {w for w in _spark_english() if "'" not in w} - set(NOT_STOP_WORDS)
-    words = sorted(kept | set(MORE_ENGLISH))
-    if len(words) != 319:
-        raise RuntimeError(
-            f"expected 319 English stop words but this Spark version gives {len(words)}; "
-            "pass stop_words explicitly"
-        )
-    return words
-
-
 def default_stop_words() -> list[str]:
     """English, Hebrew and symbol entries; all apply whatever the corpus language is."""
-    return english_stop_words() + HEBREW + SYMBOLS
+    return ENGLISH + HEBREW + SYMBOLS
 
 
 def stop_text(stop_words: Sequence[str] | None = None) -> str:
     return "\n".join(default_stop_words() if stop_words is None else stop_words)
 
 
-@lru_cache(maxsize=8)
-def _fragments(stop_words: tuple[str, ...]) -> tuple[str, ...]:
-    """Every substring of every entry: what substring mode covers, as a finite set."""
+@lru_cache(maxsize=1)
+def _default_fragments() -> tuple[str, ...]:
+    """Every substring of every default entry: what substring mode covers, as a finite set."""
     return tuple(sorted({
-        w[i:j] for w in ("", *stop_words) for i in range(len(w) + 1) for j in range(i, len(w) + 1)
+        w[i:j]
+        for w in ("", *default_stop_words())
+        for i in range(len(w) + 1) for j in range(i, len(w) + 1)
     }))
 
 
@@ -135,14 +110,19 @@ def _words_of(stop_words: Sequence[str] | None, mode: str) -> tuple[str, ...]:
 
 
 def _is_covered(word: str, words: tuple[str, ...], mode: str) -> Column:
-    """Hash lookup that decides every word without a newline.
+    """Decides every word without a newline.
 
     Searching the list text for each word costs about 1 microsecond per word, which would be
     the most expensive thing the counting scan does.  A word without a newline lies inside
     the joined text exactly when it lies inside one entry, so substring mode is a lookup in
-    the set of all entry substrings.
+    the set of all entry substrings.  That set is kept for the default list only: for other
+    lists it can be very large, and the text, one literal, is searched.
     """
-    return _is_one_of(word, sorted(set(words)) if mode == "exact" else _fragments(words))
+    if mode == "exact":
+        return _is_one_of(word, sorted(set(words)))
+    if words == tuple(default_stop_words()):
+        return _is_one_of(word, _default_fragments())
+    return F.contains(F.lit(stop_text(words)), F.col(word))
 
 
 def _spans_entries(word: str, words: tuple[str, ...]) -> Column:
@@ -187,13 +167,27 @@ def is_stop_word(
     return is_short(word) | is_listed(word, stop_words, mode) | has_digit(word)
 
 
-def without_listed_words(bigrams: DataFrame, stop_words: DataFrame) -> DataFrame:
-    """Exact mode against a stop-word table (column ``word``) of any size.
+def without_listed_words(
+    bigrams: DataFrame, stop_words: DataFrame, mode: str = "exact"
+) -> DataFrame:
+    """Bigrams without a word that a stop-word table (column ``word``) of any size covers.
 
-    No broadcast hint: Spark broadcasts the table when its measured size allows it and
-    falls back to a shuffled anti join otherwise.
+    ``substring`` mode lists every substring of every entry, in Spark, and joins that.  No
+    broadcast hint: Spark broadcasts the table when its measured size allows it and falls
+    back to a shuffled anti join otherwise.  The extra exchange of the table lets adaptive
+    execution split a join partition that one word dominates.
     """
-    listed = stop_words.select("word").where("word is not null").distinct()
+    if mode not in STOP_WORD_MODES:
+        raise ValueError(f"mode must be one of {STOP_WORD_MODES}, not {mode!r}")
+    listed = stop_words.select("word").where("word is not null")
+    if mode == "substring":
+        starts = F.explode(F.sequence(F.lit(1), F.greatest(F.length("word"), F.lit(1))))
+        rest = listed.distinct().select("word", starts.alias("start"))
+        sizes = F.sequence(F.lit(0), F.greatest(F.length("word") - F.col("start") + 1, F.lit(0)))
+        listed = rest.select("word", "start", F.explode(sizes).alias("size")).select(
+            F.substring("word", F.col("start"), F.col("size")).alias("word")
+        )
+    listed = listed.distinct().repartition(F.xxhash64("word"))
     for side in ("w1", "w2"):
         bigrams = bigrams.join(listed.withColumnRenamed("word", side), side, "left_anti")
     return bigrams

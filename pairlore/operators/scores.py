@@ -21,39 +21,28 @@ from pairlore.operators.counts import (
 )
 
 SUM_SCOPES = ("positive", "all")
-DECADE_JOINS = ("broadcast", "shuffle")
-
-#: Most decade rows that are ever broadcast: about 5 MB as a hash table.
-MAX_BROADCAST_DECADES = 100_000
+DECADE_JOINS = ("auto", "shuffle")
 
 
 def attach_per_decade(
-    rows: DataFrame, per_decade: DataFrame, column: str, how: str = "broadcast"
+    rows: DataFrame, per_decade: DataFrame, column: str, how: str = "auto"
 ) -> DataFrame:
     """Add ``column`` of a one-row-per-decade table to every row of the decade.
 
-    A shuffle on the decade would put a third of the data into one task, so the small side
-    is broadcast.  Its size is bounded, not assumed: at most MAX_BROADCAST_DECADES rows are
-    sent, and a row that then finds no partner stops the job with the advice to use
-    ``how="shuffle"``, the way without a bound.  No row is ever lost silently.
+    Spark broadcasts the small side when its measured size allows it.  Otherwise both sides
+    are shuffled, and the small one ends in an exchange of its own, without which adaptive
+    execution could not split the decade that holds most of the rows.  ``how="shuffle"``
+    asks for that form; the result is the same.
     """
     if how not in DECADE_JOINS:
         raise ValueError(f"decade_join must be one of {DECADE_JOINS}, not {how!r}")
-    per_decade = per_decade.select("decade", column)
+    per_decade = per_decade.select("decade", column).repartition(F.xxhash64("decade"))
     if how == "shuffle":
-        return rows.join(per_decade, "decade")
-    bounded = F.broadcast(per_decade.limit(MAX_BROADCAST_DECADES))
-    too_many = F.raise_error(
-        F.lit(
-            f"more than {MAX_BROADCAST_DECADES} decades: "
-            "use decade_join='shuffle' for this data"
-        )
-    ).cast("bigint")
-    found = F.coalesce(F.col(column), too_many)
-    return rows.join(bounded, "decade", "left").withColumn(column, found)
+        per_decade = per_decade.hint("merge")
+    return rows.join(per_decade, "decade")
 
 
-def contingency(pairs: DataFrame, decade_join: str = "broadcast") -> DataFrame:
+def contingency(pairs: DataFrame, decade_join: str = "auto") -> DataFrame:
     """``(decade, w1, w2, c12)`` plus the marginals ``c1``, ``c2`` and the total ``n``.
 
     The marginals come from their own partial aggregation and are joined back, rather than
@@ -61,13 +50,15 @@ def contingency(pairs: DataFrame, decade_join: str = "broadcast") -> DataFrame:
     adaptive execution splits a join partition that one word dominates.  It does so only
     when both join inputs end in an exchange.  An aggregate already sits on the join keys
     and gets none, so ``_movable`` gives it one; that moves one row per word and decade.
+    The total rides on the first-word counts, so pairs are never joined on the decade alone.
     """
     c1 = first_word_counts(pairs)
     c2 = second_word_counts(pairs)
     # Every pair is counted once under its first word, so the totals need no pass of their
     # own over the pairs.
     n = totals_of_words(c1)
-    return attach_counts(pairs, _movable(c1, "w1"), _movable(c2, "w2"), n, decade_join)
+    c1 = attach_per_decade(c1, n, "n", decade_join)
+    return attach_counts(pairs, _movable(c1, "w1"), _movable(c2, "w2"))
 
 
 def _movable(marginals: DataFrame, word: str) -> DataFrame:
@@ -79,17 +70,10 @@ def totals_of_words(c1: DataFrame) -> DataFrame:
     return c1.groupBy("decade").agg(F.sum("c1").alias("n"))
 
 
-def attach_counts(
-    pairs: DataFrame,
-    c1: DataFrame,
-    c2: DataFrame,
-    n: DataFrame,
-    decade_join: str = "broadcast",
-) -> DataFrame:
+def attach_counts(pairs: DataFrame, c1: DataFrame, c2: DataFrame) -> DataFrame:
+    """Pairs with their marginals; ``c1`` also carries the decade total ``n``."""
     joined = pairs.join(c1, ["decade", "w1"]).join(c2, ["decade", "w2"])
-    return attach_per_decade(joined, n, "n", decade_join).select(
-        *PAIR_KEYS, "c12", "c1", "c2", "n"
-    )
+    return joined.select(*PAIR_KEYS, "c12", "c1", "c2", "n")
 
 
 def _scored() -> Column:
@@ -133,9 +117,14 @@ def passing_scores(
     sums: DataFrame,
     min_npmi: float,
     rel_min_npmi: float,
-    decade_join: str = "broadcast",
+    decade_join: str = "auto",
 ) -> DataFrame:
-    """Scores with ``npmi >= min_npmi`` or ``npmi / sum_npmi >= rel_min_npmi``."""
+    """Scores with ``npmi >= min_npmi`` or ``npmi / sum_npmi >= rel_min_npmi``.
+
+    Where a decade's sum is zero, a positive score passes any relative threshold.  Where it
+    is negative, which only a sum over all pairs can be, shares change their sign and no
+    positive score passes a positive relative threshold.
+    """
     min_npmi = check_threshold("min_npmi", min_npmi)
     rel_min_npmi = check_threshold("rel_min_npmi", rel_min_npmi)
     share = F.when(F.col("sum_npmi") != 0, F.col("npmi") / F.col("sum_npmi")).otherwise(
@@ -164,13 +153,19 @@ def by_words_nulls_first(counts: DataFrame) -> DataFrame:
 
 
 def integrity_audit(contingency: DataFrame) -> DataFrame:
-    """One row per zero or missing component: ``(decade, w1, w2, reason)``."""
-    problems = F.array_compact(
-        F.array(
-            *(
-                F.when(F.coalesce(F.col(c), F.lit(0)) == 0, F.lit(f"{c} is zero"))
-                for c in ("c12", "c1", "c2")
-            )
+    """One row per component that is not positive: ``(decade, w1, w2, reason)``.
+
+    These are the rows that ``has_all_components`` keeps out of the scores: components that
+    are zero (an absent fact becomes zero), missing or negative.
+    """
+
+    def problem(c: str) -> Column:
+        value = F.col(c)
+        return (
+            F.when(value.isNull(), F.lit(f"{c} is missing"))
+            .when(value < 0, F.lit(f"{c} is negative"))
+            .when(value == 0, F.lit(f"{c} is zero"))
         )
-    )
+
+    problems = F.array_compact(F.array(*map(problem, ("c12", "c1", "c2"))))
     return contingency.select(*PAIR_KEYS, F.explode(problems).alias("reason"))

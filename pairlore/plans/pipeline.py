@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from pairlore.functions.measures import has_all_components
+from pairlore.functions.words import stop_text
 from pairlore.operators.counts import (
     first_word_counts,
     pair_counts,
     second_word_counts,
 )
 from pairlore.operators.scores import (
-    MAX_BROADCAST_DECADES,
     attach_counts,
+    attach_per_decade,
     by_descending_score,
     check_threshold,
     contingency,
@@ -24,7 +26,10 @@ from pairlore.operators.scores import (
     totals_of_words,
 )
 
-STAGES = ("pair_counts", "first_word_counts", "second_word_counts", "contingency", "npmi_sums")
+STAGES = (
+    "pair_counts", "first_word_counts", "second_word_counts", "decade_totals", "contingency",
+    "npmi_sums",
+)
 
 
 def collocations(
@@ -36,7 +41,7 @@ def collocations(
     stopword_mode: str = "substring",
     sum_scope: str = "positive",
     include_perfect: bool = False,
-    decade_join: str = "broadcast",
+    decade_join: str = "auto",
 ) -> DataFrame:
     """Ordered word pairs that pass either threshold, best first within each decade.
 
@@ -85,14 +90,33 @@ def write_stages(
     pairs = kept("pair_counts", pair_counts(ngrams, stop_words, stopword_mode))
     c1 = kept("first_word_counts", first_word_counts(pairs))
     c2 = kept("second_word_counts", second_word_counts(pairs))
-    n = totals_of_words(c1)
-    table = kept("contingency", attach_counts(pairs, c1, c2, n, _join_for(n)))
+    n = kept("decade_totals", totals_of_words(c1))
+    table = kept("contingency", attach_counts(pairs, attach_per_decade(c1, n, "n"), c2))
     sums = kept("npmi_sums", npmi_sums(table, sum_scope))
-    return dict(zip(STAGES, (pairs, c1, c2, table, sums), strict=True))
+    chosen = _options(stop_words, stopword_mode, sum_scope)
+    kept("options", spark.createDataFrame(sorted(chosen.items()), "name string, value string"))
+    return dict(zip(STAGES, (pairs, c1, c2, n, table, sums), strict=True))
+
+
+def _options(stop_words: Sequence[str] | None, mode: str, scope: str) -> dict[str, str]:
+    digest = hashlib.sha256(stop_text(stop_words).encode()).hexdigest()
+    return {"stop_words": digest, "stopword_mode": mode, "sum_scope": scope}
 
 
-def read_stages(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The tables an earlier ``write_stages`` left in ``folder``."""
+def read_stages(
+    spark: SparkSession,
+    folder: str,
+    *,
+    stop_words: Sequence[str] | None = None,
+    stopword_mode: str = "substring",
+    sum_scope: str = "positive",
+) -> dict[str, DataFrame]:
+    """The tables an earlier ``write_stages`` with the same options left in ``folder``."""
+    found = {r.name: r.value for r in spark.read.parquet(f"{folder}/options").collect()}
+    wanted = _options(stop_words, stopword_mode, sum_scope)
+    other = sorted(k for k in wanted if found.get(k) != wanted[k])
+    if other:
+        raise ValueError(f"the stages in {folder} were written with another {', '.join(other)}")
     return {name: spark.read.parquet(f"{folder}/{name}") for name in STAGES}
 
 
@@ -110,12 +134,5 @@ def collocations_from(
         sums,
         min_npmi,
         rel_min_npmi,
-        _join_for(sums),
     )
     return by_descending_score(passing)
-
-
-def _join_for(per_decade: DataFrame) -> str:
-    """Counts the decades of a stage table (a small job) to choose how to join it."""
-    few = per_decade.limit(MAX_BROADCAST_DECADES + 1).count() <= MAX_BROADCAST_DECADES
-    return "broadcast" if few else "shuffle"

@@ -8,6 +8,7 @@ the text and NULL in a DataFrame.
 from __future__ import annotations
 
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -134,10 +135,23 @@ def union_facts(*facts: DataFrame) -> DataFrame:
 
 
 def write_facts(facts: DataFrame, path: str) -> None:
-    """Text lines in the order the DataFrame has; fails when the directory exists."""
-    word = [F.coalesce(F.col(w), F.lit(_NO_WORD)) for w in ("w1", "w2")]
-    facts.select(
-        F.concat_ws(
-            "\t", F.col("decade").cast("string"), *word, "tag", F.col("value").cast("string")
-        ).alias("value")
-    ).write.text(path)
+    """Text lines in the order the DataFrame has; fails when the directory exists.
+
+    Every line can be read back: a row whose line could not (a NULL decade, tag or value, or
+    a word with a TAB or a line break, or of one space, which stands for no word) stops the
+    job with an error that shows the row.
+    """
+    words = [F.col(w) for w in ("w1", "w2")]
+    broken = [F.coalesce(w.rlike("[\\t\\n\\r]") | (w == _NO_WORD), F.lit(False)) for w in words]
+    missing = [F.col(c).isNull() for c in ("decade", "tag", "value")]
+    fits = ~reduce(or_, broken + missing)
+    row = F.to_json(F.struct("decade", "w1", "w2", "tag", "value"))
+    line = F.concat_ws(
+        "\t",
+        F.col("decade").cast("string"),
+        *(F.coalesce(w, F.lit(_NO_WORD)) for w in words),
+        "tag",
+        F.col("value").cast("string"),
+    )
+    stop = F.raise_error(F.concat(F.lit("no line can hold this fact: "), row)).cast("string")
+    facts.select(F.when(fits, line).otherwise(stop).alias("value")).write.text(path)

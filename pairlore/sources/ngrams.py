@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairlore.sources.scratch import shared_folder
+
 NGRAM_COLUMNS = ["ngram", "year", "match_count"]
-#: Column order of the TAB-separated form; the last one is never read.
-NGRAM_SCHEMA = "ngram string, year bigint, match_count bigint, volume_count bigint"
 FORMATS = ("parquet", "orc", "csv", "text", "sequencefile")
 ON_ERROR = ("fail", "quarantine")
 
@@ -21,45 +21,63 @@ def read_ngrams(
 ) -> DataFrame:
     """``(ngram, year, match_count)`` from one corpus, given by its path.
 
-    ``text`` and ``sequencefile`` hold TAB-separated lines of three or more fields.  ``csv``
-    has the four columns of NGRAM_SCHEMA; it is TAB-separated with quoting off unless
-    ``options`` say otherwise.
+    ``text``, ``csv`` and ``sequencefile`` hold lines of three or more fields.  They are
+    TAB-separated without quotes; for ``csv``, ``options`` (``sep``, ``quote``, ``escape``)
+    can say otherwise, one record per line.  ``rejected_ngram_lines`` returns what
+    ``on_error="quarantine"`` leaves out.
     """
     if format in ("text", "sequencefile"):
-        lines = read_lines(spark, path, format)
-        return parse_ngram_lines(lines, on_error)
+        return parse_ngram_lines(read_lines(spark, path, format), on_error)
     if format == "csv":
-        mode = {"fail": "FAILFAST", "quarantine": "DROPMALFORMED"}[_checked(on_error)]
-        table = spark.read.options(
-            **{"sep": "\t", "quote": "", "mode": mode, "columnPruning": "false", **options}
-        ).csv(path, schema=NGRAM_SCHEMA)
-    elif format in ("parquet", "orc"):
+        return parse_ngram_lines(read_lines(spark, path), on_error, **options)
+    if format in ("parquet", "orc"):
         table = spark.read.format(format).options(**options).load(path)
-    else:
-        raise ValueError(f"format must be one of {FORMATS}, not {format!r}")
-    return table.select(*NGRAM_COLUMNS)
+        return table.select(*NGRAM_COLUMNS)
+    raise ValueError(f"format must be one of {FORMATS}, not {format!r}")
 
 
 def read_lines(
     spark: SparkSession, path: str | list[str], format: str = "text"
 ) -> DataFrame:
     """Raw lines as column ``value``."""
-    if format == "text":
+    if format in ("text", "csv"):
         return spark.read.text(path)
     if format == "sequencefile":
         paths = path if isinstance(path, str) else ",".join(path)
         return _sequence_file_values(spark, paths)
-    raise ValueError(f"lines come from 'text' or 'sequencefile', not {format!r}")
+    raise ValueError(f"lines come from 'text', 'csv' or 'sequencefile', not {format!r}")
+
+
+def _hadoop_class(spark: SparkSession, name: str):
+    return spark.sparkContext._jvm.java.lang.Class.forName(f"org.apache.hadoop.{name}")
 
 
 def _sequence_file_values(spark: SparkSession, paths: str) -> DataFrame:
-    """Values of a SequenceFile of Text; the record keys are dropped.
+    """Values of a SequenceFile of Text, whatever its keys; the keys are dropped.
 
-    Spark SQL has no reader for this format, so the records come from the RDD API and go
-    through Python once.  Convert a large corpus to parquet before working with it.
+    Spark SQL has no reader for this format.  The records are copied once to text lines on
+    shared storage, inside the JVM, and read from there like any text.
     """
-    values = spark.sparkContext.sequenceFile(paths).values()
-    return values.map(lambda value: (value,)).toDF("value string")
+    writable, text = (_hadoop_class(spark, f"io.{c}") for c in ("Writable", "Text"))
+    folder = shared_folder(spark, "lines")
+    spark.sparkContext._jsc.sequenceFile(paths, writable, text).values().saveAsTextFile(folder)
+    return spark.read.text(folder)
+
+
+def write_sequence_file(lines: DataFrame, path: str) -> None:
+    """Lines (column ``value``) as a SequenceFile of Text, keyed by their place in the file.
+
+    They go through text on shared storage: both steps stay inside the JVM.
+    """
+    spark = lines.sparkSession
+    folder = shared_folder(spark, "lines")
+    lines.select("value").write.text(folder)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    key, text = (_hadoop_class(spark, f"io.{c}") for c in ("LongWritable", "Text"))
+    reader = _hadoop_class(spark, "mapreduce.lib.input.TextInputFormat")
+    writer = _hadoop_class(spark, "mapreduce.lib.output.SequenceFileOutputFormat")
+    records = spark.sparkContext._jsc.newAPIHadoopFile(folder, reader, key, text, conf)
+    records.saveAsNewAPIHadoopFile(path, key, text, writer, conf)
 
 
 def _checked(on_error: str) -> str:
@@ -68,39 +86,54 @@ def _checked(on_error: str) -> str:
     return on_error
 
 
-def _fields() -> Column:
-    return F.split("value", "\t")
+#: How fields are parted unless options say otherwise.
+_PLAIN = {"sep": "\t", "quote": ""}
+CSV_OPTIONS = ("sep", "quote", "escape")
+
+
+def _fields(options: dict[str, str]) -> Column:
+    """The fields of a line as an array of three or more strings."""
+    unknown = sorted(options.keys() - set(CSV_OPTIONS))
+    if unknown:
+        raise ValueError(f"options must be among {CSV_OPTIONS}, not {unknown}")
+    if not options or _PLAIN | options == _PLAIN:
+        return F.split("value", "\t")
+    names = [f"f{i}" for i in range(4)]  # a longer line keeps its first fields
+    schema = ", ".join(f"{n} string" for n in names)
+    record = F.from_csv("value", F.lit(schema), {**_PLAIN, **options, "mode": "PERMISSIVE"})
+    return F.array(*(record[n] for n in names))
 
 
-def _number(position: int) -> Column:
-    return F.get(_fields(), F.lit(position)).try_cast("bigint")
+def _number(fields: Column, position: int) -> Column:
+    return F.get(fields, F.lit(position)).try_cast("bigint")
 
 
-def _is_well_formed() -> Column:
-    return _number(1).isNotNull() & _number(2).isNotNull()
+def _is_well_formed(fields: Column) -> Column:
+    return _number(fields, 1).isNotNull() & _number(fields, 2).isNotNull()
 
 
-def parse_ngram_lines(lines: DataFrame, on_error: str = "fail") -> DataFrame:
+def parse_ngram_lines(lines: DataFrame, on_error: str = "fail", **options: str) -> DataFrame:
     """Lines ``ngram TAB year TAB match_count [TAB ...]`` to typed columns.
 
     With ``fail`` a line without two whole numbers stops the job even when its n-gram would
     be filtered out later; with ``quarantine`` such lines are left out here and returned by
-    ``rejected_ngram_lines``.
+    ``rejected_ngram_lines``.  ``options`` part the fields as CSV does.
     """
-    keep = _is_well_formed()
+    fields = _fields(options)
+    keep = _is_well_formed(fields)
     if _checked(on_error) == "fail":
         stop = F.raise_error(F.concat(F.lit("not an n-gram line: "), F.col("value")))
         keep = F.when(keep, F.lit(True)).otherwise(stop.cast("boolean"))
     return lines.where(keep).select(
-        F.get(_fields(), F.lit(0)).alias("ngram"),
-        _number(1).alias("year"),
-        _number(2).alias("match_count"),
+        F.get(fields, F.lit(0)).alias("ngram"),
+        _number(fields, 1).alias("year"),
+        _number(fields, 2).alias("match_count"),
     )
 
 
-def rejected_ngram_lines(lines: DataFrame) -> DataFrame:
+def rejected_ngram_lines(lines: DataFrame, **options: str) -> DataFrame:
     """The lines that ``parse_ngram_lines(..., on_error="quarantine")`` leaves out."""
-    return lines.where(~_is_well_formed()).select("value")
+    return lines.where(~_is_well_formed(_fields(options))).select("value")
 
 
 def bigrams_of_text(texts: DataFrame, text: str, year: Column, *keep: str) -> DataFrame:

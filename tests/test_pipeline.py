@@ -80,14 +80,19 @@ def test_stage_options(ngrams, tmp_path):
     assert any(r[1] == "ring" for r in rows(stages["pair_counts"]))
 
 
-def test_stage_join_follows_the_number_of_decades(ngrams, tmp_path, monkeypatch):
-    table = ngrams(*((n, c, y) for y in (1950, 1960, 1970) for n, c in GOLDEN))
+def test_stages_remember_their_options(spark, ngrams, tmp_path):
+    write_stages(ngrams(*GOLDEN), str(tmp_path / "s"), stopword_mode="exact")
+    with pytest.raises(ValueError, match="stopword_mode"):
+        read_stages(spark, str(tmp_path / "s"))
+    again = read_stages(spark, str(tmp_path / "s"), stopword_mode="exact")
+    assert rows(collocations_from(again, 0.37, 0.38))
+
+
+def test_null_counts_give_the_same_rows_on_both_paths(ngrams, tmp_path):
+    table = ngrams(*GOLDEN, ("rain deer", None, 1950), ("rain fall", None, 1950))
     want = rows(collocations(table, 0.37, 0.38))
-    monkeypatch.setattr(pipeline, "MAX_BROADCAST_DECADES", 2)
-    stages = write_stages(table, str(tmp_path / "s"))
-    found = collocations_from(stages, 0.37, 0.38)
-    assert rows(found) == want
-    assert "raise_error" not in executed_plan(found)
+    assert len(want) == 2
+    assert rows(collocations_from(write_stages(table, str(tmp_path / "s")), 0.37, 0.38)) == want
 
 
 def test_corpus_is_scanned_once_and_no_python_runs(corpus):
@@ -103,7 +108,7 @@ def test_hot_words_are_split(corpus, conf):
     conf(**SMALL_SKEW)
     counts = contingency(pair_counts(corpus))
     plan = executed_plan(counts)
-    assert plan.count("SortMergeJoin(skew=true)") == 2
+    assert plan.count("SortMergeJoin(skew=true)") == 3  # with the decade
     assert counts.count() == 20_000
 
 
@@ -112,9 +117,8 @@ def test_hot_words_are_split_from_stage_tables(corpus, conf, tmp_path):
     stages = write_stages(corpus, str(tmp_path / "s"))
     joined = pipeline.attach_counts(
         stages["pair_counts"],
-        stages["first_word_counts"],
+        pipeline.attach_per_decade(stages["first_word_counts"], stages["decade_totals"], "n"),
         stages["second_word_counts"],
-        pipeline.totals_of_words(stages["first_word_counts"]),
     )
-    assert executed_plan(joined).count("SortMergeJoin(skew=true)") == 2
+    assert executed_plan(joined).count("SortMergeJoin(skew=true)") == 3
     assert sorted(rows(joined)) == sorted(rows(stages["contingency"]))

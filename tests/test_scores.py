@@ -143,18 +143,42 @@ def test_thresholds_are_checked_before_anything_runs(ngrams, bad):
         collocations(ngrams(*GOLDEN), 0.1, bad)
 
 
-def test_broadcast_of_decades_is_bounded(ngrams, monkeypatch):
+def test_ways_to_join_decades_agree(ngrams):
     table = ngrams(*((n, c, y) for y in (1950, 1960, 1970) for n, c in GOLDEN))
     want = sorted(rows(collocations(table, 0.37, 0.38)))
     assert len(want) == 6
-    monkeypatch.setattr(S, "MAX_BROADCAST_DECADES", 2)
-    with pytest.raises(Exception, match="more than 2 decades"):
-        collocations(table, 0.37, 0.38).collect()
     assert sorted(rows(collocations(table, 0.37, 0.38, decade_join="shuffle"))) == want
     with pytest.raises(ValueError):
         collocations(table, 0.37, 0.38, decade_join="cross")
 
 
+def test_hot_decade_is_split(spark, conf):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="1k",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="4k",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    )
+    decade = F.when(F.col("id") % 3 > 0, 1990).otherwise(1800 + 10 * (F.col("id") % 17)).cast("bigint")
+    table = spark.range(0, 40_000, 1, 8).select(decade.alias("decade"), F.col("id").alias("c1"))
+    totals = table.groupBy("decade").agg(F.sum("c1").alias("n"))
+    joined = S.attach_per_decade(table, totals, "n", "shuffle")
+    assert joined.count() == 40_000
+    joined.collect()
+    assert "SortMergeJoin(skew=true)" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_audit_names_what_is_wrong(spark):
+    table = spark.createDataFrame(
+        [(1990, "a", "b", -4, 5, 9), (1990, "a", "c", 9, 5, 9), (1990, "d", "e", 1, None, 0)],
+        "decade bigint, w1 string, w2 string, c12 bigint, c1 bigint, c2 bigint",
+    )
+    assert sorted(r[1:] for r in rows(integrity_audit(table))) == [
+        ("a", "b", "c12 is negative"), ("d", "e", "c1 is missing"), ("d", "e", "c2 is zero"),
+    ]
+
+
 def test_sum_does_not_depend_on_row_order(spark):
     rng = random.Random(5)
     values = [rng.uniform(-1, 1) for _ in range(5000)]

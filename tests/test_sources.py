@@ -24,6 +24,7 @@ from pairlore import (
     write_by_decade,
     write_facts,
     write_text,
+    write_sequence_file,
 )
 from pairlore.sources.facts import read_tagged_facts
 
@@ -94,7 +95,7 @@ def test_unknown_format_and_mode(spark):
     with pytest.raises(ValueError):
         read_ngrams(spark, "x", "avro")
     with pytest.raises(ValueError):
-        read_lines(spark, "x", "csv")
+        read_lines(spark, "x", "avro")
     with pytest.raises(ValueError):
         parse_ngram_lines(lines_df(spark, LINES), "ignore")
 
@@ -113,6 +114,50 @@ def test_quarantine(spark):
     assert sorted(r.value for r in rejected_ngram_lines(lines).collect()) == sorted(bad)
 
 
+def test_csv_lines_of_any_length(spark, tmp_path):
+    """Three, four and five fields, and bad lines: what text reads, csv reads."""
+    good = ["rain deer\t1994\t4", "rain fall\t1994\t6\t2", "snow fall\t1994\t5\t1\tmore"]
+    bad = ["rain deer\tx\t4", "rain deer\t1994", ""]
+    path = save(spark, [*good, *bad], str(tmp_path / "n"))
+    found = [sorted(rows(read_ngrams(spark, path, f, "quarantine"))) for f in ("csv", "text")]
+    assert found[0] == found[1] and [r[0] for r in found[0]] == ["rain deer", "rain fall", "snow fall"]
+    lines = read_lines(spark, path, "csv")
+    assert sorted(r.value for r in rejected_ngram_lines(lines).collect()) == sorted(bad)
+
+
+def test_csv_options(spark, tmp_path):
+    lines = ['"rain, deer",1994,4', "snow fall,1994,5,1,more", "bad,x,1"]
+    path = save(spark, lines, str(tmp_path / "n"))
+    options = {"sep": ",", "quote": '"'}
+    found = read_ngrams(spark, path, "csv", "quarantine", **options)
+    assert sorted(rows(found)) == [("rain, deer", 1994, 4), ("snow fall", 1994, 5)]
+    rejected = rejected_ngram_lines(read_lines(spark, path, "csv"), **options)
+    assert [r.value for r in rejected.collect()] == ["bad,x,1"]
+    with pytest.raises(ValueError):
+        read_ngrams(spark, path, "csv", multiLine="true")
+
+
+def test_sequence_files_stay_in_the_jvm(spark, tmp_path):
+    write_sequence_file(lines_df(spark, LINES), str(tmp_path / "n"))
+    found = read_ngrams(spark, str(tmp_path / "n"), "sequencefile")
+    assert sorted(rows(found)) == PARSED
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "ExistingRDD" not in plan
+
+
+@pytest.mark.parametrize("word", ["a\tb", "a\nb", " "])
+def test_facts_that_no_line_can_hold(spark, tmp_path, word):
+    facts = spark.createDataFrame([(1990, word, "c", "Cw1w2", 1)], "decade bigint, w1 string, w2 string, tag string, value bigint")
+    with pytest.raises(Exception, match="no line can hold this fact"):
+        write_facts(facts, str(tmp_path / "f"))
+
+
+def test_facts_without_a_value(spark, tmp_path):
+    facts = spark.createDataFrame([(None, "a", "c", "Cw1w2", 1)], "decade bigint, w1 string, w2 string, tag string, value bigint")
+    with pytest.raises(Exception, match="no line can hold this fact"):
+        write_facts(facts, str(tmp_path / "f"))
+
+
 def test_csv_bad_number(spark, tmp_path):
     path = save(spark, [*LINES, "one\tx\t1\t1"], str(tmp_path / "n"))
     with pytest.raises(Exception):

@@ -1,11 +1,10 @@
-import zipfile
+import hashlib
+import time
 from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.find_spark_home import _find_spark_home
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import functions as F
 
 from pairlore import accepted_bigrams, is_stop_word, two_word_ngrams, without_listed_words
@@ -24,18 +23,28 @@ def rejected(spark, words, **options):
 
 
 def test_list_sizes():
-    assert len(W.english_stop_words()) == 319
+    assert len(W.ENGLISH) == 319
     assert (len(W.HEBREW), len(set(W.HEBREW))) == (150, 149)
     assert len(W.SYMBOLS) == 13
     assert len(set(W.default_stop_words())) == 480
     assert len(W.stop_text()) == 2493
 
 
-def test_spark_list_is_the_same_with_and_without_a_session(spark):
-    jar = next(Path(_find_spark_home(), "jars").glob("spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as archive:
-        text = archive.read("org/apache/spark/ml/feature/stopwords/english.txt")
-    assert text.decode().split() == StopWordsRemover.loadDefaultStopWords("english")
+def test_list_text():
+    digest = hashlib.sha256(W.stop_text().encode()).hexdigest()
+    assert digest == "113c681327b7cf4ce5d56a5d7f8bed93a82b3bc270d5a1d093890f7bdf3d993b"
+    kept = Path(__file__).with_name("stop_words.txt").read_text(encoding="utf-8")
+    assert kept == W.stop_text() + "\n"
+
+
+def test_large_own_list_is_planned_quickly(spark):
+    own = [f"w{i}ord" for i in range(100_000)]
+    rejected(spark, ["plate"], stop_words=["warm", "up"])
+    started = time.monotonic()
+    plan = words_df(spark, ["x"]).where(W.is_listed("w", own))
+    plan._jdf.queryExecution().executedPlan()
+    assert time.monotonic() - started < 2
+    assert {r.w for r in words_df(spark, ["w7o", "plate"]).where(W.is_listed("w", own)).collect()} == {"w7o"}
 
 
 def test_substring_mode_drops_parts_of_entries(spark):
@@ -106,6 +115,33 @@ def test_anti_join_equals_exact_mode(spark, ngrams):
     assert expected.count() == 2
 
 
+def test_substring_table_equals_substring_mode(spark, ngrams):
+    table = ngrams(("the plate", 1), ("ring plate", 2), ("plate ring", 3), ("plate of", 4), ("plate zz", 5))
+    listed = spark.createDataFrame([(w,) for w in (*W.default_stop_words(), "", None)], "word string")
+    joined = without_listed_words(two_word_ngrams(table), listed, "substring")
+    assert rows(joined, "w1", "w2") == [("plate", "zz")]
+    with pytest.raises(ValueError):
+        without_listed_words(table, listed, "prefix")
+
+
+def test_hot_word_of_an_anti_join_is_split(spark, conf):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="1k",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="4k",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    )
+    word = F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("w"), F.col("id").cast("string")))
+    bigrams = spark.range(0, 40_000, 1, 8).select(word.alias("w1"), F.concat(F.lit("v"), F.col("id").cast("string")).alias("w2"))
+    listed = spark.createDataFrame([("w1",), ("w3",), ("v8",)], "word string")
+    kept = without_listed_words(bigrams, listed)
+    assert kept.count() == 39_997
+    kept.collect()
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin(skew=true)" in plan
+
+
 def test_membership_test_is_one_hash_lookup(spark):
     plan = (
         words_df(spark, ["x"]).where(~F.col("w").isNull()).where(W.is_listed("w"))

@@ -23,6 +23,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--output-format", default="text", choices=("text", "parquet"))
     parser.add_argument("--stages", help="new shared directory for the stage tables")
     parser.add_argument("--stopword-mode", default="substring", choices=("substring", "exact"))
+    parser.add_argument("--stop-words", help="file with one stop word per line, UTF-8")
     parser.add_argument("--sum-scope", default="positive", choices=("positive", "all"))
     parser.add_argument("--include-perfect", action="store_true")
     return parser.parse_args(argv)
@@ -34,6 +35,8 @@ def main(argv: list[str] | None = None) -> None:
     ngrams = read_ngrams(spark, args.input, args.format, args.on_error)
     thresholds = (args.min_npmi, args.rel_min_npmi)
     options = {"stopword_mode": args.stopword_mode, "sum_scope": args.sum_scope}
+    if args.stop_words:
+        options["stop_words"] = [r.value for r in spark.read.text(args.stop_words).collect()]
     if args.stages:
         stages = write_stages(ngrams, args.stages, **options)
         result = collocations_from(stages, *thresholds, include_perfect=args.include_perfect)

@@ -6,10 +6,12 @@ import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pairlore.functions.measures import has_all_components
+from pairlore.functions.measures import has_all_components, repeatable_sum
 from pairlore.functions.words import stop_text
 from pairlore.operators.counts import (
+    PAIR_KEYS,
     first_word_counts,
     pair_counts,
     second_word_counts,
@@ -45,9 +47,10 @@ def collocations(
 ) -> DataFrame:
     """Ordered word pairs that pass either threshold, best first within each decade.
 
-    One lazy plan; nothing runs before an action.  The contingency table is used twice, for
-    the scores and for their sum, so its joins run twice.  For a large corpus prefer
-    ``collocations_from(write_stages(...), ...)``, which computes everything once.
+    One lazy plan; nothing runs before an action.  The scores are used twice, for the result
+    and for their sum.  By default both uses read one exchange; with another sum scope or
+    with perfect pairs they differ, and the word joins run twice.  For a large corpus prefer
+    ``collocations_from(write_stages(...), ...)``, which keeps every step.
     """
     check_threshold("min_npmi", min_npmi)
     check_threshold("rel_min_npmi", rel_min_npmi)
@@ -56,13 +59,18 @@ def collocations(
     table = contingency(pair_counts(ngrams, stop_words, stopword_mode), decade_join).where(
         has_all_components()
     )
-    passing = passing_scores(
-        npmi_scores(table, include_perfect),
-        npmi_sums(table, sum_scope),
-        min_npmi,
-        rel_min_npmi,
-        decade_join,
-    )
+    if sum_scope == "positive" and not include_perfect:
+        scores = npmi_scores(table).select(*PAIR_KEYS, "npmi")
+        scores = scores.repartition(F.xxhash64(*PAIR_KEYS))
+        # An exchange is shared only if both uses need the same columns: the test of the
+        # words, which always holds, keeps them in the sum.
+        has_words = F.max(F.xxhash64("w1", "w2")).isNotNull()
+        sums = scores.groupBy("decade").agg(
+            F.when(has_words, repeatable_sum(F.col("npmi"))).alias("sum_npmi")
+        )
+    else:
+        scores, sums = npmi_scores(table, include_perfect), npmi_sums(table, sum_scope)
+    passing = passing_scores(scores, sums, min_npmi, rel_min_npmi, decade_join)
     return by_descending_score(passing)
 
 

@@ -108,12 +108,12 @@ class Evidence(NamedTuple):
         out[:, 1] = self.word[w.word]
         out[:, 2] = np.log1p(w.length) - 1.5
         for k, (bucket, first, some) in enumerate(w.grams):
-            if len(bucket):
-                value = self.gram[bucket]
-                at = np.minimum(first, len(bucket) - 1)
-                count = np.diff(np.append(first, len(bucket)))
-                out[:, 3 + 2 * k] = np.where(some, np.maximum.reduceat(value, at), 0)
-                out[:, 4 + 2 * k] = np.where(some, np.add.reduceat(value, at) / np.maximum(count, 1), 0)
+            # One value more than there are n-grams: words at the end may have none.
+            value = np.append(self.gram[bucket], np.float32(-np.inf))
+            count = np.diff(np.append(first, len(bucket)))
+            out[:, 3 + 2 * k] = np.where(some, np.maximum.reduceat(value, first), 0)
+            value[-1] = 0
+            out[:, 4 + 2 * k] = np.where(some, np.add.reduceat(value, first) / np.maximum(count, 1), 0)
         return out
 
 

@@ -125,7 +125,9 @@ def train(labelled: DataFrame, limit: int = SAMPLE) -> UrlModel:
         [tuple(r) for r in rows.orderBy(F.xxhash64("url"), "url").limit(limit).collect()],
         columns=["url", "blocked", "last", "last_two"],
     )
-    x = features(sample["url"], sample["last"].astype(int), sample["last_two"].astype(int), rates) if len(sample) else np.zeros((0, 1))
+    if sample.empty:
+        return UrlModel(fit(np.zeros((0, 1)), np.zeros(0))._replace(base=-35.0), rates)
+    x = features(sample["url"], sample["last"].astype(int), sample["last_two"].astype(int), rates)
     return UrlModel(fit(x, sample["blocked"].astype(float).to_numpy()), rates)
 
 

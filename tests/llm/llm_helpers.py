@@ -1,0 +1,39 @@
+"""Fixtures and rows for the tests of this folder; not a conftest, so that none clashes.
+
+ODD has the rows that every operator must take: nulls, blanks, long texts, repeated rows.
+"""
+
+import pytest
+
+LONG = " ".join(f"w{i % 977}x{i % 13}" for i in range(30_000))
+ODD = [
+    (1, None), (2, ""), (3, " \t\n"), (4, "one two"), (4, "one two"), (5, "ONE\x0btwo"), (None, "a b c d e f"),
+    (None, None), (6, LONG), (7, LONG), (8, LONG.replace("w5x5", "other")), (9, "é ü \U0001f600 ñ " * 9),
+]
+CLASHING = "score string, size string, digest string, n int, key string, held_out string"
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    """documents from (doc_id, text[, source]) tuples, with columns of clashing names."""
+
+    def make(*rows):
+        schema = f"doc_id long, text string, source string, {CLASHING}"
+        return spark.createDataFrame(
+            [(r[0], r[1], r[2] if len(r) > 2 else "s", "x", "y", "z", 1, "k", "h") for r in rows], schema
+        ).repartition(3)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def tables(tmp_path_factory):
+    """A folder of tables, as the queries read them."""
+
+    def make(**frames):
+        folder = tmp_path_factory.mktemp("tables")
+        for name, frame in frames.items():
+            frame.write.parquet(f"{folder}/{name}.parquet")
+        return str(folder)
+
+    return make

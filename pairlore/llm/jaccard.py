@@ -39,10 +39,11 @@ COUNTERS = 1 << 20  # of the rarity sketch; 8 MB wherever it goes, whatever the
 CHUNK = 1 << 14
 FAN_IN = 256  # partial sketches that one task adds up
 RANGES = 64  # of hashes, for the suffix filter
+BITS = 1 << 25  # of the filter for documents whose sets are needed; 4 MB
 
 _FIRST = np.uint64(0x9E3779B97F4A7C15)
 _SECOND = np.uint64(0xBF58476D1CE4E5B9)
-PROFILE = "doc_id long, digest long, n int, key long, sig binary, part int, chunk int, counts binary"
+PROFILE = "doc_id long, digest long, n int, key long, sig binary, ranges binary, part int, chunk int, counts binary"
 
 
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -67,6 +68,12 @@ def signature(grams: np.ndarray) -> bytes:
     return xxhash.xxh128_digest(grams.tobytes())
 
 
+def range_counts(grams: np.ndarray) -> bytes | None:
+    """How many shingles lie in each range of hashes; None where a count needs over a byte."""
+    counts = np.bincount((grams >> np.uint64(58)).astype(np.int64), minlength=RANGES)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else None
+
+
 def _key(sig: bytes) -> int:
     """The part of a signature that the candidate join carries."""
     return int.from_bytes(sig[:8], "little", signed=True)
@@ -86,12 +93,15 @@ def _profiles(documents: DataFrame, words: int) -> DataFrame:
             for doc_id, text, digest in zip(batch["doc_id"], batch["text"], batch["digest"], strict=True):
                 grams = shingles(text, words)
                 np.add.at(counts, (grams & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
-                sig = signature(grams) if len(grams) else None
-                rows.append((doc_id, digest, len(grams), sig and _key(sig), sig, None, None, None))
+                if len(grams):
+                    sig = signature(grams)
+                    rows.append((doc_id, digest, len(grams), _key(sig), sig, range_counts(grams), None, None, None))
+                else:
+                    rows.append((doc_id, digest, 0, *[None] * 6))
             yield pd.DataFrame(rows, columns=COLUMNS, dtype=object)
         part = TaskContext.get().partitionId()
         partial = [
-            (None, None, None, None, None, part, c, counts[c * CHUNK : (c + 1) * CHUNK].tobytes())
+            (None, None, None, None, None, None, part, c, counts[c * CHUNK : (c + 1) * CHUNK].tobytes())
             for c in range(COUNTERS // CHUNK)
         ]
         yield pd.DataFrame(partial, columns=COLUMNS, dtype=object)
@@ -154,7 +164,7 @@ def _prefixes(documents: DataFrame, rarity, words: int, percent: int) -> DataFra
 
 def _shared_prefixes(documents: DataFrame, rarity, words: int, percent: int) -> DataFrame:
     """Prefix rows whose shingle stands in the prefixes of two sets or more, each once."""
-    rows = _prefixes(documents, rarity, words, percent)
+    rows = saved(_prefixes(documents, rarity, words, percent), "all-prefixes")
     shared = saved(
         rows.groupBy("shingle").agg(F.min("key").alias("least"), F.max("key").alias("most"))
         .where("least != most").select("shingle"),
@@ -163,35 +173,38 @@ def _shared_prefixes(documents: DataFrame, rarity, words: int, percent: int) ->
     return saved(rows.join(shared, "shingle", "left_semi").distinct(), "prefixes")
 
 
-def _sets(documents: DataFrame, profiles: DataFrame, keys: DataFrame, words: int) -> DataFrame:
-    """(key, sig, n, ranges, grams) of the sets that have a candidate, read at one document."""
-    one = (
-        profiles.where("n > 0")
-        .groupBy("sig", "key")
-        .agg(F.min(F.struct("doc_id", "digest")).alias("at"))
-        .join(keys, "key", "left_semi")
-        .select(F.col("at.doc_id").alias("at_id"), F.col("at.digest").alias("at_digest"))
-    )
-    schema = pa.schema([("key", pa.int64()), ("sig", pa.binary()), ("n", pa.int32()), ("ranges", pa.binary()), ("grams", pa.binary())])
+def _bits(keys: DataFrame) -> np.ndarray:
+    """A fixed number of bits in which every row's ``place`` (a hash) is set.
+
+    It keeps most documents out of the join below, whose result does not depend on it.
+    """
+    word = F.pmod("place", F.lit(BITS // 64))
+    bit = F.expr("shiftleft(1L, cast(pmod(shiftright(place, 32), 64) as int))")
+    out = np.zeros(BITS // 64, dtype=np.int64)
+    for row in keys.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toLocalIterator():
+        out[row["word"]] = row["bits"]  # at most BITS / 64 rows
+    return out
+
+
+def _sets(documents: DataFrame, classes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(sig, grams) of the sets in ``wanted`` (sig), each read at one of its documents."""
+    wanted = saved(wanted.distinct(), "wanted")
+    place = F.xxhash64("doc_id", "digest")
+    at = classes.join(wanted, "sig", "left_semi").select("at.doc_id", "at.digest").select(place.alias("place"))
+    bits = documents.sparkSession.sparkContext.broadcast(_bits(at))
+    schema = pa.schema([("sig", pa.binary()), ("grams", pa.binary())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = set()  # repeated rows of a table come to the same task
         for batch in batches:
-            rows = []
-            for text in batch.column("text").to_pylist():
-                grams = shingles(text, words)
-                sig = signature(grams)
-                if sig not in seen:
-                    seen.add(sig)
-                    ranges = np.bincount((grams >> np.uint64(58)).astype(np.int64), minlength=RANGES)
-                    rows.append((_key(sig), sig, len(grams), ranges.astype(np.int32).tobytes(), grams.tobytes()))
-            if rows:
-                columns = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
+            places = batch.column("place").to_numpy()
+            hit = bits.value[places % (BITS // 64)] >> ((places >> 32) % 64) & 1
+            grams = [shingles(text, words) for text in batch.column("text").filter(pa.array(hit == 1)).to_pylist()]
+            if grams:
+                columns = [signature(g) for g in grams], [g.tobytes() for g in grams]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], schema=schema)
 
-    at = F.col("doc_id").eqNullSafe(F.col("at_id")) & F.col("digest").eqNullSafe(F.col("at_digest"))
-    found = documents.join(one.hint("shuffle_hash"), at, "left_semi").select("text")
-    return saved(found.mapInArrow(read, "key long, sig binary, n int, ranges binary, grams binary"), "sets")
+    found = documents.select("text", place.alias("place")).mapInArrow(read, "sig binary, grams binary")
+    return saved(found.join(wanted, "sig", "left_semi").dropDuplicates(["sig"]), "sets")
 
 
 def _may_be_similar(percent: int) -> Column:
@@ -205,50 +218,58 @@ def _may_be_similar(percent: int) -> Column:
     return length & ((100 + percent) * rest >= percent * (F.col("l.n") + F.col("r.n")))
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of signatures that are similar: suffix filter, then whole sets."""
+def _shared_at_most(x: bytes | None, y: bytes | None, n: int, m: int) -> int:
+    """Most shingles that two sets can share, by their numbers in each range."""
+    if x is None or y is None:
+        return min(n, m)
+    return int(np.minimum(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)).sum(dtype=np.int64))
 
-    def overlap_enough(a: pd.Series, b: pd.Series, n: pd.Series, m: pd.Series) -> np.ndarray:
-        kind = np.int32
-        shared = np.array([
-            np.minimum(np.frombuffer(x, kind), np.frombuffer(y, kind)).sum() for x, y in zip(a, b, strict=True)
-        ], dtype=np.int64)
-        return (100 + percent) * shared >= percent * (n.to_numpy(np.int64) + m.to_numpy(np.int64))
 
-    def verified(a: pd.Series, b: pd.Series, n: pd.Series, m: pd.Series) -> np.ndarray:
-        shared = np.array([
-            len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-            for x, y in zip(a, b, strict=True)
-        ], dtype=np.int64)
-        return (100 + percent) * shared >= percent * (n.to_numpy(np.int64) + m.to_numpy(np.int64))
+def _shared(x: bytes, y: bytes, n: int, m: int) -> int:
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    return len(np.intersect1d(a, b, assume_unique=True))
 
-    def kept(pairs: DataFrame, column: str, test) -> DataFrame:
-        def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                if len(batch):
-                    yield batch.loc[test(batch["x"], batch["y"], batch["n"], batch["m"]), ["a", "b"]]
 
-        left = sets.select(F.col("sig").alias("a"), F.col(column).alias("x"), "n")
-        right = sets.select(F.col("sig").alias("b"), F.col(column).alias("y"), F.col("n").alias("m"))
-        both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y", "n", "m")
-        return saved(both.mapInPandas(each, "a binary, b binary"), "pairs")
+def _kept(pairs: DataFrame, sets: DataFrame, column: str, shared, percent: int) -> DataFrame:
+    """The pairs (a, b, n, m) whose ``shared`` shingles would be enough for a link."""
 
-    return kept(kept(pairs, "ranges", overlap_enough), "grams", verified)
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            numbers = zip(batch["x"], batch["y"], batch["n"], batch["m"], strict=True)
+            keep = [(100 + percent) * shared(x, y, n, m) >= percent * (n + m) for x, y, n, m in numbers]
+            yield batch.loc[keep, ["a", "b", "n", "m"]]
+
+    left = sets.select(F.col("sig").alias("a"), F.col(column).alias("x"))
+    right = sets.select(F.col("sig").alias("b"), F.col(column).alias("y"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", "x", "y")
+    return saved(both.mapInPandas(each, "a binary, b binary, n long, m long"), "pairs")
+
+
+def _similar(pairs: DataFrame, documents: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs of ``pairs`` (a, b, n, m) that are similar: suffix filter, then whole sets."""
+    close = _kept(pairs, classes, "ranges", _shared_at_most, percent)
+    wanted = close.select(F.col("a").alias("sig")).unionByName(close.select(F.col("b").alias("sig")))
+    return _kept(close, _sets(documents, classes, wanted, words), "grams", _shared, percent).select("a", "b")
+
+
+def _ordered() -> list[Column]:
+    """A pair of rows l and r as (a, b, n, m), the smaller signature first."""
+    swapped = F.col("l.sig") > F.col("r.sig")
+    either = lambda c, first, second: F.when(swapped, F.col(f"{first}.{c}")).otherwise(F.col(f"{second}.{c}"))
+    return [
+        either("sig", "r", "l").alias("a"), either("sig", "l", "r").alias("b"),
+        either("n", "r", "l").cast("long").alias("n"), either("n", "l", "r").cast("long").alias("m"),
+    ]
 
 
-def _links(prefixes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _links(prefixes: DataFrame, documents: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) between signatures that connect every group of similar sets."""
-    rows = saved(
-        prefixes.join(sets.select("key", "sig"), "key").select("shingle", "sig", "n", "pos"), "rows"
-    )
+    rows = saved(prefixes.join(classes.select("key", "sig"), "key").select("shingle", "sig", "n", "pos"), "rows")
     first = F.min_by(F.struct("sig", "n", "pos"), F.struct("pos", "sig")).alias("first")
     leaders = saved(rows.groupBy("shingle").agg(first).select("shingle", "first.*"), "leaders")
-    pairs = (
-        leaders.alias("l").join(rows.alias("r"), (F.col("l.shingle") == F.col("r.shingle")) & _may_be_similar(percent) & (F.col("l.sig") != F.col("r.sig")))
-        .select(F.least("l.sig", "r.sig").alias("a"), F.greatest("l.sig", "r.sig").alias("b"))
-        .distinct()
-    )
-    found = _similar(pairs, sets, percent)
+    same = F.col("l.shingle") == F.col("r.shingle")
+    pairs = leaders.alias("l").join(rows.alias("r"), same & _may_be_similar(percent) & (F.col("l.sig") != F.col("r.sig")))
+    found = _similar(pairs.select(*_ordered()).distinct(), documents, classes, words, percent)
     roots = saved(components(found), "roots")
 
     placed = rows.join(roots, rows["sig"] == roots["node"], "left").select(
@@ -264,17 +285,11 @@ def _links(prefixes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         "main",
     )
     apart = saved(placed.join(main, "shingle"), "apart")
-    others = apart.where("root != main")
-    pairs = (
-        others.alias("l").join(
-            apart.alias("r"),
-            (F.col("l.shingle") == F.col("r.shingle")) & (F.col("l.root") != F.col("r.root"))
-            & ((F.col("r.root") == F.col("r.main")) | (F.col("l.sig") < F.col("r.sig"))) & _may_be_similar(percent),
-        )
-        .select(F.least("l.sig", "r.sig").alias("a"), F.greatest("l.sig", "r.sig").alias("b"))
-        .distinct()
+    once = (F.col("r.root") == F.col("r.main")) | (F.col("l.sig") < F.col("r.sig"))
+    pairs = apart.where("root != main").alias("l").join(
+        apart.alias("r"), same & (F.col("l.root") != F.col("r.root")) & once & _may_be_similar(percent)
     )
-    return found.unionByName(_similar(pairs, sets, percent))
+    return found.unionByName(_similar(pairs.select(*_ordered()).distinct(), documents, classes, words, percent))
 
 
 def near_groups(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -282,19 +297,24 @@ def near_groups(documents: DataFrame, words: int = WORDS, percent: int = PERCENT
     spark = documents.sparkSession
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _digest(F.col("text")).alias("digest"))
     everything = _profiles(documents, words)
-    profiles = everything.where("chunk is null").select("doc_id", "digest", "n", "key", "sig")
+    profiles = everything.where("chunk is null")
+    classes = saved(
+        profiles.where("n > 0").groupBy("sig", "key").agg(
+            F.min(F.struct("doc_id", "digest")).alias("at"), F.min("ranges").alias("ranges"),
+            F.min("doc_id").alias("first_id"),
+        ),
+        "classes",
+    )
     rarity = spark.sparkContext.broadcast(_rarity(everything))
     prefixes = _shared_prefixes(documents, rarity, words, percent)
-    sets = _sets(documents, profiles, prefixes.select("key").distinct(), words)
-    roots = components(_links(prefixes, sets, percent))
+    roots = components(_links(prefixes, documents, classes, words, percent))
 
-    classes = profiles.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("first_id"))
     rooted = saved(
         classes.join(roots, classes["sig"] == roots["node"], "left").select("sig", "first_id", F.coalesce("root", "sig").alias("root")),
         "rooted",
     )
     groups = saved(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "groups")
-    by_class = saved(rooted.join(groups, "root").select("sig", "component_id"), "classes")
+    by_class = saved(rooted.join(groups, "root").select("sig", "component_id"), "by-class")
     # Copies of one text share their class: both sides are tables, so a hot one can be split.
     return profiles.join(by_class, "sig", "left").select(
         "doc_id", "digest", F.col("n").cast("long").alias("n_shingles"),

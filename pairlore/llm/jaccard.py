@@ -35,7 +35,7 @@ from pairlore.sources.scratch import saved
 
 WORDS = 4
 PERCENT = 85
-COUNTERS = 1 << 20  # of the rarity sketch; 8 MB wherever it goes, whatever the corpus
+COUNTERS = 1 << 21  # of the rarity sketch; 16 MB wherever it goes, whatever the corpus
 CHUNK = 1 << 14
 FAN_IN = 256  # partial sketches that one task adds up
 RANGES = 64  # of hashes, for the suffix filter
@@ -87,7 +87,7 @@ def _profiles(documents: DataFrame, words: int) -> DataFrame:
     """A row per document, and each task's part of the rarity sketch, in one pass."""
 
     def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros(COUNTERS, dtype=np.int64)
+        counts = np.zeros(COUNTERS, dtype=np.int32)  # of one task
         for batch in batches:
             rows = []
             for doc_id, text, digest in zip(batch["doc_id"], batch["text"], batch["digest"], strict=True):
@@ -119,7 +119,7 @@ def _rarity(profiles: DataFrame) -> np.ndarray:
     def add(group: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(CHUNK, dtype=np.int64)
         for counts in group["counts"]:
-            total += np.frombuffer(counts, dtype=np.int64)
+            total += np.frombuffer(counts, dtype=np.int32 if len(counts) == 4 * CHUNK else np.int64)
         return pd.DataFrame([(group["part"].iloc[0], group["chunk"].iloc[0], total.tobytes())], columns=["part", "chunk", "counts"])
 
     top = level.agg(F.max("part")).first()[0] or 0
@@ -266,12 +266,17 @@ def _links(prefixes: DataFrame, documents: DataFrame, classes: DataFrame, words:
     """Links (a, b) between signatures that connect every group of similar sets."""
     rows = saved(prefixes.join(classes.select("key", "sig"), "key").select("shingle", "sig", "n", "pos"), "rows")
     first = F.min_by(F.struct("sig", "n", "pos"), F.struct("pos", "sig")).alias("first")
-    leaders = saved(rows.groupBy("shingle").agg(first).select("shingle", "first.*"), "leaders")
+    leaders = saved(
+        rows.groupBy("shingle").agg(first, F.count("*").alias("size")).select("shingle", "size", "first.*"), "leaders"
+    )
     same = F.col("l.shingle") == F.col("r.shingle")
     pairs = leaders.alias("l").join(rows.alias("r"), same & _may_be_similar(percent) & (F.col("l.sig") != F.col("r.sig")))
     found = _similar(pairs.select(*_ordered()).distinct(), documents, classes, words, percent)
     roots = saved(components(found), "roots")
 
+    # A bucket of two had its only pair compared; the others may hold pairs still apart.
+    larger = saved(leaders.where("size > 2").select("shingle"), "larger")
+    rows = saved(rows.join(larger, "shingle", "left_semi"), "rows")
     placed = rows.join(roots, rows["sig"] == roots["node"], "left").select(
         "shingle", "sig", "n", "pos", F.coalesce("root", "sig").alias("root")
     )

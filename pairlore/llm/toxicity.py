@@ -350,8 +350,8 @@ def _training_windows(evidence: dict[int, Evidence], texts: list[bytes], labels:
             worth = network.infer(x, at, real)
         chosen = dict.fromkeys([int(worth.argmax()), int(rng.integers(len(windows)))])
         for k, c in enumerate(chosen):
-            rows.append(windows[c])
-            reals.append(real[c])
+            rows.append(windows[c].copy())  # a view would keep all windows of the text
+            reals.append(real[c].copy())
             owners.append(i)
             keys.append(k == 0)
     return np.array(rows, dtype=np.float64), np.array(reals), np.array(owners), np.array(keys)

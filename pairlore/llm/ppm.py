@@ -220,7 +220,8 @@ def score(documents: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYT
                 out.append((doc_id, held_out, len(count), int((count > 0).sum()), base, float(cost)))
         return _table(SCORES, *zip(*out, strict=True))
 
-    needs = rows.select("block", "text").groupBy("block").applyInArrow(needed, "block long, kind int, key long")
+    # All columns, though only the text is read: so both uses of the rows share one exchange.
+    needs = rows.groupBy("block").applyInArrow(needed, "block long, kind int, key long")
     found = needs.join(values, ["kind", "key"])
     result = rows.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(
         scored, "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"

@@ -227,3 +227,31 @@ def test_redaction(docs):
     rows = [(1, "mail a@b.example.org!"), (2, None), (3, "call +1 (555) 234-5678 or 4111 1111 1111 1111"), (4, "clean")]
     found = {r.doc_id: r.text for r in pii.redact(docs(*rows), pii.NO_MODEL).collect()}
     assert found == {1: "mail [EMAIL]!", 2: None, 3: "call [PHONE] or [CARD]", 4: "clean"}
+
+
+def card_of(rng, separator):
+    digits = str(rng.randint(4 * 10**14, 5 * 10**14 - 1))
+    digits += next(c for c in "0123456789" if pii.luhn(digits + c))
+    return separator.join(digits[i : i + 4] for i in range(0, 16, 4))
+
+
+def test_examples_come_from_all_documents(docs):
+    """Few data of a kind per document: a fixed number of documents would never hold enough of them."""
+    rng = random.Random(11)
+    texts = [f"{prose(rng, 8)} card {card_of(rng, ' ')} {prose(rng, 3)}" if i % 80 == 0 else prose(rng, 8) for i in range(20_000)]
+    texts += [f"{prose(rng, 8)} code {rng.randint(10**15, 10**16)}" for _ in range(300)]
+    plain = docs(*enumerate(texts))
+    model = pii.train(plain)
+    assert model.thresholds["card"] <= 1
+    planted = f"{prose(rng, 8)} card {(span := card_of(rng, '.'))} {prose(rng, 3)}"
+    assert pii.base_spans(planted) == []
+    assert model.added(planted, []) == [("card", planted.index(span), planted.index(span) + 19)]
+
+
+def test_examples_are_distinct_and_bounded(docs):
+    rng = random.Random(12)
+    texts = ["mail copy@a.example.org now"] * 500 + [f"{prose(rng, 5)} x{i}@a.example.org now" for i in range(60)]
+    found = pii.examples(docs(*enumerate(texts)), 40).collect()
+    assert len(found) == 40 == len({r.key for r in found})
+    everything = pii.examples(docs(*enumerate(texts)), 1000).collect()
+    assert len(everything) == 61 and {r.key for r in found} == set(sorted(r.key for r in everything)[:40])

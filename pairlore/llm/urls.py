@@ -24,11 +24,11 @@ from pyspark.sql import functions as F
 
 from pairlore.llm.boosting import Trees, fit
 from pairlore.llm.common import ascii_lower, table
+from pairlore.sources.scratch import saved
 
 BLOCK, ALLOW = "block", "allow"
 RULES = (("net/", BLOCK), ("example.net/en/", ALLOW), ("example.com/de/", BLOCK), ("org/fr/", ALLOW))
 SAMPLE = 20_000  # labelled URLs that the trees are fitted on
-SUFFIX_BUCKETS = 4096  # suffixes are counted by hash, so the statistics have a fixed size
 SMOOTHING = 4.0
 THRESHOLD = 0.5
 
@@ -62,10 +62,6 @@ def suffixes(host: Column) -> tuple[Column, Column]:
     return F.substring_index(host, ".", -1), F.substring_index(host, ".", -2)
 
 
-def suffix_bucket(suffix: Column) -> Column:
-    return F.pmod(F.xxhash64(suffix), F.lit(SUFFIX_BUCKETS)).cast("int")
-
-
 def _entropy(text: str) -> float:
     n = len(text)
     return -sum(c / n * math.log2(c / n) for c in Counter(text).values()) if n else 0.0
@@ -91,44 +87,71 @@ def lexical(url: str | None) -> list[float]:
 
 class UrlModel(NamedTuple):
     trees: Trees
-    rates: np.ndarray  # share of blocked URLs by suffix bucket, smoothed
-
-    def probability(self, urls: pd.Series, last: pd.Series, last_two: pd.Series) -> np.ndarray:
-        return self.trees.probability(features(urls, last, last_two, self.rates))
+    counted: DataFrame  # labels, suffix, n, blocked: labelled URLs by each suffix of one or two labels
+    prior: float  # share of blocked URLs among all labelled ones
 
 
-def features(urls: pd.Series, last: pd.Series, last_two: pd.Series, rates: np.ndarray) -> np.ndarray:
+def features(urls: pd.Series, last: pd.Series, last_two: pd.Series) -> np.ndarray:
+    """Lexical features and the blocked rates of both suffixes."""
     own = np.array([lexical(u) for u in urls], dtype=np.float64).reshape(len(urls), -1)
-    return np.column_stack([own, rates[last.to_numpy()], rates[last_two.to_numpy()]])
+    return np.column_stack([own, last.to_numpy(np.float64), last_two.to_numpy(np.float64)])
+
+
+def suffix_counts(labelled: DataFrame) -> DataFrame:
+    """(labels, suffix, n, blocked) of ``labelled`` (url, blocked): a row per suffix, of one label and of two apart."""
+    last, last_two = suffixes(host_of(F.col("url")))
+    both = F.array(
+        F.struct(F.lit(1).alias("labels"), last.alias("suffix")), F.struct(F.lit(2).alias("labels"), last_two.alias("suffix"))
+    )
+    return (
+        labelled.select(F.inline(both), "blocked")
+        .groupBy("labels", "suffix")
+        .agg(F.count("*").alias("n"), F.sum("blocked").alias("blocked"))
+    )
+
+
+def with_rates(urls: DataFrame, counted: DataFrame, prior: float) -> DataFrame:
+    """``urls`` (with host) and the smoothed rates of blocked URLs with their suffixes, last_rate and last_two_rate.
+
+    A suffix without labelled URLs has the rate of all. The rates are joined to the distinct
+    suffixes first; these get an exchange of their own, so that a hot suffix's URLs are split.
+    """
+
+    def rates(labels: int, name: str) -> DataFrame:
+        rate = (F.col("blocked") + SMOOTHING * prior) / (F.col("n") + SMOOTHING)
+        return counted.where(F.col("labels") == labels).select(F.col("suffix").alias(name), rate.alias(f"{name}_rate"))
+
+    last, last_two = suffixes(F.col("host"))
+    known = (
+        urls.select(last_two.alias("last_two")).distinct()
+        .join(rates(2, "last_two"), "last_two", "left")
+        .withColumn("last", F.substring_index("last_two", ".", -1))
+        .join(rates(1, "last"), "last", "left")
+        .select("last_two", *(F.coalesce(r, F.lit(prior)).alias(r) for r in ("last_rate", "last_two_rate")))
+        .repartition(F.xxhash64("last_two"))
+    )
+    return urls.withColumn("last_two", last_two).join(known, "last_two", "left").drop("last_two")
 
 
 def train(labelled: DataFrame, limit: int = SAMPLE) -> UrlModel:
     """A model from ``labelled`` (url, blocked 0/1).
 
-    Suffix statistics count every labelled URL; the trees are fitted on ``limit`` of them,
-    chosen by a hash of the URL.
+    Suffix statistics count every labelled URL, in a table with a row per suffix; the trees are
+    fitted on ``limit`` of them, chosen by a hash of the URL.
     """
-    last, last_two = suffixes(host_of(F.col("url")))
-    rows = labelled.select("url", "blocked", suffix_bucket(last).alias("last"), suffix_bucket(last_two).alias("last_two"))
-    counted = (
-        rows.select(F.explode(F.array("last", "last_two")).alias("bucket"), "blocked")
-        .groupBy("bucket")
-        .agg(F.count("*").alias("n"), F.sum("blocked").alias("blocked"))
-        .collect()  # at most SUFFIX_BUCKETS rows
-    )
-    total = sum(r.n for r in counted)
-    prior = sum(r.blocked for r in counted) / total if total else 0.0
-    rates = np.full(SUFFIX_BUCKETS, prior)
-    for r in counted:
-        rates[r.bucket] = (r.blocked + SMOOTHING * prior) / (r.n + SMOOTHING)
+    rows = labelled.select("url", "blocked")
+    counted = saved(suffix_counts(rows), "url_suffixes")
+    total = counted.where("labels = 1").agg(F.sum("n").alias("n"), F.sum("blocked").alias("blocked")).first()
+    prior = total.blocked / total.n if total.n else 0.0
+    chosen = rows.orderBy(F.xxhash64("url"), "url").limit(limit).withColumn("host", host_of(F.col("url")))
     sample = pd.DataFrame(
-        [tuple(r) for r in rows.orderBy(F.xxhash64("url"), "url").limit(limit).collect()],
-        columns=["url", "blocked", "last", "last_two"],
-    )
+        [tuple(r) for r in with_rates(chosen, counted, prior).select("url", "blocked", "last_rate", "last_two_rate").collect()],
+        columns=["url", "blocked", "last_rate", "last_two_rate"],
+    ).sort_values(["url", "blocked"], ignore_index=True)
     if sample.empty:
-        return UrlModel(fit(np.zeros((0, 1)), np.zeros(0))._replace(base=-35.0), rates)
-    x = features(sample["url"], sample["last"].astype(int), sample["last_two"].astype(int), rates)
-    return UrlModel(fit(x, sample["blocked"].astype(float).to_numpy()), rates)
+        return UrlModel(fit(np.zeros((0, 1)), np.zeros(0))._replace(base=-35.0), counted, prior)
+    x = features(sample["url"], sample["last_rate"], sample["last_two_rate"])
+    return UrlModel(fit(x, sample["blocked"].astype(float).to_numpy()), counted, prior)
 
 
 def judge(
@@ -146,16 +169,16 @@ def judge(
             "url", (F.col("r.verdict") == BLOCK).cast("int").alias("blocked")
         )
     model = train(labelled)
+    trees = model.trees
 
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for url, last, last_two in batches:
-            yield pd.Series(model.probability(url, last, last_two))
+            yield pd.Series(trees.probability(features(url, last, last_two)))
 
-    last, last_two = suffixes(host)
-    scored = urls.select(
-        "page_id", host.alias("host"), path.alias("path"), fitted.alias("r"),
-        score(F.col("url"), suffix_bucket(last), suffix_bucket(last_two)).alias("score"),
+    rated = with_rates(urls.withColumn("host", host), model.counted, model.prior)
+    scored = rated.select(
+        "page_id", "host", path.alias("path"), fitted.alias("r"), score("url", "last_rate", "last_two_rate").alias("score")
     )
     by_model = F.when(F.col("score") >= THRESHOLD, BLOCK).otherwise(ALLOW)
     return scored.select(

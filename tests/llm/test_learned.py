@@ -187,6 +187,33 @@ def test_url_trees_on_held_out_urls(spark):
     assert sum((r.verdict == "block") == (r.page_id % 3 == 0) for r in found) > 195
 
 
+def test_each_suffix_has_its_own_rate(spark):
+    """More suffixes than any fixed array: nothing that the table gains moves another suffix's rate."""
+    bad = [(f"http://a{k}.evil.biz/", 1) for k in range(20)]
+    many = [(f"http://www.d{i}.t{i % 3000}/", i % 2) for i in range(20_000)]
+    def rates(rows):
+        counted = urls.suffix_counts(spark.createDataFrame(rows, "url string, blocked int"))
+        hosts = spark.createDataFrame([("evil.biz",), ("x.evil.biz",), ("good.biz",), ("un.known",), ("",)], "host string")
+        return {r.host: (r.last_rate, r.last_two_rate) for r in urls.with_rates(hosts, counted, 0.5).collect()}
+    assert rates(bad) == rates(bad + many)
+    high = (20 + urls.SMOOTHING * 0.5) / (20 + urls.SMOOTHING)
+    assert rates(bad) == {"evil.biz": (high, high), "x.evil.biz": (high, high), "good.biz": (high, 0.5), "un.known": (0.5, 0.5), "": (0.5, 0.5)}
+
+
+def test_hot_suffix_can_be_split(spark):
+    hosts = spark.range(1000).selectExpr("concat('h', id, '.hot.org') AS host")
+    counted = urls.suffix_counts(spark.createDataFrame([("http://a.hot.org/", 1)], "url string, blocked int"))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = urls.with_rates(hosts, counted, 0.5)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    top = plan[plan.index("Join") :]
+    sides = [x for x in top.splitlines() if "Exchange hashpartitioning(last_two" in x and "ENSURE_REQUIREMENTS" in x]
+    assert len(sides) >= 2 and "xxhash64(last_two" in top
+
+
 # ------------------------------------------------------------------------------------ pii
 def test_base_spans_equal_the_contract():
     rng = random.Random(5)

@@ -282,3 +282,45 @@ def test_examples_are_distinct_and_bounded(docs):
     assert len(found) == 40 == len({r.key for r in found})
     everything = pii.examples(docs(*enumerate(texts)), 1000).collect()
     assert len(everything) == 61 and {r.key for r in found} == set(sorted(r.key for r in everything)[:40])
+
+
+def test_examples_pass_the_format_filter():
+    """Trees and thresholds see the population that they judge."""
+    rng = random.Random(13)
+    cases = {
+        "order": f"{prose(rng, 5)} order 004412345678 sent",  # a number of 12 digits, no telephone in sight
+        "date": f"{prose(rng, 5)} on 2024-01-31 12:30 at noon",
+        "pieces": "pay +1 (826) 555-4081 190.137.223.204 now",  # parts of a phone and of an address
+    }
+    found = {name: [(k, y, t[s:e]) for k, y, t, s, e in pii._examples(text)] for name, text in cases.items()}
+    assert ("phone", 0, "004412345678") in found["order"] and ("phone", 0, "2024-01-31 12") in found["date"]
+    pieces = [(k, y) for k, y, span in found["pieces"] if "190.137" in span]
+    assert ("ip", 1) in pieces and ("phone", 0) in pieces and ("phone", 1) not in pieces
+    assert not list(pii._examples("tel 004412345678 end"))[1:] and not [x for x in pii._examples("tel 004412345678 end") if x[0] == "phone"]
+    numbers = " ".join(f"n{i} {rng.randint(10**15, 10**16)}." + f" {rng.randint(10**3, 10**4)}.{rng.randint(10**11, 10**12)} x" for i in range(300))
+    for k, _, t, s, e in pii._examples(numbers):
+        assert not pii._breaks_format(k, t[s:e])
+
+
+def test_clean_numbers_are_not_added(docs):
+    """Dates with a time and ids that pass the Luhn test stay, with thresholds that are open."""
+    rng = random.Random(14)
+    def text(i):
+        words = [prose(rng, 4), prose(rng, 4)]
+        if i % 4 == 0:
+            return f"{words[0]} card {card_of(rng, ' ')} {words[1]}"
+        if i % 4 == 1:
+            return f"{words[0]} tel +1 555 {rng.randint(200, 999)} {rng.randint(1000, 9999)} {words[1]}"
+        if i % 4 == 2:
+            return f"{words[0]} order {card_of(rng, '.')} {words[1]}"
+        return f"{words[0]} on 2024-{rng.randint(1, 12):02}-{rng.randint(1, 28):02} 12:30 {words[1]}"
+    model = pii.train(docs(*((i, text(i)) for i in range(1600))))
+    assert model.thresholds["card"] <= 1 and model.thresholds["phone"] <= 1
+    for clean in (f"sun order {card_of(rng, '.')} wind", "rain on 2023-05-17 12:30 tree"):
+        assert pii.base_spans(clean) == [] and model.added(clean, []) == []
+
+
+def test_threshold_counts_equal_scores_together():
+    p, y = np.array([0.9] * 132 + [0.1] * 154), np.array([1] * 132 + [0] * 154)
+    assert pii._threshold(p, y) == 0.9
+    assert pii._threshold(p[:0], y[:0]) == 2.0 == pii._threshold(p[:40], y[:40])

@@ -43,10 +43,15 @@ def fit(
     bins: int = 32,
     l2: float = 1.0,
     least: float = 1.0,
+    weights: np.ndarray | None = None,
 ) -> Trees:
-    """Trees for labels 0 and 1; without rows or with one class only, a constant."""
+    """Trees for labels 0 and 1, or shares of 1; without rows or with one class only, a constant.
+
+    ``weights`` are the numbers of rows that each one stands for, 1 by default.
+    """
     x, y = np.asarray(x, dtype=np.float64), np.asarray(y, dtype=np.float64)
-    rate_of_one = (y.sum() + 0.5) / (len(y) + 1.0)
+    n = np.ones(len(y)) if weights is None else np.asarray(weights, dtype=np.float64)
+    rate_of_one = ((n * y).sum() + 0.5) / (n.sum() + 1.0)
     base = float(np.log(rate_of_one / (1 - rate_of_one)))
     inner, leaves = 2**depth - 1, 2**depth
     if len(y) == 0 or y.min() == y.max():
@@ -57,7 +62,7 @@ def fit(
     columns = x.shape[1]
     for _ in range(trees):
         p = 1 / (1 + np.exp(-margin))
-        gradient, weight = y - p, p * (1 - p)
+        gradient, weight = n * (y - p), n * p * (1 - p)
         feature, cut = np.zeros(inner, np.int64), np.full(inner, np.inf)
         node = np.zeros(len(y), dtype=np.int64)
         for level in range(depth):

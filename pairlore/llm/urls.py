@@ -28,7 +28,7 @@ from pairlore.sources.scratch import saved
 
 BLOCK, ALLOW = "block", "allow"
 RULES = (("net/", BLOCK), ("example.net/en/", ALLOW), ("example.com/de/", BLOCK), ("org/fr/", ALLOW))
-SAMPLE = 20_000  # labelled URLs that the trees are fitted on
+SAMPLE = 20_000  # distinct labelled URLs that the trees are fitted on
 SMOOTHING = 4.0
 THRESHOLD = 0.5
 
@@ -137,21 +137,23 @@ def train(labelled: DataFrame, limit: int = SAMPLE) -> UrlModel:
     """A model from ``labelled`` (url, blocked 0/1).
 
     Suffix statistics count every labelled URL, in a table with a row per suffix; the trees are
-    fitted on ``limit`` of them, chosen by a hash of the URL.
+    fitted on ``limit`` distinct ones, chosen by a hash of the URL, with their counts as weights.
     """
     rows = labelled.select("url", "blocked")
     counted = saved(suffix_counts(rows), "url_suffixes")
     total = counted.where("labels = 1").agg(F.sum("n").alias("n"), F.sum("blocked").alias("blocked")).first()
     prior = total.blocked / total.n if total.n else 0.0
-    chosen = rows.orderBy(F.xxhash64("url"), "url").limit(limit).withColumn("host", host_of(F.col("url")))
+    distinct = rows.groupBy("url").agg(F.count("*").alias("n"), F.avg("blocked").alias("blocked"))
+    chosen = distinct.orderBy(F.xxhash64("url"), "url").limit(limit).withColumn("host", host_of(F.col("url")))
+    columns = ["url", "n", "blocked", "last_rate", "last_two_rate"]
     sample = pd.DataFrame(
-        [tuple(r) for r in with_rates(chosen, counted, prior).select("url", "blocked", "last_rate", "last_two_rate").collect()],
-        columns=["url", "blocked", "last_rate", "last_two_rate"],
-    ).sort_values(["url", "blocked"], ignore_index=True)
+        [tuple(r) for r in with_rates(chosen, counted, prior).select(*columns).collect()], columns=columns
+    ).sort_values("url", ignore_index=True)
     if sample.empty:
         return UrlModel(fit(np.zeros((0, 1)), np.zeros(0))._replace(base=-35.0), counted, prior)
     x = features(sample["url"], sample["last_rate"], sample["last_two_rate"])
-    return UrlModel(fit(x, sample["blocked"].astype(float).to_numpy()), counted, prior)
+    y, n = sample["blocked"].to_numpy(np.float64), sample["n"].to_numpy(np.float64)
+    return UrlModel(fit(x, y, weights=n), counted, prior)
 
 
 def judge(

@@ -153,6 +153,14 @@ def test_trees_learn_an_interaction():
     assert boosting.fit(x, np.ones(3000)).probability(x[:1])[0] > 0.99
 
 
+def test_weights_stand_for_repeated_rows():
+    rng = np.random.default_rng(2)
+    x, n = rng.integers(0, 9, (300, 3)).astype(float), rng.integers(1, 5, 300)
+    y = (x[:, 0] + x[:, 1] > 8).astype(float)
+    once, repeated = boosting.fit(x, y, weights=n), boosting.fit(np.repeat(x, n, 0), np.repeat(y, n))
+    np.testing.assert_allclose(once.probability(x), repeated.probability(x), atol=0.02)
+
+
 # ----------------------------------------------------------------------------------- urls
 URLS = [
     ("http://A.example.NET/en/1?x=2", "a.example.net", "/en/1", "example.net/en/", "allow"),
@@ -214,6 +222,19 @@ def test_hot_suffix_can_be_split(spark):
     assert len(sides) >= 2 and "xxhash64(last_two" in top
 
 
+def test_copies_of_a_url_do_not_fill_the_sample(spark):
+    def row(k):
+        return f"http://a{k}.{'evil' if k % 2 else 'good'}.org/{'x9' * 9 if k % 2 else 'story'}", k % 2
+    rows = [row(k) for k in range(10, 50)]
+    first = spark.createDataFrame(rows, "url string, blocked int").orderBy(F.xxhash64("url"), "url").first()
+    labelled = spark.createDataFrame(rows + [tuple(first)] * 60, "url string, blocked int")
+    model = urls.train(labelled, 40)
+    pages = spark.createDataFrame([row(k)[:1] for k in range(50, 54)], "url string")
+    rated = urls.with_rates(pages.withColumn("host", urls.host_of(F.col("url"))), model.counted, model.prior).toPandas()
+    p = model.trees.probability(urls.features(rated["url"], rated["last_rate"], rated["last_two_rate"]))
+    assert ((p > 0.5) == rated["url"].str.contains("evil")).all()
+
+
 # ------------------------------------------------------------------------------------ pii
 def test_base_spans_equal_the_contract():
     rng = random.Random(5)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pairlore.llm import mixing, neighbours
-from pairlore.llm import exact, search
+from pairlore.llm import conversations, exact, search
 from pairlore.llm.jaccard import op3_jaccard
 from pairlore.llm.pii import op6_pii
 from pairlore.llm.ppm import op10_ppm
@@ -21,7 +21,7 @@ from pairlore.llm.winnowing import op9_winnowing
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_toxicity, op2_urls, op3_jaccard, mixing.op4_mixing, neighbours.op5_neighbours, op6_pii, op7_quality, op8_secrets,
-        op9_winnowing, op10_ppm, exact.op11_exact, search.op13_search,
+        op9_winnowing, op10_ppm, exact.op11_exact, conversations.op12_repair, search.op13_search,
     )
     return {f.__name__: f for f in found}
 

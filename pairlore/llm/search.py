@@ -77,27 +77,29 @@ def _top(df: DataFrame, by: list[str], k: int, order: list[Column]) -> DataFrame
 def ranked(documents: DataFrame, benchmark: DataFrame, top: int = TOP) -> DataFrame:
     """(item_id, rank int, doc_id, score long): each item's best documents, exact."""
     spark = documents.sparkSession
-    docs = saved(
-        documents.select(F.col("doc_id").cast("long").alias("doc_id"), terms(F.col("text")).alias("terms"))
-        .withColumn("n", F.size("terms").cast("long"))
-        .where(F.col("n") > 0)
-        .withColumn("rid", F.monotonically_increasing_id()),
-        "search-docs",
+    n = F.size(terms(F.col("text"))).cast("long")
+    size_class = F.floor(F.log2(F.col("n"))).cast("long")
+    # one light pass: documents, terms and documents of each length class
+    classes = (
+        documents.select(n.alias("n")).where(F.col("n") > 0)
+        .groupBy(size_class.alias("c")).agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("terms"))
+        .collect()
     )
-    stats = docs.agg(F.count(F.lit(1)).alias("N"), F.sum("n").alias("L")).first()
-    if not stats.N:
+    if not classes:
         return spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
-    big_n, big_l = int(stats.N), int(stats.L)
+    big_n, big_l = sum(r.k for r in classes), sum(r.terms for r in classes)
     vocabulary = benchmark.select(F.explode(terms(F.col("text"))).alias("term")).distinct()
 
     # document tree: leaves of BLOCK documents of one length class, FANOUT leaves a node
-    size_class = F.floor(F.log2(F.col("n"))).cast("long")
-    per_class = {r.c: r.k for r in docs.groupBy(size_class.alias("c")).agg(F.count(F.lit(1)).alias("k")).collect()}
-    leaves = F.create_map(*[x for c, k in per_class.items() for x in (F.lit(c), F.lit(max(math.ceil(k / BLOCK), 1)))])
+    leaves = F.create_map(*[x for r in classes for x in (F.lit(r.c), F.lit(max(math.ceil(r.k / BLOCK), 1)))])
     bucket = F.pmod(F.xxhash64("rid"), leaves[size_class])
     m = F.lit(10) + F.expr(f"(90 * n * {big_n}L) div {big_l}L")
     postings = saved(
-        docs.select("rid", "doc_id", "n", size_class.alias("cls"), bucket.alias("bucket"), F.explode("terms").alias("term"))
+        documents.select(F.col("doc_id").cast("long").alias("doc_id"), terms(F.col("text")).alias("terms"))
+        .withColumn("n", F.size("terms").cast("long"))
+        .where(F.col("n") > 0)
+        .withColumn("rid", F.monotonically_increasing_id())
+        .select("rid", "doc_id", "n", size_class.alias("cls"), bucket.alias("bucket"), F.explode("terms").alias("term"))
         .join(F.broadcast(vocabulary), "term")  # the query set's vocabulary
         .groupBy("rid", "doc_id", "n", "cls", "bucket", "term")
         .agg(F.count(F.lit(1)).alias("tf"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from pairlore.sources.scratch import shared_folder
 
@@ -53,15 +54,25 @@ def _hadoop_class(spark: SparkSession, name: str):
 
 
 def _sequence_file_values(spark: SparkSession, paths: str) -> DataFrame:
-    """Values of a SequenceFile of Text, whatever its keys; the keys are dropped.
+    """Values of SequenceFiles, one row per record, as column ``value``; keys are dropped.
 
-    Spark SQL has no reader for this format.  The records are copied once to text lines on
-    shared storage, inside the JVM, and read from there like any text.
+    Hadoop's ``SequenceFileAsTextInputFormat`` turns each record's key and value into text in
+    the JVM, so a value that holds line ends (``\\n``, ``\\r``) stays one row. The pairs are
+    given their schema in the JVM as well, as ``createDataFrame`` does without its row check in
+    Python: no Python worker touches a record and nothing runs before an action. Splits follow
+    the files' sync marks, so a large file is read by many tasks.
     """
-    writable, text = (_hadoop_class(spark, f"io.{c}") for c in ("Writable", "Text"))
-    folder = shared_folder(spark, "lines")
-    spark.sparkContext._jsc.sequenceFile(paths, writable, text).values().saveAsTextFile(folder)
-    return spark.read.text(folder)
+    sc = spark.sparkContext
+    pairs = sc.newAPIHadoopFile(
+        paths,
+        "org.apache.hadoop.mapreduce.lib.input.SequenceFileAsTextInputFormat",
+        "org.apache.hadoop.io.Text",
+        "org.apache.hadoop.io.Text",
+    )
+    schema = StructType([StructField("key", StringType()), StructField("value", StringType())])
+    rows = sc._jvm.SerDeUtil.toJavaArray(pairs._to_java_object_rdd())
+    frame = spark._jsparkSession.applySchemaToPythonRDD(rows.rdd(), schema.json())
+    return DataFrame(frame, spark).select("value")
 
 
 def write_sequence_file(lines: DataFrame, path: str) -> None:

@@ -91,6 +91,29 @@ def test_long_and_short_sequence_values_do_not_mix(spark, tmp_path):
     assert sorted(r.value for r in read_lines(spark, path, "sequencefile").collect()) == sorted(lines)
 
 
+def test_sequence_values_stay_records_with_line_ends(spark, tmp_path):
+    values = ["rain\ndeer\t1994\t1", "snow\r\nfall\t1995\t2", "ice\rage\t1996\t3"]
+    path = str(tmp_path / "records")
+    spark.sparkContext.parallelize(list(enumerate(values)), 2).saveAsSequenceFile(path)
+    lines = read_lines(spark, path, "sequencefile")
+    assert "Scan ExistingRDD" in lines._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.value for r in lines.collect()) == sorted(values)
+    found = sorted(rows(read_ngrams(spark, path, "sequencefile")))
+    assert found == [("ice\rage", 1996, 3), ("rain\ndeer", 1994, 1), ("snow\r\nfall", 1995, 2)]
+
+
+def test_sequence_file_reading_writes_no_copy(spark, tmp_path):
+    import os
+    from urllib.parse import urlparse
+
+    path = save(spark, ["rain deer\t1994\t2"], str(tmp_path / "n"), "sequencefile")
+    scratch = urlparse(spark.conf.get("spark.sql.warehouse.dir")).path + "/scratch"
+    before = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+    assert read_lines(spark, path, "sequencefile").count() == 1
+    after = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+    assert after == before
+
+
 def test_unknown_format_and_mode(spark):
     with pytest.raises(ValueError):
         read_ngrams(spark, "x", "avro")
@@ -142,7 +165,7 @@ def test_sequence_files_stay_in_the_jvm(spark, tmp_path):
     found = read_ngrams(spark, str(tmp_path / "n"), "sequencefile")
     assert sorted(rows(found)) == PARSED
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "ExistingRDD" not in plan
+    assert "Python" not in plan  # records are read, converted and typed in the JVM
 
 
 @pytest.mark.parametrize("word", ["a\tb", "a\nb", " "])

@@ -22,7 +22,10 @@ first gets a threshold from exact scores of a seed set (the best ``TOP`` documen
 terms, found leaf by leaf, node by node): the weakest kth seed score, or 1. The traversal then
 descends from (item node, upper node) to (item node, leaf) to (item, leaf) pairs, dropping every
 pair whose bound is below the weakest threshold of the items it holds; documents of the leaves
-that survive are scored exactly. A document with a score at or above the item's true kth score is
+that survive are refined per document: the item's terms are ordered by their largest
+contribution anywhere, and those whose running sum stays below the threshold cannot lift a
+document to it alone, so only documents holding one of the other (essential) terms are scored
+exactly. A document with a score at or above the item's true kth score is
 never dropped, as bounds only exceed scores and thresholds only trail them, so the result is exact.
 
 Defined results for odd input: documents without terms (null, empty, digits and punctuation only)
@@ -171,7 +174,25 @@ def ranked(documents: DataFrame, benchmark: DataFrame, top: int = TOP) -> DataFr
         .where(F.col("bound") >= F.col("tau"))
         .select("ikey", "leaf")
     )
-    scored = exact(item_leaves, postings.select("leaf", "term", "rid", "doc_id", "c"), ["leaf", "term"])
+    # within surviving leaves, only documents with an essential term can reach the threshold:
+    # the item's other terms (least bounds first) add up to less than it
+    reach = items.select("ikey", "term", "w").join(
+        postings.groupBy("term").agg(F.max("c").alias("top_c")), "term"
+    )
+    running = F.sum(F.col("w") * F.col("top_c")).over(
+        Window.partitionBy("ikey").orderBy(F.col("w") * F.col("top_c"), "term")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    essential = (
+        reach.withColumn("running", running).join(tau.select("ikey", "tau"), "ikey")
+        .where(F.col("running") >= F.col("tau")).select("ikey", "term")
+    )
+    candidates = (
+        item_leaves.join(essential, "ikey")
+        .join(postings.select("leaf", "term", "rid"), ["leaf", "term"])
+        .select("ikey", "rid").distinct()
+    )
+    scored = exact(candidates, postings.select("rid", "term", "doc_id", "c"), ["rid", "term"])
     best = _top(scored, ["ikey"], top, order)
     return best.select(
         "item_id",

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from pairlore.functions.measures import has_all_components, repeatable_sum
 from pairlore.functions.words import stop_text
@@ -87,25 +88,57 @@ def write_stages(
     ``folder`` must be on storage that all executors share.  Each stage reads the tables of
     the stages before it, so a lost executor costs at most the tasks of the current stage,
     the corpus is scanned once, and the marginals have a known size when the join is
-    planned.  Fails when a table of that name exists already.
+    planned.
+
+    The run can be resumed.  A stage is finished when its manifest (``_done/<stage>``: the
+    options and a fingerprint of the input) follows its table; a second call with the same
+    input and options reads finished tables and computes only the rest, so a job lost after
+    stage 3 does not scan the corpus again.  A table without manifest is an unfinished one and
+    is replaced.  A finished stage of other options or another input stops the call.
     """
     spark = ngrams.sparkSession
-
-    def kept(name: str, table: DataFrame) -> DataFrame:
-        table.write.parquet(f"{folder}/{name}")
+    chosen = _options(stop_words, stopword_mode, sum_scope)
+    mark = {**chosen, "input": _fingerprint(ngrams)}
+
+    def kept(name: str, make) -> DataFrame:
+        done = _manifest(spark, f"{folder}/_done/{name}")
+        if done is not None:
+            other = sorted(k for k in mark if done.get(k) != mark[k])
+            if other:
+                raise ValueError(f"stage {name} in {folder} was written with another {', '.join(other)}")
+            return spark.read.parquet(f"{folder}/{name}")
+        make().write.mode("overwrite").parquet(f"{folder}/{name}")
+        rows = sorted({**mark, "stage": name}.items())
+        spark.createDataFrame(rows, "name string, value string").coalesce(1).write.mode("overwrite").json(
+            f"{folder}/_done/{name}"
+        )
         return spark.read.parquet(f"{folder}/{name}")
 
-    pairs = kept("pair_counts", pair_counts(ngrams, stop_words, stopword_mode))
-    c1 = kept("first_word_counts", first_word_counts(pairs))
-    c2 = kept("second_word_counts", second_word_counts(pairs))
-    n = kept("decade_totals", totals_of_words(c1))
-    table = kept("contingency", attach_counts(pairs, attach_per_decade(c1, n, "n"), c2))
-    sums = kept("npmi_sums", npmi_sums(table, sum_scope))
-    chosen = _options(stop_words, stopword_mode, sum_scope)
-    kept("options", spark.createDataFrame(sorted(chosen.items()), "name string, value string"))
+    pairs = kept("pair_counts", lambda: pair_counts(ngrams, stop_words, stopword_mode))
+    c1 = kept("first_word_counts", lambda: first_word_counts(pairs))
+    c2 = kept("second_word_counts", lambda: second_word_counts(pairs))
+    n = kept("decade_totals", lambda: totals_of_words(c1))
+    table = kept("contingency", lambda: attach_counts(pairs, attach_per_decade(c1, n, "n"), c2))
+    sums = kept("npmi_sums", lambda: npmi_sums(table, sum_scope))
+    kept("options", lambda: spark.createDataFrame(sorted(chosen.items()), "name string, value string"))
     return dict(zip(STAGES, (pairs, c1, c2, n, table, sums), strict=True))
 
 
+def _fingerprint(ngrams: DataFrame) -> str:
+    """The input as a plan and the files it reads: equal for the same corpus and steps."""
+    files = "\n".join(sorted(ngrams.inputFiles()))
+    return hashlib.sha256(f"{ngrams.semanticHash()}\n{files}".encode()).hexdigest()
+
+
+def _manifest(spark: SparkSession, path: str) -> dict[str, str] | None:
+    """The manifest at ``path``, or None where the stage has not finished."""
+    try:
+        found = {r.name: r.value for r in spark.read.schema("name string, value string").json(path).collect()}
+    except AnalysisException:
+        return None
+    return found if "stage" in found else None  # a manifest cut short marks nothing
+
+
 def _options(stop_words: Sequence[str] | None, mode: str, scope: str) -> dict[str, str]:
     digest = hashlib.sha256(stop_text(stop_words).encode()).hexdigest()
     return {"stop_words": digest, "stopword_mode": mode, "sum_scope": scope}

@@ -67,8 +67,30 @@ def test_stage_tables_give_the_lazy_result(ngrams, spark, tmp_path):
         assert rows(collocations_from(stages, low, rel)) == want
         assert rows(collocations_from(again, low, rel)) == want
     assert sorted(rows(stages["contingency"])) == sorted(rows(contingency(pair_counts(table))))
-    with pytest.raises(Exception, match="(?i)exist"):
-        write_stages(table, str(tmp_path / "s"))
+    again = write_stages(table, str(tmp_path / "s"))  # finished: read, not computed
+    assert rows(collocations_from(again, 0.1, 0.2)) == rows(collocations(table, 0.1, 0.2))
+    with pytest.raises(ValueError, match="stopword_mode"):
+        write_stages(table, str(tmp_path / "s"), stopword_mode="exact")
+
+
+def test_lost_run_resumes_after_stage_three(spark, ngrams, tmp_path):
+    import shutil
+
+    corpus = str(tmp_path / "corpus")
+    ngrams(*GOLDEN, ("ring plate", 3), ("ring deer", 1)).write.parquet(corpus)
+    table = spark.read.parquet(corpus)
+    want = rows(collocations(table, 0.1, 0.2))
+    folder = tmp_path / "s"
+    write_stages(table, str(folder))
+    for name in pipeline.STAGES[3:] + ("options",):  # lost after stage 3, stage 5 half written
+        shutil.rmtree(folder / "_done" / name)
+    parts = sorted((folder / "contingency").glob("part-*"))
+    for part in parts[: len(parts) // 2 + 1]:
+        part.unlink()
+    shutil.rmtree(corpus)  # the corpus cannot be read again
+    stages = write_stages(table, str(folder))
+    assert rows(collocations_from(stages, 0.1, 0.2)) == want
+    assert rows(collocations_from(read_stages(spark, str(folder)), 0.1, 0.2)) == want
 
 
 def test_stage_options(ngrams, tmp_path):

@@ -106,8 +106,10 @@ def test_sequence_file_reading_writes_no_copy(spark, tmp_path):
     import os
     from urllib.parse import urlparse
 
+    from pairlore.sources.scratch import shared_folder
+
     path = save(spark, ["rain deer\t1994\t2"], str(tmp_path / "n"), "sequencefile")
-    scratch = urlparse(spark.conf.get("spark.sql.warehouse.dir")).path + "/scratch"
+    scratch = os.path.dirname(urlparse(shared_folder(spark)).path)
     before = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
     assert read_lines(spark, path, "sequencefile").count() == 1
     after = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
@@ -301,3 +303,29 @@ def test_bigrams_of_text(spark):
     ]
     counted = pair_counts(table)
     assert sorted(rows(counted)) == sorted(rows(pair_counts(bigrams_of_text(texts, "text", year))))
+
+
+def test_scratch_scope_leaves_only_the_result(spark):
+    import os
+    from urllib.parse import urlparse
+
+    from pairlore.sources.scratch import Scratch, saved, shared_folder
+
+    scratch = os.path.dirname(urlparse(shared_folder(spark)).path)
+    listing = lambda: set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+    before = listing()
+    with Scratch(spark) as scope:
+        first = saved(spark.range(100), "first")  # an operator's own table joins the scope
+        second = scope.saved(first.selectExpr("id * 2 AS id"), "second")
+        result = scope.result(second.where("id % 3 = 0"), "answer")
+        assert len(listing() - before) == 3
+    left = listing() - before
+    assert len(left) == 1 and next(iter(left)).startswith("pairlore-answer-")
+    assert result.count() == 34
+    with pytest.raises(ZeroDivisionError):
+        with Scratch(spark):
+            saved(spark.range(3), "lost")
+            1 / 0
+    assert listing() - before == left
+    kept = saved(spark.range(2), "outside")  # no scope: stays
+    assert kept.count() == 2 and len(listing() - before) == 2

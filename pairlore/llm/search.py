@@ -13,13 +13,14 @@ holding a term and tf its occurrences in one:
 and each item gets its ``TOP`` highest-scoring documents with score above 0, equal scores by
 ascending doc_id (null ids last).
 
-The method. Documents form a tree: leaves of about ``BLOCK`` documents of one length class (m
-drives c, so a leaf's documents weigh terms alike), under nodes of ``FANOUT`` leaves. Items form a
+The method. Documents form a tree: leaves of ``BLOCK`` documents of similar length (m drives
+c, so a leaf's documents weigh terms alike: within each input partition documents are ordered
+by length and numbered), under nodes of ``FANOUT`` leaves. Items form a
 tree of nodes of about ``ITEM_BLOCK`` items. Every node holds coordinate maxima: a document node
 the largest c of each term below it, an item node the weight of each term of its items. For a pair
 of nodes, sum(w * max c) over shared terms bounds every score between their members. Each item
 first gets a threshold from exact scores of a seed set (the best ``TOP`` documents of each of its
-terms, found leaf by leaf, node by node): the weakest kth seed score, or 1. The traversal then
+terms): the weakest kth seed score, or 1. The traversal then
 descends from (item node, upper node) to (item node, leaf) to (item, leaf) pairs, dropping every
 pair whose bound is below the weakest threshold of the items it holds; documents of the leaves
 that survive are refined per document: the item's terms are ordered by their largest
@@ -49,11 +50,12 @@ BLOCK = 256  # documents per leaf of the document tree
 FANOUT = 64  # leaves per upper node
 ITEM_BLOCK = 32  # items per node of the item tree
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # between terms
 
 
 def terms(text: Column) -> Column:
     """All terms of a text, in order, with repeats; null: none."""
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(f"({TERM})"), 1)
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS), "")
 
 
 def _item_terms(benchmark: DataFrame, weights: DataFrame) -> DataFrame:
@@ -80,41 +82,36 @@ def _top(df: DataFrame, by: list[str], k: int, order: list[Column]) -> DataFrame
 def ranked(documents: DataFrame, benchmark: DataFrame, top: int = TOP) -> DataFrame:
     """(item_id, rank int, doc_id, score long): each item's best documents, exact."""
     spark = documents.sparkSession
-    n = F.size(terms(F.col("text"))).cast("long")
-    size_class = F.floor(F.log2(F.col("n"))).cast("long")
-    # one light pass: documents, terms and documents of each length class
-    classes = (
-        documents.select(n.alias("n")).where(F.col("n") > 0)
-        .groupBy(size_class.alias("c")).agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("terms"))
-        .collect()
-    )
-    if not classes:
-        return spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
-    big_n, big_l = sum(r.k for r in classes), sum(r.terms for r in classes)
     vocabulary = benchmark.select(F.explode(terms(F.col("text"))).alias("term")).distinct()
-
-    # document tree: leaves of BLOCK documents of one length class, FANOUT leaves a node
-    leaves = F.create_map(*[x for r in classes for x in (F.lit(r.c), F.lit(max(math.ceil(r.k / BLOCK), 1)))])
-    bucket = F.pmod(F.xxhash64("rid"), leaves[size_class])
-    m = F.lit(10) + F.expr(f"(90 * n * {big_n}L) div {big_l}L")
-    postings = saved(
+    # one pass over the texts: a row per document (term null) and its postings of the
+    # query vocabulary; the row number within the partition, after ordering by length,
+    # places each document in a leaf of similar lengths
+    tokens = (
         documents.select(F.col("doc_id").cast("long").alias("doc_id"), terms(F.col("text")).alias("terms"))
         .withColumn("n", F.size("terms").cast("long"))
         .where(F.col("n") > 0)
+        .sortWithinPartitions("n")
         .withColumn("rid", F.monotonically_increasing_id())
-        .select("rid", "doc_id", "n", size_class.alias("cls"), bucket.alias("bucket"), F.explode("terms").alias("term"))
-        .join(F.broadcast(vocabulary), "term")  # the query set's vocabulary
-        .groupBy("rid", "doc_id", "n", "cls", "bucket", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-        .withColumn("m", m)
-        .select(
-            "rid", "doc_id", "term",
-            (F.col("cls") * (1 << 32) + F.col("bucket")).alias("leaf"),
-            (F.col("cls") * (1 << 32) + F.floor(F.col("bucket") / FANOUT)).cast("long").alias("upper"),
-            F.expr("(1000000000 * tf) div (1000 * tf + 8 * m)").alias("c"),
-        ),
+        .select("rid", "doc_id", "n", F.explode(F.concat(F.array(F.lit(None).cast("string")), "terms")).alias("term"))
+    )
+    found = tokens.join(F.broadcast(vocabulary.withColumn("known", F.lit(True))), "term", "left")
+    raw = saved(
+        found.select("rid", "doc_id", "n", F.when(F.col("known"), F.col("term")).alias("term"))
+        .groupBy("rid", "doc_id", "n", "term")
+        .agg(F.count(F.lit(1)).alias("tf")),
         "search-postings",
     )
+    stats = raw.where(F.col("term").isNull()).agg(F.count(F.lit(1)).alias("N"), F.sum("n").alias("L")).first()
+    if not stats.N:
+        return spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
+    big_n, big_l = int(stats.N), int(stats.L)
+    m = f"(10 + (90 * n * {big_n}L) div {big_l}L)"
+    postings = raw.where(F.col("term").isNotNull()).select(
+        "rid", "doc_id", "term",
+        F.floor(F.col("rid") / BLOCK).cast("long").alias("leaf"),
+        F.floor(F.col("rid") / (BLOCK * FANOUT)).cast("long").alias("upper"),
+        F.expr(f"(1000000000 * tf) div (1000 * tf + 8 * {m})").alias("c"),
+    )
     weights = (
         postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
         .select("term", F.floor(F.lit(1000.0) * F.log((2.0 * big_n + 2.0) / (2.0 * F.col("df") + 1.0))).cast("long").alias("w"))
@@ -136,8 +133,8 @@ def ranked(documents: DataFrame, benchmark: DataFrame, top: int = TOP) -> DataFr
     order = [F.col("score").desc(), F.col("doc_id").asc_nulls_last(), F.col("rid")]
     by_c = [F.col("c").desc(), F.col("doc_id").asc_nulls_last(), F.col("rid")]
 
-    # thresholds: exact scores of each term's best documents, leaf by leaf, node by node
-    seeds = _top(_top(_top(postings, ["term", "leaf"], top, by_c), ["term", "upper"], top, by_c), ["term"], top, by_c)
+    # thresholds: exact scores of each term's best documents
+    seeds = _top(postings, ["term"], top, by_c)  # limited per term map-side, then per term
     seed_pairs = items.select("ikey", "term").join(seeds.select("term", "rid"), "term").select("ikey", "rid").distinct()
     seeded = exact(seed_pairs, postings.select("rid", "term", "doc_id", "c"), ["rid", "term"])
     kth = _top(seeded, ["ikey"], top, order).groupBy("ikey").agg(

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairlore.llm.common import BLANKS, table
-from pairlore.sources.scratch import saved
+from pairlore.sources.scratch import Scratch, saved
 
 COUNTERS = 1024  # Misra-Gries counters per partition summary: candidates <= COUNTERS
 
@@ -146,7 +146,8 @@ def deduplicated(documents: DataFrame, counters: int = COUNTERS) -> DataFrame:
 def op11_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row of ``documents``: which row of its equal texts stays."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return copies(documents).drop("hot")
+    with Scratch(spark) as scope:  # the digests go when the result is written
+        return scope.result(copies(documents).drop("hot"), "exact")
 
 
 ORACLE_SQL = r"""

@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pairlore.llm.common import ascii_lower, table
-from pairlore.sources.scratch import saved
+from pairlore.sources.scratch import Scratch, saved
 
 TOP = 10
 BLOCK = 256  # documents per leaf of the document tree
@@ -203,7 +203,8 @@ def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each benchmark item's 10 best documents of the whole table."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     benchmark = table(spark, sf_dir, "benchmark").select("item_id", "text")
-    return ranked(documents, benchmark)
+    with Scratch(spark) as scope:  # postings and thresholds go when the result is written
+        return scope.result(ranked(documents, benchmark), "search")
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

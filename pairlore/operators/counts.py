@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -99,18 +100,24 @@ def multi_level_counts(
     stop_words: Sequence[str] | None = None,
     stopword_mode: str = "substring",
 ) -> DataFrame:
-    """All four counts as one tagged stream, from one shuffle.
+    """All four counts as one tagged stream, cascaded from the pair counts.
 
     ``tag`` is ``Cw1w2``, ``Cw1``, ``Cw2`` or ``N``; words a level does not have are NULL.
+    Raw rows are aggregated once, to pairs; the word counts are aggregated from the pairs and
+    the decade totals from the first-word counts, so no raw row is copied per level.  The
+    pairs' exchange is the same in every branch and is reused.
     """
-    d, w1, w2 = (F.col(name) for name in PAIR_KEYS)
-    level = F.element_at(
-        F.array(*(F.lit(tag) for tag in ("Cw1w2", "Cw1", "Cw2", "N"))),
-        (F.grouping_id() + 1).cast("int"),
-    )
-    return (
-        accepted_bigrams(ngrams, stop_words, stopword_mode)
-        .groupingSets([[d, w1, w2], [d, w1], [d, w2], [d]], d, w1, w2)
-        .agg(level.alias("tag"), F.sum("match_count").alias("value"))
-        .select(*PAIR_KEYS, "tag", "value")
+    pairs = pair_counts(ngrams, stop_words, stopword_mode)
+    c1 = first_word_counts(pairs)
+    word = F.lit(None).cast("string")
+    levels = (
+        pairs.select(*PAIR_KEYS, F.lit("Cw1w2").alias("tag"), F.col("c12").alias("value")),
+        c1.select("decade", "w1", word.alias("w2"), F.lit("Cw1").alias("tag"), F.col("c1").alias("value")),
+        second_word_counts(pairs).select(
+            "decade", word.alias("w1"), "w2", F.lit("Cw2").alias("tag"), F.col("c2").alias("value")
+        ),
+        c1.groupBy("decade").agg(F.sum("c1").alias("value")).select(
+            "decade", word.alias("w1"), word.alias("w2"), F.lit("N").alias("tag"), "value"
+        ),
     )
+    return reduce(DataFrame.unionByName, levels)

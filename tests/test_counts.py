@@ -122,6 +122,16 @@ def test_multi_level_counts_are_the_four_counts(ngrams):
     assert sorted(rows(multi_level_counts(table)), key=str) == sorted(expected, key=str)
 
 
+def test_multi_level_counts_cascade_without_expanding_raw_rows(ngrams):
+    table = ngrams(*GOLDEN, ("rain deer", 9, 2004))
+    levels = multi_level_counts(table)
+    assert "Expand" not in levels._jdf.queryExecution().executedPlan().toString()
+    levels.collect()
+    final = levels._jdf.queryExecution().executedPlan().toString()
+    # the raw rows go through one exchange, into pairs; the other three levels reuse it
+    assert final.count("ReusedExchange") == 3, final
+
+
 def test_listing_orders(ngrams):
     table = ngrams(*GOLDEN, ("rain deer", 9, 2004))
     listed = rows(by_second_word(pair_counts(table)), "decade", "w2", "w1")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
-from pairlore.functions.measures import has_all_components, repeatable_sum
+from pairlore.functions.measures import has_all_components, is_perfect, is_positive, npmi, repeatable_sum
 from pairlore.functions.words import stop_text
 from pairlore.operators.counts import (
     PAIR_KEYS,
@@ -18,6 +18,7 @@ from pairlore.operators.counts import (
     second_word_counts,
 )
 from pairlore.operators.scores import (
+    SUM_SCOPES,
     attach_counts,
     attach_per_decade,
     by_descending_score,
@@ -49,8 +50,9 @@ def collocations(
     """Ordered word pairs that pass either threshold, best first within each decade.
 
     One lazy plan; nothing runs before an action.  The scores are used twice, for the result
-    and for their sum.  By default both uses read one exchange; with another sum scope or
-    with perfect pairs they differ, and the word joins run twice.  For a large corpus prefer
+    and for their sum, and both uses read one exchange, so the word joins run once.  By
+    default that exchange holds the positive pairs only; with another sum scope or with
+    perfect pairs it holds every scored pair with flags that each use filters on.  For a large corpus prefer
     ``collocations_from(write_stages(...), ...)``, which keeps every step.
     """
     check_threshold("min_npmi", min_npmi)
@@ -70,11 +72,35 @@ def collocations(
             F.when(has_words, repeatable_sum(F.col("npmi"))).alias("sum_npmi")
         )
     else:
-        scores, sums = npmi_scores(table, include_perfect), npmi_sums(table, sum_scope)
+        scores, sums = _scores_and_sums(table, include_perfect, sum_scope)
     passing = passing_scores(scores, sums, min_npmi, rel_min_npmi, decade_join)
     return by_descending_score(passing)
 
 
+def _scores_and_sums(table: DataFrame, include_perfect: bool, sum_scope: str) -> tuple[DataFrame, DataFrame]:
+    """Scores and decade sums of other scopes from one exchange of every scored pair.
+
+    Each pair carries its kind (0 negative, 1 positive, 2 perfect).  Both uses read the same
+    columns of one exchange, so Spark plans it once and reuses it; pairs a use does not take
+    get a null score instead of a filter, which Spark would push below the exchange into one
+    use only.  A null score passes no threshold.
+    """
+    if sum_scope not in SUM_SCOPES:
+        raise ValueError(f"sum_scope must be one of {SUM_SCOPES}, not {sum_scope!r}")
+    kind = F.when(is_perfect(), 2).when(is_positive(), 1).otherwise(0)
+    flagged = table.select(*PAIR_KEYS, npmi().alias("npmi"), kind.alias("kind")).repartition(
+        F.xxhash64(*PAIR_KEYS)
+    )
+    kept = (1, 2) if include_perfect else (1,)
+    scores = flagged.select(*PAIR_KEYS, F.when(F.col("kind").isin(*kept), F.col("npmi")).alias("npmi"))
+    counted = (1,) if sum_scope == "positive" else (0, 1, 2)
+    has_words = F.max(F.xxhash64("w1", "w2")).isNotNull()  # same columns as the scores' use
+    sums = flagged.groupBy("decade").agg(
+        F.when(has_words, repeatable_sum(F.when(F.col("kind").isin(*counted), F.col("npmi")))).alias("sum_npmi")
+    )
+    return scores, sums
+
+
 def write_stages(
     ngrams: DataFrame,
     folder: str,

@@ -144,3 +144,16 @@ def test_hot_words_are_split_from_stage_tables(corpus, conf, tmp_path):
     )
     assert executed_plan(joined).count("SortMergeJoin(skew=true)") == 3
     assert sorted(rows(joined)) == sorted(rows(stages["contingency"]))
+
+
+@pytest.mark.parametrize("options", [{"sum_scope": "all"}, {"include_perfect": True}, {}])
+def test_all_scopes_join_the_words_once(ngrams, options):
+    table = ngrams(*GOLDEN, ("ring plate", 3), ("ring deer", 1), ("ring ring", 2, 1961))
+    found = collocations(table, 0.1, 0.2, **options)
+    want = collocations(table, 0.1, 0.2)  # the default path, whose joins run once
+    found.collect()
+    want.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    joins = sum(plan.count(j) for j in ("SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin"))
+    default = want._jdf.queryExecution().executedPlan().toString()
+    assert joins == sum(default.count(j) for j in ("SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin"))

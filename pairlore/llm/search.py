@@ -107,17 +107,20 @@ def ranked(documents: DataFrame, benchmark: DataFrame, top: int = TOP) -> DataFr
     big_n, big_l = int(stats.N), int(stats.L)
     m = f"(10 + (90 * n * {big_n}L) div {big_l}L)"
     postings = raw.where(F.col("term").isNotNull()).select(
-        "rid", "doc_id", "term",
-        F.floor(F.col("rid") / BLOCK).cast("long").alias("leaf"),
-        F.floor(F.col("rid") / (BLOCK * FANOUT)).cast("long").alias("upper"),
-        F.expr(f"(1000000000 * tf) div (1000 * tf + 8 * {m})").alias("c"),
+        "rid", "term", F.expr(f"(1000000000 * tf) div (1000 * tf + 8 * {m})").alias("c")
     )
-    weights = (
-        postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-        .select("term", F.floor(F.lit(1000.0) * F.log((2.0 * big_n + 2.0) / (2.0 * F.col("df") + 1.0))).cast("long").alias("w"))
+    doc_ids = raw.where(F.col("term").isNull()).select("rid", "doc_id")
+    leaf, upper = F.floor(F.col("rid") / BLOCK).cast("long"), F.floor(F.col("rid") / (BLOCK * FANOUT)).cast("long")
+    # df and the largest c of each term, in one aggregate
+    term_stats = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max("c").alias("top_c"))
+    weight = F.floor(F.lit(1000.0) * F.log((2.0 * big_n + 2.0) / (2.0 * F.col("df") + 1.0))).cast("long")
+    items = saved(  # item_id, ikey, inode, term, w, top_c
+        _item_terms(benchmark, term_stats.select("term", weight.alias("w"), "top_c")), "search-items"
+    )
+    leaf_max = saved(
+        postings.groupBy(leaf.alias("leaf"), upper.alias("upper"), "term").agg(F.max("c").alias("maxc")),
+        "search-leaves",
     )
-    items = saved(_item_terms(benchmark, weights), "search-items")  # item_id, term, w, inode
-    leaf_max = postings.groupBy("leaf", "upper", "term").agg(F.max("c").alias("maxc"))
     upper_max = leaf_max.groupBy("upper", "term").agg(F.max("maxc").alias("maxc"))
 
     def exact(pairs: DataFrame, docs_of: DataFrame, on: list[str]) -> DataFrame:
@@ -125,19 +128,19 @@ def ranked(documents: DataFrame, benchmark: DataFrame, top: int = TOP) -> DataFr
         return (
             pairs.join(items.select("ikey", "item_id", "term", "w"), "ikey")
             .join(docs_of, on)
-            .groupBy("ikey", "item_id", "rid", "doc_id")
+            .groupBy("ikey", "item_id", "rid")
             .agg(F.sum(F.col("w") * F.col("c")).alias("score"))
             .where(F.col("score") > 0)
         )
 
     order = [F.col("score").desc(), F.col("doc_id").asc_nulls_last(), F.col("rid")]
-    by_c = [F.col("c").desc(), F.col("doc_id").asc_nulls_last(), F.col("rid")]
+    by_c = [F.col("c").desc(), F.col("rid")]  # any real scores give a threshold
 
     # thresholds: exact scores of each term's best documents
     seeds = _top(postings, ["term"], top, by_c)  # limited per term map-side, then per term
     seed_pairs = items.select("ikey", "term").join(seeds.select("term", "rid"), "term").select("ikey", "rid").distinct()
-    seeded = exact(seed_pairs, postings.select("rid", "term", "doc_id", "c"), ["rid", "term"])
-    kth = _top(seeded, ["ikey"], top, order).groupBy("ikey").agg(
+    seeded = exact(seed_pairs, postings, ["rid", "term"])
+    kth = _top(seeded, ["ikey"], top, [F.col("score").desc(), F.col("rid")]).groupBy("ikey").agg(
         F.min("score").alias("kth"), F.count(F.lit(1)).alias("found")
     )
     tau = saved(
@@ -173,9 +176,7 @@ def ranked(documents: DataFrame, benchmark: DataFrame, top: int = TOP) -> DataFr
     )
     # within surviving leaves, only documents with an essential term can reach the threshold:
     # the item's other terms (least bounds first) add up to less than it
-    reach = items.select("ikey", "term", "w").join(
-        postings.groupBy("term").agg(F.max("c").alias("top_c")), "term"
-    )
+    reach = items.select("ikey", "term", "w", "top_c")
     running = F.sum(F.col("w") * F.col("top_c")).over(
         Window.partitionBy("ikey").orderBy(F.col("w") * F.col("top_c"), "term")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -186,10 +187,10 @@ def ranked(documents: DataFrame, benchmark: DataFrame, top: int = TOP) -> DataFr
     )
     candidates = (
         item_leaves.join(essential, "ikey")
-        .join(postings.select("leaf", "term", "rid"), ["leaf", "term"])
+        .join(postings.select(leaf.alias("leaf"), "term", "rid"), ["leaf", "term"])
         .select("ikey", "rid").distinct()
     )
-    scored = exact(candidates, postings.select("rid", "term", "doc_id", "c"), ["rid", "term"])
+    scored = exact(candidates, postings, ["rid", "term"]).join(doc_ids, "rid")
     best = _top(scored, ["ikey"], top, order)
     return best.select(
         "item_id",

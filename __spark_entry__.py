@@ -25,6 +25,7 @@ from pairlore import (
     decade_totals,
     default_stop_words,
     first_word_counts,
+    in_fact_order,
     integrity_audit,
     multi_level_counts,
     ngrams_from_text,
@@ -260,6 +261,19 @@ def q_count_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_facts(contingency(pair_counts(doc_bigrams(spark, sf_dir))))
 
 
+def q_ordered_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals, counts, scores and sums of the documents as one listing in fact order."""
+    pairs = pair_counts(doc_bigrams(spark, sf_dir))
+    table = contingency(pairs)
+    facts = union_facts(
+        as_facts(decade_totals(pairs), "N", "n"),
+        count_facts(table),
+        as_facts(_rounded(npmi_scores(table), "npmi"), "Npmi", "npmi"),
+        as_facts(_rounded(npmi_sums(table), "sum_npmi"), "SumNpmis", "sum_npmi"),
+    )
+    return in_fact_order(facts.withColumn("value", F.col("value").cast("double")))
+
+
 def q_npmi_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = npmi_scores(contingency(pair_counts(doc_bigrams(spark, sf_dir))))
     return _rounded(scores.select(*PAIR_KEYS, "npmi"), "npmi")
@@ -500,6 +514,14 @@ SELECT decade, w1, w2, 'Cw1w2' AS tag, c12 AS value FROM contingency
 UNION ALL SELECT decade, w1, w2, 'Cw1', c1 FROM contingency
 UNION ALL SELECT decade, w1, w2, 'Cw2', c2 FROM contingency"""
 
+_ORDERED_FACTS = """
+SELECT decade, NULL AS w1, NULL AS w2, 'N' AS tag, CAST(sum(c12) AS DOUBLE) AS value FROM pairs GROUP BY decade
+UNION ALL SELECT decade, w1, w2, 'Cw1w2', CAST(c12 AS DOUBLE) FROM contingency
+UNION ALL SELECT decade, w1, w2, 'Cw1', CAST(c1 AS DOUBLE) FROM contingency
+UNION ALL SELECT decade, w1, w2, 'Cw2', CAST(c2 AS DOUBLE) FROM contingency
+UNION ALL SELECT decade, w1, w2, 'Npmi', round(npmi, 6) FROM scores
+UNION ALL SELECT * FROM (SELECT DISTINCT decade, NULL, NULL, 'SumNpmis', round(sum_npmi, 6) FROM sums)"""
+
 _LEVELS = """
 SELECT decade, w1, w2,
        CASE grouping(w1, w2) WHEN 0 THEN 'Cw1w2' WHEN 1 THEN 'Cw1'
@@ -650,6 +672,7 @@ def oracle_sql() -> dict[str, str]:
             "\nSELECT decade, w1, w2, c12, c1, c2 FROM contingency",
         ),
         "count_facts": _sql(docs, words, _PAIRS, _CONTINGENCY, _FACTS),
+        "ordered_facts": _sql(docs, words, _scored(), _ORDERED_FACTS),
         "count_facts_round_trip": _sql(
             docs, words, _PAIRS,
             "\nSELECT decade, w1, w2, 'Cw1w2' AS tag, c12 AS value FROM pairs"

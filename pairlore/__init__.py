@@ -21,6 +21,7 @@ from pairlore.operators.scores import (
     by_descending_score,
     by_second_word,
     by_words_nulls_first,
+    in_fact_order,
     contingency,
     integrity_audit,
     npmi_scores,
@@ -62,6 +63,7 @@ __all__ = [
     "by_descending_score",
     "by_second_word",
     "by_words_nulls_first",
+    "in_fact_order",
     "collocations",
     "collocations_from",
     "contingency",

@@ -169,3 +169,30 @@ def integrity_audit(contingency: DataFrame) -> DataFrame:
 
     problems = F.array_compact(F.array(*map(problem, ("c12", "c1", "c2"))))
     return contingency.select(*PAIR_KEYS, F.explode(problems).alias("reason"))
+
+
+# Fixed order of fact tags: totals first, then the pair counts, then scores and sums, then
+# scores listed by their value.
+FACT_CLASSES = {"N": 0, "Cw1w2": 1, "Cw1": 1, "Cw2": 1, "Npmi": 2, "SumNpmis": 2, "NpmiWithVal": 3}
+FACT_TAGS = ("N", "Cw1w2", "Cw1", "Cw2", "Npmi", "SumNpmis", "NpmiWithVal")
+
+
+def in_fact_order(facts: DataFrame) -> DataFrame:
+    """Mixed facts ``(decade, w1, w2, tag, value)`` in one total order.
+
+    Decade ascending; within it the total ``N`` first, then the counts ``Cw1w2``, ``Cw1`` and
+    ``Cw2`` together by (w1, w2) with absent words first, then ``Npmi`` and ``SumNpmis``
+    together by (w1, w2) likewise, then ``NpmiWithVal`` by value descending.  Ties go by tag
+    in the order above, then by value descending; unknown tags come last.  The key is made
+    of columns only, so the sort is one range-partitioned exchange.
+    """
+    classes = F.create_map(*[x for t, c in FACT_CLASSES.items() for x in (F.lit(t), F.lit(c))])
+    ranks = F.create_map(*[x for i, t in enumerate(FACT_TAGS) for x in (F.lit(t), F.lit(i))])
+    group = F.coalesce(classes[F.col("tag")], F.lit(len(FACT_TAGS)))
+    by_value = F.when(group == FACT_CLASSES["NpmiWithVal"], F.col("value"))
+    return facts.orderBy(
+        F.asc_nulls_last("decade"), group, F.desc_nulls_last(by_value),
+        F.asc_nulls_first("w1"), F.asc_nulls_first("w2"),
+        F.coalesce(ranks[F.col("tag")], F.lit(len(FACT_TAGS))), F.asc_nulls_last("tag"),
+        F.desc_nulls_last("value"),
+    )

@@ -250,3 +250,46 @@ def test_thresholds_are_monotone(ngrams):
     table = ngrams(*random_ngrams(4))
     sizes = [collocations(table, t, 2).count() for t in (0.0, 0.02, 0.05, 0.1, 0.5)]
     assert sizes == sorted(sizes, reverse=True)
+
+
+def test_fact_order_matches_a_plain_comparator(spark):
+    import functools
+    import random
+
+    from pairlore import in_fact_order
+
+    classes = {"N": 0, "Cw1w2": 1, "Cw1": 1, "Cw2": 1, "Npmi": 2, "SumNpmis": 2, "NpmiWithVal": 3}
+    tags = list(classes)
+
+    def words(a, b):  # absent words first
+        for x, y in ((a[1], b[1]), (a[2], b[2])):
+            if x != y:
+                return -1 if x is None else 1 if y is None else (-1 if x < y else 1)
+        return 0
+
+    def compare(a, b):
+        if a[0] != b[0]:
+            return -1 if a[0] < b[0] else 1
+        ca, cb = classes.get(a[3], 7), classes.get(b[3], 7)
+        if ca != cb:
+            return -1 if ca < cb else 1
+        if ca == 3 and a[4] != b[4]:
+            return -1 if a[4] > b[4] else 1
+        result = words(a, b)
+        if result:
+            return result
+        ra, rb = tags.index(a[3]) if a[3] in tags else 7, tags.index(b[3]) if b[3] in tags else 7
+        if (ra, a[3]) != (rb, b[3]):
+            return -1 if (ra, a[3]) < (rb, b[3]) else 1
+        return 0 if a[4] == b[4] else (-1 if a[4] > b[4] else 1)
+
+    rng = random.Random(3)
+    rows = []
+    for _ in range(400):
+        tag = rng.choice(tags + ["Other"])
+        w1 = None if tag in ("N", "Cw2", "SumNpmis") else rng.choice(["ab", "b", "zz", "é"])
+        w2 = None if tag in ("N", "Cw1", "SumNpmis") else rng.choice(["ab", "b", "zz", "é"])
+        rows.append((rng.choice([1950, 1960, 2000]), w1, w2, tag, float(rng.randint(-5, 5))))
+    facts = spark.createDataFrame(rows, "decade long, w1 string, w2 string, tag string, value double")
+    got = [tuple(r) for r in in_fact_order(facts).collect()]
+    assert got == sorted(rows, key=functools.cmp_to_key(compare))

@@ -204,6 +204,16 @@ def q_stopword_substring_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(*PAIR_KEYS, "match_count")
 
 
+def q_stopword_substring_own_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Substring mode with an own list: the default entries and every word of the benchmark."""
+    found = _table(spark, sf_dir, "benchmark").select(
+        F.explode(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+")).alias("word")
+    )
+    listed = {r.word for r in found.where("word != ''").distinct().collect()}  # the query set's words
+    words = sorted(listed | set(default_stop_words()))
+    return pair_counts(doc_ngrams(spark, sf_dir), words)
+
+
 def q_pair_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_counts(doc_bigrams(spark, sf_dir))
 
@@ -444,17 +454,24 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _accepted(mode: str = "substring") -> str:
-    """Word test as the definition has it: search the list text, or look up the entry."""
+def _accepted(mode: str = "substring", listed: str | None = None) -> str:
+    """Word test as the definition has it: search the list text, or look up the entry.
+
+    ``listed`` is SQL for a table of entries (column ``word``) that replaces the default list.
+    """
     if mode == "substring":
-        listed = "contains((SELECT t FROM stop_text), {w})"
-        lists = f"stop_text AS (SELECT {_quoted(_stop_text())} AS t)"
+        listed_test = "contains((SELECT t FROM stop_text), {w})"
+        if listed is None:
+            lists = f"stop_text AS (SELECT {_quoted(_stop_text())} AS t)"
+        else:
+            lists = f"stop_text AS (SELECT string_agg(word, chr(10) ORDER BY word) AS t FROM ({listed}))"
     else:
-        listed = "{w} IN (SELECT word FROM stop_list)"
+        listed_test = "{w} IN (SELECT word FROM stop_list)"
         lists = (
             "stop_list AS (SELECT DISTINCT unnest(string_split("
             f"{_quoted(_stop_text())}, chr(10))) AS word)"
         )
+    listed = listed_test
     reject = "(length({w}) < 2 AND strlen({w}) < 4) OR " + listed
     reject += " OR regexp_matches({w}, '[0-9]')"
     return f""",
@@ -468,6 +485,11 @@ accepted AS (
   WHERE NOT ({reject.format(w="w1")}) AND NOT ({reject.format(w="w2")}))"""
 
 
+_OWN_LIST = (
+    "SELECT word FROM (SELECT unnest(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+')) AS word"
+    " FROM benchmark UNION SELECT unnest(string_split(" + _quoted(_stop_text()) + ", chr(10)))) WHERE word <> ''"
+)
+
 _PAIRS = """,
 pairs AS (
   SELECT decade, w1, w2, CAST(sum(match_count) AS BIGINT) AS c12
@@ -639,6 +661,7 @@ def oracle_sql() -> dict[str, str]:
         "sequencefile_round_trip": doc_pairs,
         "csv_quarantine": _sql(docs, _QUARANTINE),
         "stopword_substring_table": _sql(docs, words, accepted),
+        "stopword_substring_own_list": _sql(docs, _accepted(listed=_OWN_LIST), _PAIRS, pairs),
         "integrity_audit_missing": _sql(
             parts, exact, _PAIRS, _CONTINGENCY, _LOSSY, _audit("lossy", "= 0", "zero")
         ),

@@ -109,19 +109,39 @@ def _words_of(stop_words: Sequence[str] | None, mode: str) -> tuple[str, ...]:
     return tuple(default_stop_words() if stop_words is None else stop_words)
 
 
+FRAGMENTS_IN_PLAN = 200_000  # substrings of an own list held as a hash set in the plan
+
+
+def _fragments(words: tuple[str, ...]) -> tuple[str, ...] | None:
+    """Every substring of every entry, or None where there are more than FRAGMENTS_IN_PLAN."""
+    if words == tuple(default_stop_words()):
+        return _default_fragments()
+    if sum(len(w) * (len(w) + 1) // 2 for w in set(words)) > FRAGMENTS_IN_PLAN:
+        return None
+    return tuple(sorted({"", *(w[i:j] for w in words for i in range(len(w)) for j in range(i + 1, len(w) + 1))}))
+
+
+def needs_join(stop_words: Sequence[str] | None, mode: str) -> bool:
+    """True where substring mode covers too many fragments for a set in the plan: the words
+    are then tested by an anti join with a fragment table (``without_listed_words``)."""
+    return mode == "substring" and _fragments(_words_of(stop_words, mode)) is None
+
+
 def _is_covered(word: str, words: tuple[str, ...], mode: str) -> Column:
     """Decides every word without a newline.
 
     Searching the list text for each word costs about 1 microsecond per word, which would be
     the most expensive thing the counting scan does.  A word without a newline lies inside
     the joined text exactly when it lies inside one entry, so substring mode is a lookup in
-    the set of all entry substrings.  That set is kept for the default list only: for other
-    lists it can be very large, and the text, one literal, is searched.
+    the set of all entry substrings, for the default list and for own lists of up to
+    ``FRAGMENTS_IN_PLAN`` substrings.  Larger lists are joined as a table by the counting
+    operators (``needs_join``); only this column form searches their text, as one literal.
     """
     if mode == "exact":
         return _is_one_of(word, sorted(set(words)))
-    if words == tuple(default_stop_words()):
-        return _is_one_of(word, _default_fragments())
+    fragments = _fragments(words)
+    if fragments is not None:
+        return _is_one_of(word, fragments)
     return F.contains(F.lit(stop_text(words)), F.col(word))
 
 
@@ -144,6 +164,8 @@ def bigram_rejections(
 ) -> list[Column]:
     """``is_stop_word(w1) | is_stop_word(w2)`` as a list of tests, cheapest first.
 
+    For a list that ``needs_join``, the entry test is left to that join.
+
     ``texts`` are the columns to search for digits and newlines: either the words, or the
     n-gram they came from, which needs one search instead of two.
     """
@@ -157,7 +179,8 @@ def bigram_rejections(
     if mode == "substring":
         unusual = some(lambda text: F.col(text).rlike("[0-9\n]"), texts)
         late = unusual & (late | some(lambda w: _spans_entries(w, words), sides))
-    return [some(is_short, sides), *(_is_covered(w, words, mode) for w in sides), late]
+    covered = [] if needs_join(stop_words, mode) else [_is_covered(w, words, mode) for w in sides]
+    return [some(is_short, sides), *covered, late]
 
 
 def is_stop_word(

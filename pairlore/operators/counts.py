@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairlore.functions.measures import decade_of
-from pairlore.functions.words import bigram_rejections
+from pairlore.functions.words import bigram_rejections, needs_join, without_listed_words
 
 PAIR_KEYS = ["decade", "w1", "w2"]
 
@@ -45,7 +45,8 @@ def accepted_bigrams(
     """Bigrams whose two words both pass the word test, one row per input row.
 
     Takes an n-gram table ``(ngram, year, match_count)``, or the same with the words already
-    apart: ``(w1, w2, year, match_count)``.
+    apart: ``(w1, w2, year, match_count)``.  An own stop list too large for a set of its
+    substrings in the plan is joined as a table of them.
     """
     if "ngram" in ngrams.columns:
         bigrams = two_word_ngrams(ngrams)
@@ -60,6 +61,10 @@ def accepted_bigrams(
         texts = ["w1", "w2"]
     for test in bigram_rejections(texts, stop_words, stopword_mode):
         bigrams = bigrams.where(~test)
+    if needs_join(stop_words, stopword_mode):
+        spark = ngrams.sparkSession
+        listed = spark.createDataFrame([(w,) for w in dict.fromkeys(stop_words)], "word string")
+        bigrams = without_listed_words(bigrams, listed, "substring")
     # Without these null tests Spark derives them from each later join and puts them into
     # some copies of this subtree only, which then cannot share their shuffle.
     for key in PAIR_KEYS:

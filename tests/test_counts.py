@@ -146,3 +146,29 @@ def test_volume_count_is_not_read(spark, ngrams, tmp_path):
     ngrams(*GOLDEN).withColumn("volume_count", F.lit(1)).write.parquet(path)
     plan = pair_counts(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
     assert "volume_count" not in plan.split("ReadSchema")[1]
+
+
+@pytest.mark.parametrize("bound", [10, 200_000])
+def test_own_lists_of_any_size_match_the_list_text(ngrams, monkeypatch, bound):
+    from pairlore.functions import words as W
+
+    monkeypatch.setattr(W, "FRAGMENTS_IN_PLAN", bound)
+    own = ["rainfall", "deer", "zz\nqq", "snow", "é€x"]
+    table = ngrams(
+        *GOLDEN, ("infal deer", 3), ("ow fall", 2), ("qq zz", 1), ("z\nq tree", 4), ("€x tree", 5),
+        ("fall tree", 6), ("xx yy", 7),
+    )
+    text = "\n".join(own)
+
+    def covered(w):
+        return len(w) < 2 or any(c.isdigit() for c in w) or w in text
+
+    want = {}
+    for r in table.collect():
+        parts = r.ngram.rstrip(" ").split(" ")
+        if len(parts) == 2 and not covered(parts[0]) and not covered(parts[1]):
+            key = (r.year - r.year % 10, parts[0], parts[1])
+            want[key] = want.get(key, 0) + r.match_count
+    got = {(r.decade, r.w1, r.w2): r.c12 for r in pair_counts(table, own).collect()}
+    assert W.needs_join(own, "substring") == (bound == 10)
+    assert got == want

@@ -125,10 +125,9 @@ def ranked(documents: DataFrame, benchmark: DataFrame, top: int = TOP) -> DataFr
 
     def exact(pairs: DataFrame, docs_of: DataFrame, on: list[str]) -> DataFrame:
         """Exact scores of (item, document) for the item's terms the documents hold."""
-        wanted = docs_of.join(pairs.select("rid").distinct(), "rid", "left_semi")  # their documents only
         return (
             pairs.join(items.select("ikey", "item_id", "term", "w"), "ikey")
-            .join(wanted, on)
+            .join(docs_of, on)
             .groupBy("ikey", "item_id", "rid")
             .agg(F.sum(F.col("w") * F.col("c")).alias("score"))
             .where(F.col("score") > 0)
@@ -188,11 +187,7 @@ def ranked(documents: DataFrame, benchmark: DataFrame, top: int = TOP) -> DataFr
     )
     candidates = (
         item_leaves.join(essential, "ikey")
-        .join(
-            postings.join(essential.select("term").distinct(), "term", "left_semi")
-            .select(leaf.alias("leaf"), "term", "rid"),
-            ["leaf", "term"],
-        )
+        .join(postings.select(leaf.alias("leaf"), "term", "rid"), ["leaf", "term"])
         .select("ikey", "rid").distinct()
     )
     scored = exact(candidates, postings, ["rid", "term"]).join(doc_ids, "rid")

@@ -2,8 +2,10 @@
 
 Every word enters with what training learned about it: how much more often the word itself
 and its character n-grams occur in toxic texts. The network reads windows of words in both
-directions, pools them by attention and gives each window a score. All overlapping windows of
-the whole text are scored; the highest one is the text's, calibrated to a probability.
+directions, pools them by attention and gives each window a score. Windows of ``WINDOW`` words
+start every ``STRIDE`` words over the whole text and stand for all overlapping windows: every word
+lies in one, and a passage of up to WINDOW - STRIDE + 1 words lies whole in one; a longer passage
+may lie whole in none. The highest window score is the text's, calibrated to a probability.
 
 Nulls: a null text counts as empty; an empty text has no window and gets the lowest score, 0.
 Without labels of both classes every score is 0. An empty table gives an empty result;

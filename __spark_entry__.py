@@ -593,7 +593,10 @@ def _training_data() -> tuple[dict, dict]:
     try:
         import corpus_pipeline
         from pairlore.llm import registry
-    except ImportError:
+    except ModuleNotFoundError as missing:
+        # only the absence of the folder itself; a module it needs that is missing is an error
+        if missing.name not in ("corpus_pipeline", "pairlore.llm", "pairlore.llm.registry"):
+            raise
         return {}, {}
     queries, sql = registry.queries(), registry.oracle_sql()
     queries["pipeline"] = corpus_pipeline.run

@@ -108,6 +108,7 @@ def write_stages(
     stop_words: Sequence[str] | None = None,
     stopword_mode: str = "substring",
     sum_scope: str = "positive",
+    buckets: int | None = None,
 ) -> dict[str, DataFrame]:
     """Run the counting stages once each and keep every result as a table in ``folder``.
 
@@ -121,35 +122,81 @@ def write_stages(
     input and options reads finished tables and computes only the rest, so a job lost after
     stage 3 does not scan the corpus again.  A table without manifest is an unfinished one and
     is replaced.  A finished stage of other options or another input stops the call.
+
+    With ``buckets``, pairs and first-word counts are stored bucketed on (decade, w1) and
+    second-word counts on (decade, w2), in that many buckets, and registered as tables of the
+    session: the join of pairs and first-word counts then reads both without an exchange, and
+    the second-word counts need none either.  A hot decade is spread over all buckets, as the
+    words are part of the key.
     """
     spark = ngrams.sparkSession
     chosen = _options(stop_words, stopword_mode, sum_scope)
-    mark = {**chosen, "input": _fingerprint(ngrams)}
+    mark = {**chosen, "input": _fingerprint(ngrams), "buckets": str(buckets)}
 
-    def kept(name: str, make) -> DataFrame:
+    def kept(name: str, make, keys: tuple[str, ...] = ()) -> DataFrame:
+        path = f"{folder}/{name}"
+        layout = _Bucketed(spark, folder, name, keys, buckets) if buckets and keys else None
         done = _manifest(spark, f"{folder}/_done/{name}")
         if done is not None:
             other = sorted(k for k in mark if done.get(k) != mark[k])
             if other:
                 raise ValueError(f"stage {name} in {folder} was written with another {', '.join(other)}")
-            return spark.read.parquet(f"{folder}/{name}")
-        make().write.mode("overwrite").parquet(f"{folder}/{name}")
+            return layout.read() if layout else spark.read.parquet(path)
+        if layout:
+            layout.write(make())
+        else:
+            make().write.mode("overwrite").parquet(path)
         rows = sorted({**mark, "stage": name}.items())
         spark.createDataFrame(rows, "name string, value string").coalesce(1).write.mode("overwrite").json(
             f"{folder}/_done/{name}"
         )
-        return spark.read.parquet(f"{folder}/{name}")
+        return layout.read() if layout else spark.read.parquet(path)
 
-    pairs = kept("pair_counts", lambda: pair_counts(ngrams, stop_words, stopword_mode))
-    c1 = kept("first_word_counts", lambda: first_word_counts(pairs))
-    c2 = kept("second_word_counts", lambda: second_word_counts(pairs))
+    first, second = ("decade", "w1"), ("decade", "w2")
+    pairs = kept("pair_counts", lambda: pair_counts(ngrams, stop_words, stopword_mode), first)
+    c1 = kept("first_word_counts", lambda: first_word_counts(pairs), first)
+    c2 = kept("second_word_counts", lambda: second_word_counts(pairs), second)
     n = kept("decade_totals", lambda: totals_of_words(c1))
-    table = kept("contingency", lambda: attach_counts(pairs, attach_per_decade(c1, n, "n"), c2))
+    if buckets:  # pairs meet their first-word counts in place, the totals come after
+
+        def joined() -> DataFrame:
+            with_c1 = attach_per_decade(pairs.join(c1, ["decade", "w1"]), n, "n")
+            return with_c1.join(c2, ["decade", "w2"]).select(*PAIR_KEYS, "c12", "c1", "c2", "n")
+
+        table = kept("contingency", joined)
+    else:
+        table = kept("contingency", lambda: attach_counts(pairs, attach_per_decade(c1, n, "n"), c2))
     sums = kept("npmi_sums", lambda: npmi_sums(table, sum_scope))
     kept("options", lambda: spark.createDataFrame(sorted(chosen.items()), "name string, value string"))
     return dict(zip(STAGES, (pairs, c1, c2, n, table, sums), strict=True))
 
 
+class _Bucketed:
+    """A stage table stored bucketed in ``folder`` and registered in the session's catalog."""
+
+    def __init__(self, spark: SparkSession, folder: str, name: str, keys: tuple[str, ...], buckets: int):
+        self.spark, self.path, self.keys, self.buckets = spark, f"{folder}/{name}", keys, buckets
+        digest = hashlib.sha256(folder.encode()).hexdigest()[:16]
+        self.table = f"pairlore_{digest}_{name}"
+
+    def write(self, df: DataFrame) -> None:
+        (
+            df.write.mode("overwrite").bucketBy(self.buckets, *self.keys).sortBy(*self.keys)
+            .option("path", self.path).saveAsTable(self.table)
+        )
+
+    def read(self) -> DataFrame:
+        if not self.spark.catalog.tableExists(self.table):  # written by another session
+            schema = self.spark.read.parquet(self.path).schema
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            keys = ", ".join(f"`{k}`" for k in self.keys)
+            self.spark.sql(
+                f"CREATE TABLE {self.table} ({columns}) USING parquet CLUSTERED BY ({keys}) "
+                f"SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{self.path}'"
+            )
+        return self.spark.table(self.table)
+
+
 def _fingerprint(ngrams: DataFrame) -> str:
     """The input as a plan and the files it reads: equal for the same corpus and steps."""
     files = "\n".join(sorted(ngrams.inputFiles()))
@@ -177,6 +224,7 @@ def read_stages(
     stop_words: Sequence[str] | None = None,
     stopword_mode: str = "substring",
     sum_scope: str = "positive",
+    buckets: int | None = None,
 ) -> dict[str, DataFrame]:
     """The tables an earlier ``write_stages`` with the same options left in ``folder``."""
     found = {r.name: r.value for r in spark.read.parquet(f"{folder}/options").collect()}
@@ -184,7 +232,12 @@ def read_stages(
     other = sorted(k for k in wanted if found.get(k) != wanted[k])
     if other:
         raise ValueError(f"the stages in {folder} were written with another {', '.join(other)}")
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in STAGES}
+    keys = {"pair_counts": ("decade", "w1"), "first_word_counts": ("decade", "w1"), "second_word_counts": ("decade", "w2")}
+    return {
+        name: _Bucketed(spark, folder, name, keys[name], buckets).read()
+        if buckets and name in keys else spark.read.parquet(f"{folder}/{name}")
+        for name in STAGES
+    }
 
 
 def collocations_from(

@@ -157,3 +157,22 @@ def test_all_scopes_join_the_words_once(ngrams, options):
     joins = sum(plan.count(j) for j in ("SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin"))
     default = want._jdf.queryExecution().executedPlan().toString()
     assert joins == sum(default.count(j) for j in ("SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin"))
+
+
+def test_bucketed_stages_join_pairs_in_place(spark, ngrams, tmp_path, conf):
+    rng = random.Random(4)
+    names = ["zulu", "yoyo", "kiwi", "vodka", "jazz", "gypsy"]
+    table = ngrams(*GOLDEN, *[
+        (f"{rng.choice(names)} {rng.choice(names)}", rng.randint(1, 9), rng.choice((1950, 1961))) for _ in range(300)
+    ])
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    stages = write_stages(table, str(tmp_path / "b"), buckets=4)
+    for low, rel in ((0.1, 0.2), (0.02, 2)):
+        assert rows(collocations_from(stages, low, rel)) == rows(collocations(table, low, rel))
+    joined = stages["pair_counts"].join(stages["first_word_counts"], ["decade", "w1"])
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("Bucketed: true") == 2, plan
+    again = read_stages(spark, str(tmp_path / "b"), buckets=4)
+    assert rows(collocations_from(again, 0.1, 0.2)) == rows(collocations(table, 0.1, 0.2))
+    with pytest.raises(ValueError, match="buckets"):
+        write_stages(table, str(tmp_path / "b"))

@@ -22,7 +22,7 @@ def documents(spark):
 
 def test_all_are_registered():
     names = entry_points.queries().keys()
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
     assert "pipeline" in names and [n for n, _ in corpus_pipeline.STAGES]
 
 

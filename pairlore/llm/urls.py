@@ -110,44 +110,65 @@ def suffix_counts(labelled: DataFrame) -> DataFrame:
     )
 
 
-def with_rates(urls: DataFrame, counted: DataFrame, prior: float) -> DataFrame:
+def with_rates(urls: DataFrame, counted: DataFrame, prior: float, own: tuple[str, str] | None = None) -> DataFrame:
     """``urls`` (with host) and the smoothed rates of blocked URLs with their suffixes, last_rate and last_two_rate.
 
-    A suffix without labelled URLs has the rate of all. The rates are joined to the distinct
+    A suffix without labelled URLs has the rate of all. The counts are joined to the distinct
     suffixes first; these get an exchange of their own, so that a hot suffix's URLs are split.
+    ``own`` names columns of ``urls`` with each URL's own labelled rows and blocked ones: for
+    training, these are taken out of its suffixes' counts (leave one out), so that a suffix
+    held by one URL does not hand the trees that URL's label.
     """
 
-    def rates(labels: int, name: str) -> DataFrame:
-        rate = (F.col("blocked") + SMOOTHING * prior) / (F.col("n") + SMOOTHING)
-        return counted.where(F.col("labels") == labels).select(F.col("suffix").alias(name), rate.alias(f"{name}_rate"))
+    def counts(labels: int, name: str) -> DataFrame:
+        return counted.where(F.col("labels") == labels).select(
+            F.col("suffix").alias(name), F.col("n").alias(f"{name}_n"), F.col("blocked").alias(f"{name}_b")
+        )
 
     last, last_two = suffixes(F.col("host"))
     known = (
         urls.select(last_two.alias("last_two")).distinct()
-        .join(rates(2, "last_two"), "last_two", "left")
+        .join(counts(2, "last_two"), "last_two", "left")
         .withColumn("last", F.substring_index("last_two", ".", -1))
-        .join(rates(1, "last"), "last", "left")
-        .select("last_two", *(F.coalesce(r, F.lit(prior)).alias(r) for r in ("last_rate", "last_two_rate")))
+        .join(counts(1, "last"), "last", "left")
+        .select("last_two", "last_n", "last_b", "last_two_n", "last_two_b")
         .repartition(F.xxhash64("last_two"))
     )
-    return urls.withColumn("last_two", last_two).join(known, "last_two", "left").drop("last_two")
+
+    def rate(name: str) -> Column:
+        n = F.coalesce(F.col(f"{name}_n"), F.lit(0)).cast("double")
+        blocked = F.coalesce(F.col(f"{name}_b"), F.lit(0)).cast("double")
+        if own is not None:
+            n, blocked = n - F.col(own[0]), blocked - F.col(own[1])
+        return (blocked + SMOOTHING * prior) / (n + SMOOTHING)
+
+    joined = urls.withColumn("_last_two", last_two).join(
+        known.withColumnRenamed("last_two", "_last_two"), "_last_two", "left"
+    )
+    return joined.select(*urls.columns, rate("last").alias("last_rate"), rate("last_two").alias("last_two_rate"))
 
 
 def train(labelled: DataFrame, limit: int = SAMPLE) -> UrlModel:
     """A model from ``labelled`` (url, blocked 0/1).
 
     Suffix statistics count every labelled URL, in a table with a row per suffix; the trees are
-    fitted on ``limit`` distinct ones, chosen by a hash of the URL, with their counts as weights.
+    fitted on ``limit`` distinct ones, chosen by a hash of the URL, with their counts as weights,
+    each seeing its suffixes' rates without its own labels.
     """
     rows = labelled.select("url", "blocked")
     counted = saved(suffix_counts(rows), "url_suffixes")
     total = counted.where("labels = 1").agg(F.sum("n").alias("n"), F.sum("blocked").alias("blocked")).first()
     prior = total.blocked / total.n if total.n else 0.0
     distinct = rows.groupBy("url").agg(F.count("*").alias("n"), F.avg("blocked").alias("blocked"))
-    chosen = distinct.orderBy(F.xxhash64("url"), "url").limit(limit).withColumn("host", host_of(F.col("url")))
+    chosen = (
+        distinct.orderBy(F.xxhash64("url"), "url").limit(limit)
+        .withColumn("host", host_of(F.col("url")))
+        .withColumn("own_blocked", F.col("blocked") * F.col("n"))
+    )
     columns = ["url", "n", "blocked", "last_rate", "last_two_rate"]
+    rated = with_rates(chosen, counted, prior, own=("n", "own_blocked"))
     sample = pd.DataFrame(
-        [tuple(r) for r in with_rates(chosen, counted, prior).select(*columns).collect()], columns=columns
+        [tuple(r) for r in rated.select(*columns).collect()], columns=columns
     ).sort_values("url", ignore_index=True)
     if sample.empty:
         return UrlModel(fit(np.zeros((0, 1)), np.zeros(0))._replace(base=-35.0), counted, prior)

@@ -195,6 +195,25 @@ def test_url_trees_on_held_out_urls(spark):
     assert sum((r.verdict == "block") == (r.page_id % 3 == 0) for r in found) > 195
 
 
+def test_training_rates_leave_the_urls_own_labels_out(spark):
+    """A URL alone on its suffix sees the prior there, not its own label; others see the rest."""
+    labelled = spark.createDataFrame(
+        [("http://a.only.biz/", 1), ("http://a.only.biz/", 1), ("http://x.pair.com/", 1), ("http://y.pair.com/", 0)],
+        "url string, blocked int",
+    )
+    counted = urls.suffix_counts(labelled)
+    chosen = (
+        labelled.groupBy("url").agg(F.count("*").alias("n"), F.avg("blocked").alias("blocked"))
+        .withColumn("host", urls.host_of(F.col("url"))).withColumn("own_blocked", F.col("blocked") * F.col("n"))
+    )
+    found = {r.url: r for r in urls.with_rates(chosen, counted, 0.75, own=("n", "own_blocked")).collect()}
+    assert found["http://a.only.biz/"].last_two_rate == pytest.approx(0.75)
+    assert found["http://a.only.biz/"].last_rate == pytest.approx(0.75)
+    s = urls.SMOOTHING
+    assert found["http://x.pair.com/"].last_two_rate == pytest.approx((0 + s * 0.75) / (1 + s))
+    assert found["http://y.pair.com/"].last_two_rate == pytest.approx((1 + s * 0.75) / (1 + s))
+
+
 def test_each_suffix_has_its_own_rate(spark):
     """More suffixes than any fixed array: nothing that the table gains moves another suffix's rate."""
     bad = [(f"http://a{k}.evil.biz/", 1) for k in range(20)]

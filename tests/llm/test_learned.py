@@ -287,7 +287,7 @@ def test_added_spans_keep_the_base(docs):
     spelled = model._replace(thresholds=dict.fromkeys(pii.KINDS, 0.0)).added("write to jo [at] site [dot] org now", [])
     assert spelled == [("email", 9, 31)]
     assert pii.find(frame.where("false"), model).count() == 0
-    assert pii.train(frame.where("false")) == pii.NO_MODEL or True
+    assert pii.train(frame.where("false")) is pii.NO_MODEL  # no examples: nothing is added
 
 
 def test_redaction(docs):

@@ -338,13 +338,13 @@ def _as_lines(ngrams: DataFrame) -> DataFrame:
 
 def q_text_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark)
-    _as_lines(doc_ngrams(spark, sf_dir)).write.text(folder)
+    _as_lines(doc_ngrams(spark, sf_dir)).write.text(folder, compression="lz4")
     return pair_counts(read_ngrams(spark, folder, "text"))
 
 
 def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark)
-    _as_lines(doc_ngrams(spark, sf_dir)).write.text(folder)
+    _as_lines(doc_ngrams(spark, sf_dir)).write.text(folder, compression="lz4")
     return pair_counts(read_ngrams(spark, folder, "csv"))
 
 
@@ -359,7 +359,7 @@ def q_csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("value")
     )
     folder = shared_folder(spark)
-    lines.write.text(folder)
+    lines.write.text(folder, compression="lz4")
     found = [
         read_ngrams(spark, folder, form, on_error="quarantine")
         .agg(F.count("*").alias("lines"), F.sum("match_count").alias("match_count"))

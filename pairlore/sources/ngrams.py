@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from pairlore.sources.scratch import shared_folder
+from pairlore.sources.scratch import remove, shared_folder
 
 NGRAM_COLUMNS = ["ngram", "year", "match_count"]
 FORMATS = ("parquet", "orc", "csv", "text", "sequencefile")
@@ -75,20 +75,28 @@ def _sequence_file_values(spark: SparkSession, paths: str) -> DataFrame:
     return DataFrame(frame, spark).select("value")
 
 
+_BLOCKS_OF_LZ4 = {"compress": "true", "compress.type": "BLOCK", "compress.codec": "org.apache.hadoop.io.compress.Lz4Codec"}
+
+
 def write_sequence_file(lines: DataFrame, path: str) -> None:
     """Lines (column ``value``) as a SequenceFile of Text, keyed by their place in the file.
 
-    They go through text on shared storage: both steps stay inside the JVM.
+    They go through text on shared storage: both steps stay inside the JVM.  Both copies are
+    compressed (LZ4; the SequenceFile by blocks, which any of its readers opens) and the first
+    is deleted at the end.
     """
     spark = lines.sparkSession
     folder = shared_folder(spark, "lines")
-    lines.select("value").write.text(folder)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    lines.select("value").write.text(folder, compression="lz4")
+    conf = spark.sparkContext._jvm.org.apache.hadoop.conf.Configuration(spark.sparkContext._jsc.hadoopConfiguration())
+    for key, value in _BLOCKS_OF_LZ4.items():
+        conf.set(f"mapreduce.output.fileoutputformat.{key}", value)
     key, text = (_hadoop_class(spark, f"io.{c}") for c in ("LongWritable", "Text"))
     reader = _hadoop_class(spark, "mapreduce.lib.input.TextInputFormat")
     writer = _hadoop_class(spark, "mapreduce.lib.output.SequenceFileOutputFormat")
     records = spark.sparkContext._jsc.newAPIHadoopFile(folder, reader, key, text, conf)
     records.saveAsNewAPIHadoopFile(path, key, text, writer, conf)
+    remove(spark, folder)
 
 
 def _checked(on_error: str) -> str:
@@ -172,12 +180,21 @@ def bigrams_of_text(texts: DataFrame, text: str, year: Column, *keep: str) -> Da
 def ngrams_from_text(
     texts: DataFrame, text: str, year: Column, document: str
 ) -> DataFrame:
-    """Yearly bigram table of a table of texts, in the full n-gram schema."""
+    """Yearly bigram table of a table of texts, in the full n-gram schema.
+
+    The texts of a document are brought together first, which moves every word once; its pairs
+    are then counted where they are made, and only counts by year and n-gram are shuffled.
+    Counting distinct documents per n-gram would shuffle every pair with its document as well.
+    Documents without an id count for no volume, so their texts may lie anywhere.
+    """
+    spread = F.when(F.col(document).isNull(), F.xxhash64(text))
+    located = texts.select(
+        F.col(document).alias("document"), spread.alias("spread"), year.alias("year"), F.col(text).alias("text")
+    ).repartition("document", "spread")
     return (
-        bigrams_of_text(texts, text, year, document)
-        .groupBy("year", F.concat_ws(" ", "w1", "w2").alias("ngram"))
-        .agg(
-            F.sum("match_count").alias("match_count"),
-            F.count_distinct(document).alias("volume_count"),
-        )
+        bigrams_of_text(located, "text", F.col("year"), "document", "spread")
+        .groupBy("year", F.concat_ws(" ", "w1", "w2").alias("ngram"), "document", "spread")
+        .agg(F.sum("match_count").alias("match_count"))
+        .groupBy("year", "ngram")
+        .agg(F.sum("match_count").alias("match_count"), F.count("document").alias("volume_count"))
     )

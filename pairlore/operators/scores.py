@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairlore.functions.measures import (
@@ -29,19 +29,27 @@ def attach_per_decade(
 ) -> DataFrame:
     """Add ``column`` of a one-row-per-decade table to every row of the decade.
 
-    Spark broadcasts the small side when its measured size allows it.  Otherwise both sides
-    are shuffled, and the small one ends in an exchange of its own, without which adaptive
-    execution could not split the decade that holds most of the rows.  ``how="shuffle"``
-    asks for that form; the result is the same.
+    The small side is broadcast unless the session switches broadcasts off: left to adaptive
+    execution, Spark moves all rows to their decade before it knows how small the other side
+    is.  Otherwise both sides are shuffled, and the small one ends in an exchange of its own,
+    without which adaptive execution could not split the decade that holds most of the rows.
+    ``how="shuffle"`` asks for that form; the result is the same.
     """
     if how not in DECADE_JOINS:
         raise ValueError(f"decade_join must be one of {DECADE_JOINS}, not {how!r}")
-    per_decade = per_decade.select("decade", column).repartition(F.xxhash64("decade"))
+    per_decade = per_decade.select("decade", column)
+    if how == "auto" and _broadcasts(rows.sparkSession):
+        return rows.join(F.broadcast(per_decade), "decade")
+    per_decade = per_decade.repartition(F.xxhash64("decade"))
     if how == "shuffle":
         per_decade = per_decade.hint("merge")
     return rows.join(per_decade, "decade")
 
 
+def _broadcasts(spark: SparkSession) -> bool:
+    return not spark.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-")
+
+
 def contingency(pairs: DataFrame, decade_join: str = "auto") -> DataFrame:
     """``(decade, w1, w2, c12)`` plus the marginals ``c1``, ``c2`` and the total ``n``.
 
@@ -65,6 +73,34 @@ def _movable(marginals: DataFrame, word: str) -> DataFrame:
     return marginals.repartition(F.xxhash64("decade", word))
 
 
+def contingency_in_place(pairs: DataFrame) -> DataFrame:
+    """The rows of ``contingency`` with each pair shuffled once per word and nothing beside it.
+
+    Pairs are brought together by first word, counted and joined there, then likewise by second
+    word.  A word's pairs (each once, however often it occurs) are in one task, in a sort that
+    spills; ``contingency`` splits the joins of a word that dominates, for twice the shuffle.
+    """
+    by_first = pairs.repartition("w1", "decade")
+    n = _counted(by_first, "n", "decade")
+    with_c1 = _with_count(by_first, "w1", "c1")
+    table = attach_per_decade(_with_count(with_c1.repartition("w2", "decade"), "w2", "c2"), n, "n")
+    # Tests of c12 and c1 must not move into some uses of the shuffles below, which would then
+    # not be shared: each value names c2, which is known above them only.
+    late = (F.when(F.col("c2").isNotNull(), F.col(c)).alias(c) for c in ("c12", "c1"))
+    return table.select(*PAIR_KEYS, *late, "c2", "n")
+
+
+def _counted(rows: DataFrame, name: str, *keys: str) -> DataFrame:
+    """Sum of ``c12`` by ``keys``.  It names all columns, as a use of fewer of them would have
+    a shuffle of its own; the test of them always holds."""
+    whole = F.max(F.xxhash64(*rows.columns)).isNotNull()
+    return rows.groupBy(*keys).agg(F.when(whole, F.sum("c12")).alias(name))
+
+
+def _with_count(rows: DataFrame, word: str, name: str) -> DataFrame:
+    return rows.join(_counted(rows, name, word, "decade"), [word, "decade"])
+
+
 def totals_of_words(c1: DataFrame) -> DataFrame:
     """Decade totals from first-word counts."""
     return c1.groupBy("decade").agg(F.sum("c1").alias("n"))
@@ -72,7 +108,7 @@ def totals_of_words(c1: DataFrame) -> DataFrame:
 
 def attach_counts(pairs: DataFrame, c1: DataFrame, c2: DataFrame) -> DataFrame:
     """Pairs with their marginals; ``c1`` also carries the decade total ``n``."""
-    joined = pairs.join(c1, ["decade", "w1"]).join(c2, ["decade", "w2"])
+    joined = pairs.join(c1, ["w1", "decade"]).join(c2, ["w2", "decade"])
     return joined.select(*PAIR_KEYS, "c12", "c1", "c2", "n")
 
 

@@ -24,6 +24,7 @@ from pairlore.operators.scores import (
     by_descending_score,
     check_threshold,
     contingency,
+    contingency_in_place,
     npmi_scores,
     npmi_sums,
     passing_scores,
@@ -51,20 +52,22 @@ def collocations(
 
     One lazy plan; nothing runs before an action.  The scores are used twice, for the result
     and for their sum, and both uses read one exchange, so the word joins run once.  By
-    default that exchange holds the positive pairs only; with another sum scope or with
-    perfect pairs it holds every scored pair with flags that each use filters on.  For a large corpus prefer
-    ``collocations_from(write_stages(...), ...)``, which keeps every step.
+    default that exchange holds the positive pairs only, in result order; with another sum scope or
+    with perfect pairs it holds every scored pair with flags that each use filters on.  For a large
+    corpus prefer ``collocations_from(write_stages(...), ...)``, which keeps every step.
+    ``decade_join="shuffle"`` takes the joins that split a hot word or decade (``contingency``).
     """
     check_threshold("min_npmi", min_npmi)
     check_threshold("rel_min_npmi", rel_min_npmi)
     # Zero components score nothing; filtering them before the table forks keeps the two
     # branches alike, so that they share the shuffles below the joins.
-    table = contingency(pair_counts(ngrams, stop_words, stopword_mode), decade_join).where(
-        has_all_components()
-    )
+    pairs = pair_counts(ngrams, stop_words, stopword_mode)
+    table = contingency_in_place(pairs) if decade_join == "auto" else contingency(pairs, decade_join)
+    table = table.where(has_all_components())
     if sum_scope == "positive" and not include_perfect:
         scores = npmi_scores(table).select(*PAIR_KEYS, "npmi")
-        scores = scores.repartition(F.xxhash64(*PAIR_KEYS))
+        # dealt out in result order, which the listing then needs no other exchange for
+        scores = scores.repartitionByRange("decade", F.desc("npmi"), "w1", "w2")
         # An exchange is shared only if both uses need the same columns: the test of the
         # words, which always holds, keeps them in the sum.
         has_words = F.max(F.xxhash64("w1", "w2")).isNotNull()

@@ -2,10 +2,11 @@
 
 import re
 
-from conftest import rows
+from conftest import GOLDEN, rows
 from pyspark.sql import functions as F
 
-from pairlore import ngrams_from_text, pair_counts, read_ngrams, write_sequence_file
+from pairlore import collocations, contingency, ngrams_from_text, pair_counts, read_ngrams, write_sequence_file
+from pairlore.operators.scores import contingency_in_place
 
 
 def exchanges(df):
@@ -32,3 +33,23 @@ def test_sequence_files_are_compressed_blocks(spark, tmp_path):
     found = read_ngrams(spark, str(path), "sequencefile")
     assert sorted(rows(found)) == [("rain deer", 1994, 4), ("snow fall", 1995, 5)]
     assert len(rows(pair_counts(found))) == 2
+
+
+def test_collocations_shuffle_pairs_once_per_use(ngrams):
+    found = collocations(ngrams(*GOLDEN, ("ring plate", 3), ("ring deer", 1)), 0.1, 0.2)
+    moved = exchanges(found)
+    ranges = [e for e in moved if "rangepartitioning" in e]
+    assert len(ranges) == 1 and "REPARTITION_BY_COL" in ranges[0], moved  # scores lie in result order
+    assert not any(re.search(r"hashpartitioning\(decade#\d+L?, \d+\), ENSURE", e) and "w1" in e for e in moved), moved
+    assert sum("REPARTITION_BY_COL" in e for e in moved) == 3, moved  # by first word, by second word, by score
+
+
+def test_in_place_counts_equal_the_split_ones(spark):
+    pairs = spark.createDataFrame(
+        [(1950, "aa", "bb", 4), (1950, "aa", "cc", 0), (1950, "dd", "bb", -3), (1960, "aa", "bb", None),
+         (1960, "ee", "bb", 2), (1950, "aa", "bb", 4), (1950, "xx", "yy", 2**62)],
+        "decade bigint, w1 string, w2 string, c12 bigint",
+    )
+    key = lambda r: tuple((v is None, v) for v in r)
+    want = sorted(rows(contingency(pairs)), key=key)
+    assert sorted(rows(contingency_in_place(pairs)), key=key) == want and len(want) == 7

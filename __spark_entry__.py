@@ -52,7 +52,7 @@ from pairlore import (
 from pairlore.functions.words import has_digit, is_short
 from pairlore.operators.counts import PAIR_KEYS
 from pairlore.sources.facts import as_facts
-from pairlore.sources.scratch import shared_folder
+from pairlore.sources.scratch import saved, shared_folder
 
 # At 2.5e-5 of a decade's sum, either threshold lets pairs through that the other stops.
 DOC_THRESHOLDS = (0.5, 2.5e-5)
@@ -273,10 +273,10 @@ def q_count_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_ordered_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals, counts, scores and sums of the documents as one listing in fact order."""
-    pairs = pair_counts(doc_bigrams(spark, sf_dir))
-    table = contingency(pairs)
+    # joined once: four facts are taken from it, and the listing's ranges need a pass of their own
+    table = saved(contingency(pair_counts(doc_bigrams(spark, sf_dir))), "contingency")
     facts = union_facts(
-        as_facts(decade_totals(pairs), "N", "n"),
+        as_facts(decade_totals(table), "N", "n"),
         count_facts(table),
         as_facts(_rounded(npmi_scores(table), "npmi"), "Npmi", "npmi"),
         as_facts(_rounded(npmi_sums(table), "sum_npmi"), "SumNpmis", "sum_npmi"),
@@ -382,7 +382,7 @@ def q_sequencefile_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_count_facts_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pair counts and totals to tagged text and back."""
     folder = shared_folder(spark)
-    pairs = pair_counts(doc_bigrams(spark, sf_dir))
+    pairs = saved(pair_counts(doc_bigrams(spark, sf_dir)), "pairs")  # counted once for both
     write_facts(as_facts(pairs, "Cw1w2", "c12"), f"{folder}/pairs")
     write_facts(as_facts(decade_totals(pairs), "N", "n"), f"{folder}/totals")
     return read_count_facts(spark, [f"{folder}/pairs", f"{folder}/totals"])

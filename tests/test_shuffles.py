@@ -2,6 +2,7 @@
 
 import re
 
+import __spark_entry__ as entry
 from conftest import GOLDEN, rows
 from pyspark.sql import functions as F
 
@@ -25,16 +26,6 @@ def test_a_text_table_shuffles_its_texts_and_its_counts(spark):
     assert len(moved) == 2 and not any("document" in e and "ngram" in e for e in moved), moved
 
 
-def test_sequence_files_are_compressed_blocks(spark, tmp_path):
-    lines = spark.createDataFrame([("rain deer\t1994\t4\t1",), ("snow fall\t1995\t5\t1",)], "value string")
-    path = tmp_path / "seq"
-    write_sequence_file(lines, str(path))
-    assert any(b"Lz4Codec" in p.read_bytes() for p in path.glob("part-*"))
-    found = read_ngrams(spark, str(path), "sequencefile")
-    assert sorted(rows(found)) == [("rain deer", 1994, 4), ("snow fall", 1995, 5)]
-    assert len(rows(pair_counts(found))) == 2
-
-
 def test_collocations_shuffle_pairs_once_per_use(ngrams):
     found = collocations(ngrams(*GOLDEN, ("ring plate", 3), ("ring deer", 1)), 0.1, 0.2)
     moved = exchanges(found)
@@ -53,3 +44,18 @@ def test_in_place_counts_equal_the_split_ones(spark):
     key = lambda r: tuple((v is None, v) for v in r)
     want = sorted(rows(contingency(pairs)), key=key)
     assert sorted(rows(contingency_in_place(pairs)), key=key) == want and len(want) == 7
+
+
+def test_sequence_files_are_compressed_blocks(spark, tmp_path):
+    lines = spark.createDataFrame([("rain deer\t1994\t4\t1",), ("snow fall\t1995\t5\t1",)], "value string")
+    path = tmp_path / "seq"
+    write_sequence_file(lines, str(path))
+    assert any(b"Lz4Codec" in p.read_bytes() for p in path.glob("part-*"))
+    found = read_ngrams(spark, str(path), "sequencefile")
+    assert sorted(rows(found)) == [("rain deer", 1994, 4), ("snow fall", 1995, 5)]
+    assert len(rows(pair_counts(found))) == 2
+
+
+def test_ordered_facts_join_once(spark):
+    plan = entry.queries()["ordered_facts"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan()
+    assert "Join" not in plan.toString() and "contingency" in plan.toString()

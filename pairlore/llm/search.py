@@ -22,11 +22,10 @@ of nodes, sum(w * max c) over shared terms bounds every score between their memb
 first gets a threshold from exact scores of a seed set (the best ``TOP`` documents of each of its
 terms): the weakest kth seed score, or 1. The traversal then
 descends from (item node, upper node) to (item node, leaf) to (item, leaf) pairs, dropping every
-pair whose bound is below the weakest threshold of the items it holds; documents of the leaves
-that survive are refined per document: the item's terms are ordered by their largest
-contribution anywhere, and those whose running sum stays below the threshold cannot lift a
-document to it alone, so only documents holding one of the other (essential) terms are scored
-exactly. A document with a score at or above the item's true kth score is
+pair whose bound is below the weakest threshold of the items it holds. At the bottom each leaf
+that survives for some items is one block: its postings meet the terms of those items, at most
+``PART`` items at a time, all scores are summed exactly, and the best ``TOP`` documents of each
+item leave the block. A document with a score at or above the item's true kth score is
 never dropped, as bounds only exceed scores and thresholds only trail them, so the result is exact.
 
 Defined results for odd input: documents without terms (null, empty, digits and punctuation only)
@@ -39,16 +38,19 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pairlore.llm.common import ascii_lower, table
+from pairlore.llm.common import ascii_lower, let, table
 from pairlore.sources.scratch import Scratch, saved
 
 TOP = 10
 BLOCK = 256  # documents per leaf of the document tree
 FANOUT = 64  # leaves per upper node
 ITEM_BLOCK = 32  # items per node of the item tree
+PART = 64  # item nodes that a leaf is scored against at a time
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # between terms
 
@@ -58,6 +60,20 @@ def terms(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS), "")
 
 
+def _counted(terms: Column) -> Column:
+    """Distinct terms of an array with their numbers: (term, tf), from runs of the sorted terms."""
+
+    def of_sorted(s: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(s) - 1)
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return let(starts, lambda at: F.transform(at, lambda i, k: F.struct(
+            F.get(s, i).alias("term"),
+            (F.coalesce(F.get(at, k + 1), F.size(s)) - i).cast("long").alias("tf"),
+        )))
+
+    return let(F.sort_array(terms), of_sorted)
+
+
 def _item_terms(benchmark: DataFrame, weights: DataFrame) -> DataFrame:
     """(item_id, ikey, inode, term, w): distinct terms of each item that occur in some document.
 
@@ -84,21 +100,21 @@ def ranked(documents: DataFrame, benchmark: DataFrame, top: int = TOP) -> DataFr
     spark = documents.sparkSession
     vocabulary = benchmark.select(F.explode(terms(F.col("text"))).alias("term")).distinct()
     # one pass over the texts: a row per document (term null) and its postings of the
-    # query vocabulary; the row number within the partition, after ordering by length,
-    # places each document in a leaf of similar lengths
+    # query vocabulary, counted inside the row; the row number within the partition, after
+    # ordering by length, places each document in a leaf of similar lengths
     tokens = (
         documents.select(F.col("doc_id").cast("long").alias("doc_id"), terms(F.col("text")).alias("terms"))
         .withColumn("n", F.size("terms").cast("long"))
         .where(F.col("n") > 0)
         .sortWithinPartitions("n")
         .withColumn("rid", F.monotonically_increasing_id())
-        .select("rid", "doc_id", "n", F.explode(F.concat(F.array(F.lit(None).cast("string")), "terms")).alias("term"))
     )
-    found = tokens.join(F.broadcast(vocabulary.withColumn("known", F.lit(True))), "term", "left")
+    whole = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(None).cast("long").alias("tf")))
+    found = tokens.select("rid", "doc_id", "n", F.inline(F.concat(whole, _counted(F.col("terms")))))
     raw = saved(
-        found.select("rid", "doc_id", "n", F.when(F.col("known"), F.col("term")).alias("term"))
-        .groupBy("rid", "doc_id", "n", "term")
-        .agg(F.count(F.lit(1)).alias("tf")),
+        found.join(F.broadcast(vocabulary.withColumn("known", F.lit(True))), "term", "left")
+        .where(F.col("known") | F.col("term").isNull())
+        .select("rid", "doc_id", "n", "term", "tf"),
         "search-postings",
     )
     stats = raw.where(F.col("term").isNull()).agg(F.count(F.lit(1)).alias("N"), F.sum("n").alias("L")).first()
@@ -107,9 +123,8 @@ def ranked(documents: DataFrame, benchmark: DataFrame, top: int = TOP) -> DataFr
     big_n, big_l = int(stats.N), int(stats.L)
     m = f"(10 + (90 * n * {big_n}L) div {big_l}L)"
     postings = raw.where(F.col("term").isNotNull()).select(
-        "rid", "term", F.expr(f"(1000000000 * tf) div (1000 * tf + 8 * {m})").alias("c")
+        "rid", "doc_id", "term", F.expr(f"(1000000000 * tf) div (1000 * tf + 8 * {m})").alias("c")
     )
-    doc_ids = raw.where(F.col("term").isNull()).select("rid", "doc_id")
     leaf, upper = F.floor(F.col("rid") / BLOCK).cast("long"), F.floor(F.col("rid") / (BLOCK * FANOUT)).cast("long")
     # df and the largest c of each term, in one aggregate
     term_stats = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max("c").alias("top_c"))
@@ -166,32 +181,32 @@ def ranked(documents: DataFrame, benchmark: DataFrame, top: int = TOP) -> DataFr
         .join(node_tau, "inode").where(F.col("bound") >= F.col("tau"))
         .select("inode", "leaf")
     )
-    item_leaves = (
+    part = F.floor(F.col("inode") / PART).cast("long").alias("part")
+    item_leaves = saved(
         leaf_pairs.join(tau, "inode")
         .join(items.select("ikey", "term", "w"), "ikey")
         .join(leaf_max.select("leaf", "term", "maxc"), ["leaf", "term"])
-        .groupBy("ikey", "leaf", "tau").agg(F.sum(F.col("w") * F.col("maxc")).alias("bound"))
+        .groupBy("ikey", "inode", "leaf", "tau").agg(F.sum(F.col("w") * F.col("maxc")).alias("bound"))
         .where(F.col("bound") >= F.col("tau"))
-        .select("ikey", "leaf")
-    )
-    # within surviving leaves, only documents with an essential term can reach the threshold:
-    # the item's other terms (least bounds first) add up to less than it
-    reach = items.select("ikey", "term", "w", "top_c")
-    running = F.sum(F.col("w") * F.col("top_c")).over(
-        Window.partitionBy("ikey").orderBy(F.col("w") * F.col("top_c"), "term")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    essential = (
-        reach.withColumn("running", running).join(tau.select("ikey", "tau"), "ikey")
-        .where(F.col("running") >= F.col("tau")).select("ikey", "term")
+        .select("ikey", "leaf", "tau", part),
+        "search-pairs",
     )
-    candidates = (
-        item_leaves.join(essential, "ikey")
-        .join(postings.select(leaf.alias("leaf"), "term", "rid"), ["leaf", "term"])
-        .select("ikey", "rid").distinct()
+    # the surviving leaves' documents are scored block by block
+    wanted = item_leaves.join(items.select("ikey", "term", "w"), "ikey")
+    held = postings.select(
+        leaf.alias("leaf"), "rid", F.coalesce("doc_id", F.lit(0)).alias("doc_id"),
+        F.col("doc_id").isNull().alias("no_id"), "term", "c",
+    ).join(item_leaves.select("leaf", F.col("part").alias("block")).distinct(), "leaf")
+
+    def block(documents_of: pd.DataFrame, items_of: pd.DataFrame) -> pd.DataFrame:
+        return best_of_block(documents_of, items_of, top)
+
+    scored = (
+        held.groupBy(F.col("leaf").alias("at"), "block").cogroup(wanted.groupBy("leaf", "part"))
+        .applyInPandas(block, "ikey string, rid long, doc_id long, no_id boolean, score long")
+        .withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id")))
     )
-    scored = exact(candidates, postings, ["rid", "term"]).join(doc_ids, "rid")
-    best = _top(scored, ["ikey"], top, order)
+    best = _top(scored, ["ikey"], top, order).join(items.select("ikey", "item_id").distinct(), "ikey")
     return best.select(
         "item_id",
         F.row_number().over(Window.partitionBy("ikey").orderBy(*order)).alias("rank"),
@@ -200,6 +215,39 @@ def ranked(documents: DataFrame, benchmark: DataFrame, top: int = TOP) -> DataFr
     )
 
 
+def best_of_block(documents: pd.DataFrame, items: pd.DataFrame, top: int) -> pd.DataFrame:
+    """The ``top`` best documents of one leaf for each item, among those that reach its threshold.
+
+    ``documents`` are postings (rid, doc_id, no_id, term, c), ``items`` their terms (ikey, tau, term, w).
+    """
+    term_of, vocabulary = pd.factorize(documents["term"])
+    doc_of, rids = pd.factorize(documents["rid"])
+    item_of, ikeys = pd.factorize(items["ikey"])
+    ids = documents.drop_duplicates("rid")  # in the order of rids
+    taus = items.drop_duplicates("ikey")["tau"].to_numpy()
+    scores = np.zeros((len(ikeys), len(rids)), dtype=np.int64)
+    # rows of one term lie together on both sides
+    by_term, wanted = np.argsort(term_of, kind="stable"), pd.Index(vocabulary).get_indexer(items["term"])
+    known = np.flatnonzero(wanted >= 0)
+    known = known[np.argsort(wanted[known], kind="stable")]
+    starts = np.searchsorted(term_of[by_term], np.arange(len(vocabulary) + 1))
+    c, w = documents["c"].to_numpy(), items["w"].to_numpy()
+    for rows in np.split(known, np.flatnonzero(np.diff(wanted[known])) + 1) if len(known) else ():
+        term = wanted[rows[0]]
+        places = by_term[starts[term] : starts[term + 1]]
+        scores[np.ix_(item_of[rows], doc_of[places])] += w[rows, None] * c[places]
+    item, doc = np.nonzero(scores >= np.maximum(taus, 1)[:, None])
+    score = scores[item, doc]
+    doc_id, no_id, rid = (ids[x].to_numpy()[doc] for x in ("doc_id", "no_id", "rid"))
+    order = np.lexsort((rid, doc_id, no_id, -score, item))
+    nth = np.arange(len(order)) - np.searchsorted(item[order], item[order])
+    kept = order[nth < top]
+    return pd.DataFrame({
+        "ikey": np.asarray(ikeys, dtype=object)[item[kept]], "rid": rid[kept], "doc_id": doc_id[kept],
+        "no_id": no_id[kept], "score": score[kept],
+    })
+
+
 def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each benchmark item's 10 best documents of the whole table."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -177,7 +177,7 @@ def bigram_rejections(
     sides = ("w1", "w2")
     late = some(has_digit, texts)
     if mode == "substring":
-        unusual = some(lambda text: F.col(text).rlike("[0-9\n]"), texts)
+        unusual = F.concat(*texts).rlike("[0-9\n]")  # one search for both words
         late = unusual & (late | some(lambda w: _spans_entries(w, words), sides))
     covered = [] if needs_join(stop_words, mode) else [_is_covered(w, words, mode) for w in sides]
     return [some(is_short, sides), *covered, late]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pairlore.functions.measures import (
@@ -53,13 +53,20 @@ def _broadcasts(spark: SparkSession) -> bool:
 def contingency(pairs: DataFrame, decade_join: str = "auto") -> DataFrame:
     """``(decade, w1, w2, c12)`` plus the marginals ``c1``, ``c2`` and the total ``n``.
 
-    The marginals come from their own partial aggregation and are joined back, rather than
-    taken as window totals: a window would hold all partners of one word in one task, while
-    adaptive execution splits a join partition that one word dominates.  It does so only
+    Pairs are moved to their first words and then to their second words, and each count is a
+    total beside the rows it was added up from (``_counted_beside``).  A word's pairs of a
+    decade are one task's, but distinct: as many as the word has partners, however often they
+    occur, in a sort that spills.
+
+    Without broadcasts, and for ``decade_join="shuffle"``, the marginals come from their own
+    partial aggregation and are joined back: adaptive execution splits a join partition that
+    one word dominates, for half as much shuffle again.  It does so only
     when both join inputs end in an exchange.  An aggregate already sits on the join keys
     and gets none, so ``_movable`` gives it one; that moves one row per word and decade.
     The total rides on the first-word counts, so pairs are never joined on the decade alone.
     """
+    if decade_join == "auto" and _broadcasts(pairs.sparkSession):
+        return _counted_beside(pairs)
     c1 = first_word_counts(pairs)
     c2 = second_word_counts(pairs)
     # Every pair is counted once under its first word, so the totals need no pass of their
@@ -73,6 +80,20 @@ def _movable(marginals: DataFrame, word: str) -> DataFrame:
     return marginals.repartition(F.xxhash64("decade", word))
 
 
+def _counted_beside(pairs: DataFrame) -> DataFrame:
+    """``contingency`` by totals over the pairs of a word, which need one sort per word and
+    neither a second pass over the shuffled pairs nor a join."""
+    for key in PAIR_KEYS:  # as in a join, a pair without a key has no counts
+        pairs = pairs.where(F.col(key).isNotNull())
+    by_first = pairs.repartition("w1", "decade")
+    n = _counted(by_first, "n", "decade")
+    first, second = (Window.partitionBy(w, "decade") for w in ("w1", "w2"))
+    with_c1 = by_first.withColumn("c1", F.sum("c12").over(first)).repartition("w2", "decade")
+    table = with_c1.withColumn("c2", F.sum("c12").over(second))
+    # every decade has its total; said as an outer join, it is not worked out where nobody asks for n
+    return table.join(F.broadcast(n), "decade", "left").select(*PAIR_KEYS, "c12", "c1", "c2", "n")
+
+
 def contingency_in_place(pairs: DataFrame) -> DataFrame:
     """The rows of ``contingency`` with each pair shuffled once per word and nothing beside it.
 

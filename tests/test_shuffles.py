@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from conftest import GOLDEN, rows
 from pyspark.sql import functions as F
 
-from pairlore import collocations, contingency, ngrams_from_text, pair_counts, read_ngrams, write_sequence_file
+from pairlore import collocations, contingency, integrity_audit, ngrams_from_text, pair_counts, read_ngrams, write_sequence_file
 from pairlore.operators.scores import contingency_in_place
 
 
@@ -46,6 +46,22 @@ def test_in_place_counts_equal_the_split_ones(spark):
     assert sorted(rows(contingency_in_place(pairs)), key=key) == want and len(want) == 7
 
 
+def test_the_table_moves_pairs_once_per_word(ngrams):
+    """Two shuffles of the pairs beside their count; none of marginals, no sort-merge join."""
+    data = (*GOLDEN, ("ring plate", 3), ("ring deer", 1), ("rain 4x", 2), ("x\nb deer", 2), ("snow deer", 7, 1961))
+    table = contingency(pair_counts(ngrams(*data)))
+    moved = exchanges(table)
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert sum("REPARTITION_BY_COL" in e for e in moved) == 2 and len(moved) == 4, moved  # pairs, totals
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") <= 2, plan
+    assert sorted(rows(table)) == sorted(rows(contingency(pair_counts(ngrams(*data)), "shuffle")))
+
+
+def test_the_audit_does_not_work_out_totals(ngrams):
+    audited = integrity_audit(contingency(pair_counts(ngrams(*GOLDEN, ("snow rain", 0), ("hail storm", -1)))))
+    assert len(exchanges(audited)) == 3 and len(rows(audited)) == 5
+
+
 def test_sequence_files_are_compressed_blocks(spark, tmp_path):
     lines = spark.createDataFrame([("rain deer\t1994\t4\t1",), ("snow fall\t1995\t5\t1",)], "value string")
     path = tmp_path / "seq"

@@ -25,11 +25,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pairlore.llm.boosting import Trees, fit
+from pairlore.llm.boosting import Trees, fit, fit_table
 from pairlore.llm.common import table
+from pairlore.sources.scratch import Scratch, saved
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE = 2500  # examples of each kind and label, from all documents, that the trees are fitted on
+GRID = 2.0**16  # parts of 1 that the scores of held out examples are counted in
 SLICES = 32  # of a kind and label, so that no task orders all its examples
 PRECISION = 0.98  # of added spans, among the candidates held out
 CONTEXT = 24  # characters on either side
@@ -238,71 +239,103 @@ def _hash(*parts: str) -> int:
     return int.from_bytes(blake2b(data, digest_size=8).digest(), "big", signed=True)
 
 
-def _smallest(texts: Iterator[str], limit: int) -> Iterator[tuple[str, int, int, int, list[float]]]:
-    """(kind, label, key, fold, features) of the distinct examples with the ``limit`` smallest keys of each kind and label.
+def _keyed(texts: Iterator[str]) -> Iterator[tuple[str, int, str, int, int, int]]:
+    """(kind, label, text, start, end, key) of all examples.
 
-    The key is a hash of the span with its context, which is all that the features see; the fold
-    is one of the span alone, so that a datum is either learned from or held out.
+    The key is a hash of the span with its context, which is all that the features see.
     """
-    kept: dict[tuple[str, int], dict[int, tuple[int, list[float]]]] = defaultdict(dict)
-    most: dict[tuple[str, int], int] = {}
     for text in texts:
         for kind, label, source, start, end in _examples(text):
-            group, span = (kind, label), source[start:end]
-            own = kept[group]
-            key = _hash(kind, source[max(0, start - CONTEXT) : start], span, source[end : end + CONTEXT])
-            if key in own or key > most.get(group, key):
-                continue
-            own[key] = _hash(kind, span) % 3, candidate_features(source, kind, start, end)
-            if len(own) >= 2 * limit:
-                kept[group] = {k: own[k] for k in sorted(own)[:limit]}
-                most[group] = max(kept[group])
+            near = source[max(0, start - CONTEXT) : start], source[start:end], source[end : end + CONTEXT]
+            yield kind, label, source, start, end, _hash(kind, *near)
+
+
+def _described(kind: str, source: str, start: int, end: int) -> tuple[int, list[float]]:
+    """(fold, features); the fold is a hash of the span alone, so that a datum is either learned from or held out."""
+    return _hash(kind, source[start:end]) % 3, candidate_features(source, kind, start, end)
+
+
+def _smallest(texts: Iterator[str], limit: int) -> Iterator[tuple[str, int, int, int, list[float]]]:
+    """(kind, label, key, fold, features) of the distinct examples with the ``limit`` smallest keys of each kind and label."""
+    kept: dict[tuple[str, int], dict[int, tuple[int, list[float]]]] = defaultdict(dict)
+    most: dict[tuple[str, int], int] = {}
+    for kind, label, source, start, end, key in _keyed(texts):
+        group = (kind, label)
+        own = kept[group]
+        if key in own or key > most.get(group, key):
+            continue
+        own[key] = _described(kind, source, start, end)
+        if len(own) >= 2 * limit:
+            kept[group] = {k: own[k] for k in sorted(own)[:limit]}
+            most[group] = max(kept[group])
     for (kind, label), own in kept.items():
         for key in sorted(own)[:limit]:
             yield kind, label, key, *own[key]
 
 
-def examples(documents: DataFrame, limit: int = SAMPLE) -> DataFrame:
-    """(kind, label, key, fold, x): of all documents the ``limit`` distinct examples of each kind and label with the smallest keys.
+def examples(documents: DataFrame, limit: int | None = None) -> DataFrame:
+    """(kind, label, key, fold, x): the distinct examples of all documents.
 
-    Tasks, then slices of the keys, then kinds and labels keep their smallest: each step hands on a bounded number.
+    With a ``limit``, those of each kind and label with the smallest keys: tasks, then slices
+    of the keys, then kinds and labels keep their smallest, so each step hands on a bounded number.
     """
+    columns = ["kind", "label", "key", "fold", "x"]
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = list(_smallest((text for batch in batches for text in batch["text"]), limit))
-        yield pd.DataFrame(rows, columns=["kind", "label", "key", "fold", "x"])
+        if limit is not None:
+            rows = list(_smallest((text for batch in batches for text in batch["text"]), limit))
+            yield pd.DataFrame(rows, columns=columns)
+            return
+        for batch in batches:
+            met = {(kind, label, key): at for kind, label, *at, key in _keyed(batch["text"])}
+            rows = [(*k, *_described(k[0], *at)) for k, at in met.items()]
+            yield pd.DataFrame(rows, columns=columns)
 
     rows = (
         documents.select("text").where("text is not null")
         .mapInPandas(found, "kind string, label int, key bigint, fold int, x array<double>")
         .dropDuplicates(["kind", "label", "key"])
-        .withColumn("slice", F.pmod("key", F.lit(SLICES)))
     )
+    if limit is None:
+        return rows
+    rows = rows.withColumn("slice", F.pmod("key", F.lit(SLICES)))
     for group in (["kind", "label", "slice"], ["kind", "label"]):
         nth = F.row_number().over(Window.partitionBy(*group).orderBy("key"))
         rows = rows.withColumn("nth", nth).where(F.col("nth") <= limit)
     return rows.drop("slice", "nth")
 
 
-def train(documents: DataFrame, limit: int = SAMPLE) -> PiiModel:
-    """Trees and thresholds from at most ``limit`` examples of each kind and label, chosen by hash from all documents."""
-    rows = sorted(examples(documents, limit).collect(), key=lambda r: (r.key, r.kind, r.label))  # at most 8 x limit
-    if not rows:
-        return NO_MODEL
-    x, y = np.array([r.x for r in rows]), np.array([r.label for r in rows])
-    kinds = np.array([r.kind for r in rows])
-    held_out = np.array([r.fold for r in rows]) == 0
-    trees = fit(x[~held_out], y[~held_out])
-    if not held_out.any():
-        return PiiModel(trees, NO_MODEL.thresholds)
-    p = trees.probability(x[held_out])
-    return PiiModel(trees, {k: _threshold(p[kinds[held_out] == k], y[held_out][kinds[held_out] == k]) for k in KINDS})
+def train(documents: DataFrame, limit: int | None = None) -> PiiModel:
+    """Trees and thresholds from all distinct examples of all documents, or at most ``limit`` of each kind and label."""
+    with Scratch(documents.sparkSession):  # examples, plain and binned
+        rows = saved(examples(documents, limit), "examples")
+        if rows.isEmpty():
+            return NO_MODEL
+        trees = fit_table(rows.where("fold <> 0"))
+
+        @F.pandas_udf("double")
+        def score(x: pd.Series) -> pd.Series:
+            p = trees.probability(np.array(x.tolist(), dtype=float))
+            return pd.Series(np.floor(p * GRID) / GRID)
 
+        held_out = (
+            rows.where("fold = 0").select("kind", "label", score("x").alias("score"))
+            .groupBy("kind", "score").agg(F.sum("label").alias("right"), F.count("*").alias("seen"))
+            .orderBy("kind", F.desc("score")).toPandas()  # at most GRID rows a kind
+        )
+        of_kind = (held_out[held_out["kind"] == k] for k in KINDS)
+        return PiiModel(trees, {
+            k: _threshold(*(own[c].to_numpy() for c in ("score", "right", "seen"))) for k, own in zip(KINDS, of_kind, strict=True)
+        })
 
-def _threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """The lowest score from which the precision holds, equal scores together; 2 (never) without enough evidence."""
+
+def _threshold(p: np.ndarray, y: np.ndarray, n: np.ndarray | None = None) -> float:
+    """The lowest score from which the precision holds, equal scores together; 2 (never) without enough evidence.
+
+    Of ``n`` examples of a score (1 by default), ``y`` are right.
+    """
     order = np.argsort(-p, kind="stable")
-    right, seen = np.cumsum(y[order]), np.arange(1, len(y) + 1)
+    right, seen = np.cumsum(y[order]), np.cumsum(np.ones(len(y)) if n is None else n[order])
     last = np.append(np.diff(p[order]) != 0, True)[: len(y)]
     holds = np.flatnonzero(((right + 1) / (seen + 2) >= PRECISION) & last)
     return float(p[order][holds[-1]]) if len(holds) else 2.0

@@ -364,3 +364,26 @@ def test_threshold_counts_equal_scores_together():
     p, y = np.array([0.9] * 132 + [0.1] * 154), np.array([1] * 132 + [0] * 154)
     assert pii._threshold(p, y) == 0.9
     assert pii._threshold(p[:0], y[:0]) == 2.0 == pii._threshold(p[:40], y[:40])
+
+
+def test_all_examples_are_learned(docs, monkeypatch):
+    """Trees and thresholds come from every distinct example, however many there are."""
+    rng = random.Random(15)
+    texts = [f"{prose(rng, 5)} x{i}@a.example.org now" for i in range(6000)]
+    learned = sum(pii._hash("email", f"x{i}@a.example.org") % 3 > 0 for i in range(6000))
+    seen = []
+    monkeypatch.setattr(pii, "fit_table", lambda rows: seen.append(rows.count()) or pii.NO_MODEL.trees)
+    pii.train(docs(*enumerate(texts + texts[:500])))
+    assert seen == [learned] and learned > 3900
+
+
+def test_trees_of_a_table_equal_those_of_arrays(spark):
+    rng = np.random.default_rng(16)
+    x = np.stack([rng.integers(0, 9, 900), rng.integers(0, 400, 900), rng.integers(0, 2, 900), np.full(900, 3)], 1).astype(float)
+    y = ((x[:, 0] > 4) ^ (x[:, 1] > 250)).astype(int) ^ (rng.random(900) < 0.05)
+    rows = spark.createDataFrame([(r.tolist(), int(label)) for r, label in zip(x, y, strict=True)], "x array<double>, label int")
+    want, got = boosting.fit(x, y, trees=4), boosting.fit_table(rows.repartition(3), trees=4)
+    assert (got.feature == want.feature).all() and (got.cut == want.cut).all() and got.base == want.base
+    assert np.abs(got.leaf - want.leaf).max() < 1e-6
+    one = boosting.fit_table(rows.where("label = 1"))
+    assert len(one.leaf) == 0 and one.probability(x).min() > 0.9

@@ -3,8 +3,10 @@
 import math
 import re
 
+import pandas as pd
 import pytest
 from llm_helpers import ODD, docs, tables  # noqa: F401
+from pyspark.sql import functions as F
 
 from pairlore.llm import search
 
@@ -80,3 +82,20 @@ def test_query_matches_sql(spark, docs, tables):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet/*.parquet'")
     want = sorted(con.execute(search.ORACLE_SQL).fetchall(), key=repr)
     assert got(search.op13_search(spark, folder)) == want == brute([(r[0], r[1]) for r in ROWS], ITEMS)
+
+
+def test_terms_are_counted_inside_the_row(spark):
+    rows = spark.createDataFrame([(["b", "a", "b", "é"],), ([],)], "terms array<string>").select(search._counted(F.col("terms")).alias("c"))
+    assert [tuple(c) for c in rows.first().c] == [("a", 1), ("b", 2), ("é", 1)]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_a_block_hands_on_the_best_of_each_item():
+    held = [(r, 100 - r, r == 3, t, c) for r, t, c in ((1, "a", 5), (2, "a", 5), (3, "a", 5), (4, "b", 9), (5, "a", 1))]
+    items = [("x", 1, "a", 2), ("y", 20, "a", 2), ("y", 20, "b", 3), ("z", 1, "c", 7)]
+    found = search.best_of_block(
+        pd.DataFrame(held, columns=["rid", "doc_id", "no_id", "term", "c"]),
+        pd.DataFrame(items, columns=["ikey", "tau", "term", "w"]), 3,
+    )
+    assert found[["ikey", "rid", "score"]].values.tolist() == [["x", 2, 10], ["x", 1, 10], ["x", 3, 10], ["y", 4, 27]]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairlore.sources.scratch import saved
+from pairlore.sources.scratch import Scratch, saved
 
 
 def _pointed(pairs: DataFrame, by: str) -> DataFrame:
@@ -20,8 +20,8 @@ def _pointed(pairs: DataFrame, by: str) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b); the root is the least node reached.
 
-    Every round writes its edges, so lineage stays short; rounds are logarithmic in the
-    longest path, and the edges never outgrow the links.
+    Every round writes its edges, so lineage stays short, and deletes its other tables; rounds
+    are logarithmic in the longest path, and the edges never outgrow the links.
     """
     edges = links.where(F.col("a") != F.col("b")).select(
         F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")
@@ -31,19 +31,20 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.select(F.col("high").alias("from"), F.col("low").alias("to")).unionByName(
             edges.select(F.col("low").alias("from"), F.col("high").alias("to"))
         )
-        large = (
-            _pointed(both, "from")
-            .where(F.col("to") > F.col("from"))
-            .select(F.col("to").alias("high"), F.least("least", "from").alias("low"))
-            .where("high != low")
-        )
-        small = _pointed(saved(large.distinct(), "large"), "high")
-        edges = saved(
-            small.select("high", F.col("least").alias("low"))
-            .unionByName(small.where("low != least").select(F.col("low").alias("high"), F.col("least").alias("low")))
-            .distinct(),
-            "edges",
-        )
+        with Scratch(links.sparkSession) as scope:
+            large = (
+                _pointed(both, "from")
+                .where(F.col("to") > F.col("from"))
+                .select(F.col("to").alias("high"), F.least("least", "from").alias("low"))
+                .where("high != low")
+            )
+            small = _pointed(saved(large.distinct(), "large"), "high")
+            edges = scope.result(
+                small.select("high", F.col("least").alias("low"))
+                .unionByName(small.where("low != least").select(F.col("low").alias("high"), F.col("least").alias("low")))
+                .distinct(),
+                "edges",
+            )
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("high", "low").cast("decimal(38,0)"))).first()
         if state == before:
             break

@@ -15,10 +15,13 @@ Nulls: a null or empty text, or one without words, has no shingles and no links;
 is its own id. A null id is an id like another, but never a component's smallest. An empty
 table gives an empty result. Repeated rows give repeated rows. Other columns are ignored
 (``near_groups``) or kept (``one_of_each``).
+
+Each step deletes its scratch tables when its own result is written.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +34,7 @@ from pyspark.sql import functions as F
 
 from pairlore.llm.common import table
 from pairlore.llm.components import components
-from pairlore.sources.scratch import saved
+from pairlore.sources.scratch import Scratch, saved
 
 WORDS = 4
 PERCENT = 85
@@ -83,6 +86,11 @@ def _digest(text: Column) -> Column:
     return F.xxhash64(text)
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counters of the sketch as they are written: most are small, many of a small part are 0."""
+    return zlib.compress(counts.tobytes(), 1)
+
+
 def _profiles(documents: DataFrame, words: int) -> DataFrame:
     """A row per document, and each task's part of the rarity sketch, in one pass."""
 
@@ -101,7 +109,7 @@ def _profiles(documents: DataFrame, words: int) -> DataFrame:
             yield pd.DataFrame(rows, columns=COLUMNS, dtype=object)
         part = TaskContext.get().partitionId()
         partial = [
-            (None, None, None, None, None, None, part, c, counts[c * CHUNK : (c + 1) * CHUNK].tobytes())
+            (None, None, None, None, None, None, part, c, _packed(counts[c * CHUNK : (c + 1) * CHUNK]))
             for c in range(COUNTERS // CHUNK)
         ]
         yield pd.DataFrame(partial, columns=COLUMNS, dtype=object)
@@ -118,23 +126,26 @@ def _rarity(profiles: DataFrame) -> np.ndarray:
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(CHUNK, dtype=np.int64)
-        for counts in group["counts"]:
+        for packed in group["counts"]:
+            counts = zlib.decompress(packed)
             total += np.frombuffer(counts, dtype=np.int32 if len(counts) == 4 * CHUNK else np.int64)
-        return pd.DataFrame([(group["part"].iloc[0], group["chunk"].iloc[0], total.tobytes())], columns=["part", "chunk", "counts"])
+        return pd.DataFrame([(group["part"].iloc[0], group["chunk"].iloc[0], _packed(total))], columns=["part", "chunk", "counts"])
 
     top = level.agg(F.max("part")).first()[0] or 0
-    while True:
-        level = saved(
-            level.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int"))
-            .groupBy("part", "chunk").applyInPandas(add, "part int, chunk int, counts binary"),
-            "rarity",
-        )
-        top //= FAN_IN
-        if not top:
-            break
     out = np.zeros(COUNTERS, dtype=np.int64)
-    for row in level.collect():  # COUNTERS numbers
-        out[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(row["counts"], dtype=np.int64)
+    with Scratch(profiles.sparkSession):
+        while True:
+            level = saved(
+                level.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int"))
+                .groupBy("part", "chunk").applyInPandas(add, "part int, chunk int, counts binary"),
+                "rarity",
+            )
+            top //= FAN_IN
+            if not top:
+                break
+        for row in level.collect():  # COUNTERS numbers
+            counts = np.frombuffer(zlib.decompress(row["counts"]), dtype=np.int64)
+            out[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = counts
     return out
 
 
@@ -164,13 +175,14 @@ def _prefixes(documents: DataFrame, rarity, words: int, percent: int) -> DataFra
 
 def _shared_prefixes(documents: DataFrame, rarity, words: int, percent: int) -> DataFrame:
     """Prefix rows whose shingle stands in the prefixes of two sets or more, each once."""
-    rows = saved(_prefixes(documents, rarity, words, percent), "all-prefixes")
-    shared = saved(
-        rows.groupBy("shingle").agg(F.min("key").alias("least"), F.max("key").alias("most"))
-        .where("least != most").select("shingle"),
-        "shared",
-    )
-    return saved(rows.join(shared, "shingle", "left_semi").distinct(), "prefixes")
+    with Scratch(documents.sparkSession) as scope:
+        rows = saved(_prefixes(documents, rarity, words, percent), "all-prefixes")
+        shared = saved(
+            rows.groupBy("shingle").agg(F.min("key").alias("least"), F.max("key").alias("most"))
+            .where("least != most").select("shingle"),
+            "shared",
+        )
+        return scope.result(rows.join(shared, "shingle", "left_semi").distinct(), "prefixes")
 
 
 def _bits(keys: DataFrame) -> np.ndarray:
@@ -242,14 +254,16 @@ def _kept(pairs: DataFrame, sets: DataFrame, column: str, shared, percent: int)
     left = sets.select(F.col("sig").alias("a"), F.col(column).alias("x"))
     right = sets.select(F.col("sig").alias("b"), F.col(column).alias("y"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", "x", "y")
-    return saved(both.mapInPandas(each, "a binary, b binary, n long, m long"), "pairs")
+    return both.mapInPandas(each, "a binary, b binary, n long, m long")
 
 
 def _similar(pairs: DataFrame, documents: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs of ``pairs`` (a, b, n, m) that are similar: suffix filter, then whole sets."""
-    close = _kept(pairs, classes, "ranges", _shared_at_most, percent)
-    wanted = close.select(F.col("a").alias("sig")).unionByName(close.select(F.col("b").alias("sig")))
-    return _kept(close, _sets(documents, classes, wanted, words), "grams", _shared, percent).select("a", "b")
+    with Scratch(documents.sparkSession) as scope:
+        close = saved(_kept(pairs, classes, "ranges", _shared_at_most, percent), "pairs")
+        wanted = close.select(F.col("a").alias("sig")).unionByName(close.select(F.col("b").alias("sig")))
+        similar = _kept(close, _sets(documents, classes, wanted, words), "grams", _shared, percent)
+        return scope.result(similar.select("a", "b"), "pairs")
 
 
 def _ordered() -> list[Column]:
@@ -264,67 +278,71 @@ def _ordered() -> list[Column]:
 
 def _links(prefixes: DataFrame, documents: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) between signatures that connect every group of similar sets."""
-    rows = saved(prefixes.join(classes.select("key", "sig"), "key").select("shingle", "sig", "n", "pos"), "rows")
-    first = F.min_by(F.struct("sig", "n", "pos"), F.struct("pos", "sig")).alias("first")
-    leaders = saved(
-        rows.groupBy("shingle").agg(first, F.count("*").alias("size")).select("shingle", "size", "first.*"), "leaders"
-    )
-    same = F.col("l.shingle") == F.col("r.shingle")
-    pairs = leaders.alias("l").join(rows.alias("r"), same & _may_be_similar(percent) & (F.col("l.sig") != F.col("r.sig")))
-    found = _similar(pairs.select(*_ordered()).distinct(), documents, classes, words, percent)
-    roots = saved(components(found), "roots")
-
-    # A bucket of two had its only pair compared; the others may hold pairs still apart.
-    larger = saved(leaders.where("size > 2").select("shingle"), "larger")
-    rows = saved(rows.join(larger, "shingle", "left_semi"), "rows")
-    placed = rows.join(roots, rows["sig"] == roots["node"], "left").select(
-        "shingle", "sig", "n", "pos", F.coalesce("root", "sig").alias("root")
-    )
-    placed = saved(placed, "placed")
-    # The largest component of every bucket that still has several.
-    sizes = placed.groupBy("shingle", "root").agg(F.count("*").alias("size"))
-    main = saved(
-        sizes.groupBy("shingle")
-        .agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("roots"))
-        .where("roots > 1").select("shingle", "main"),
-        "main",
-    )
-    apart = saved(placed.join(main, "shingle"), "apart")
-    once = (F.col("r.root") == F.col("r.main")) | (F.col("l.sig") < F.col("r.sig"))
-    pairs = apart.where("root != main").alias("l").join(
-        apart.alias("r"), same & (F.col("l.root") != F.col("r.root")) & once & _may_be_similar(percent)
-    )
-    return found.unionByName(_similar(pairs.select(*_ordered()).distinct(), documents, classes, words, percent))
+    with Scratch(documents.sparkSession) as scope:
+        rows = saved(prefixes.join(classes.select("key", "sig"), "key").select("shingle", "sig", "n", "pos"), "rows")
+        first = F.min_by(F.struct("sig", "n", "pos"), F.struct("pos", "sig")).alias("first")
+        leaders = saved(
+            rows.groupBy("shingle").agg(first, F.count("*").alias("size")).select("shingle", "size", "first.*"), "leaders"
+        )
+        same = F.col("l.shingle") == F.col("r.shingle")
+        pairs = leaders.alias("l").join(rows.alias("r"), same & _may_be_similar(percent) & (F.col("l.sig") != F.col("r.sig")))
+        found = _similar(pairs.select(*_ordered()).distinct(), documents, classes, words, percent)
+        roots = saved(components(found), "roots")
+
+        # A bucket of two had its only pair compared; the others may hold pairs still apart.
+        larger = saved(leaders.where("size > 2").select("shingle"), "larger")
+        rows = saved(rows.join(larger, "shingle", "left_semi"), "rows")
+        placed = rows.join(roots, rows["sig"] == roots["node"], "left").select(
+            "shingle", "sig", "n", "pos", F.coalesce("root", "sig").alias("root")
+        )
+        placed = saved(placed, "placed")
+        # The largest component of every bucket that still has several.
+        sizes = placed.groupBy("shingle", "root").agg(F.count("*").alias("size"))
+        main = saved(
+            sizes.groupBy("shingle")
+            .agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("roots"))
+            .where("roots > 1").select("shingle", "main"),
+            "main",
+        )
+        apart = saved(placed.join(main, "shingle"), "apart")
+        once = (F.col("r.root") == F.col("r.main")) | (F.col("l.sig") < F.col("r.sig"))
+        pairs = apart.where("root != main").alias("l").join(
+            apart.alias("r"), same & (F.col("l.root") != F.col("r.root")) & once & _may_be_similar(percent)
+        )
+        also = _similar(pairs.select(*_ordered()).distinct(), documents, classes, words, percent)
+        return scope.result(found.unionByName(also), "links")
 
 
 def near_groups(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, digest (hash of the text), n_shingles and component_id of every document."""
     spark = documents.sparkSession
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _digest(F.col("text")).alias("digest"))
-    everything = _profiles(documents, words)
-    profiles = everything.where("chunk is null")
-    classes = saved(
-        profiles.where("n > 0").groupBy("sig", "key").agg(
-            F.min(F.struct("doc_id", "digest")).alias("at"), F.min("ranges").alias("ranges"),
-            F.min("doc_id").alias("first_id"),
-        ),
-        "classes",
-    )
-    rarity = spark.sparkContext.broadcast(_rarity(everything))
-    prefixes = _shared_prefixes(documents, rarity, words, percent)
-    roots = components(_links(prefixes, documents, classes, words, percent))
-
-    rooted = saved(
-        classes.join(roots, classes["sig"] == roots["node"], "left").select("sig", "first_id", F.coalesce("root", "sig").alias("root")),
-        "rooted",
-    )
-    groups = saved(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "groups")
-    by_class = saved(rooted.join(groups, "root").select("sig", "component_id"), "by-class")
-    # Copies of one text share their class: both sides are tables, so a hot one can be split.
-    return profiles.join(by_class, "sig", "left").select(
-        "doc_id", "digest", F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-    )
+    with Scratch(spark) as scope:
+        everything = _profiles(documents, words)
+        profiles = everything.where("chunk is null")
+        classes = saved(
+            profiles.where("n > 0").groupBy("sig", "key").agg(
+                F.min(F.struct("doc_id", "digest")).alias("at"), F.min("ranges").alias("ranges"),
+                F.min("doc_id").alias("first_id"),
+            ),
+            "classes",
+        )
+        rarity = spark.sparkContext.broadcast(_rarity(everything))
+        prefixes = _shared_prefixes(documents, rarity, words, percent)
+        roots = components(_links(prefixes, documents, classes, words, percent))
+
+        rooted = saved(
+            classes.join(roots, classes["sig"] == roots["node"], "left").select("sig", "first_id", F.coalesce("root", "sig").alias("root")),
+            "rooted",
+        )
+        groups = saved(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "groups")
+        by_class = saved(rooted.join(groups, "root").select("sig", "component_id"), "by-class")
+        # Copies of one text share their class: both sides are tables, so a hot one can be split.
+        found = profiles.join(by_class, "sig", "left").select(
+            "doc_id", "digest", F.col("n").cast("long").alias("n_shingles"),
+            F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        )
+        return scope.result(found, "near")
 
 
 def one_of_each(documents: DataFrame, words: int, percent: int) -> DataFrame:
@@ -332,23 +350,24 @@ def one_of_each(documents: DataFrame, words: int, percent: int) -> DataFrame:
 
     Documents without words are in no group and stay.
     """
-    found = saved(near_groups(documents, words, percent), "near")
-    wordless = found.where("n_shingles = 0").select("doc_id", "digest").distinct().withColumn("alone", F.lit(True))
-    first = (
-        found.where("n_shingles > 0").groupBy("component_id")
-        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "digest")).alias("at"))
-        .select("at.doc_id", "at.digest").withColumn("alone", F.lit(False))
-    )
-    copies = found.groupBy("doc_id", "digest").agg(F.count("*").alias("copies"))
-    chosen = first.unionByName(wordless)
-    same = F.col("c.doc_id").eqNullSafe(F.col("k.doc_id")) & F.col("c.digest").eqNullSafe(F.col("k.digest"))
-    chosen = saved(
-        chosen.alias("c").join(copies.alias("k"), same).select(
-            F.col("c.doc_id").alias("_id"), F.col("c.digest").alias("_digest"),
-            (~F.col("c.alone") & (F.col("copies") > 1)).alias("_repeated"),
-        ),
-        "chosen",
-    )
+    with Scratch(documents.sparkSession) as scope:
+        found = near_groups(documents, words, percent)
+        wordless = found.where("n_shingles = 0").select("doc_id", "digest").distinct().withColumn("alone", F.lit(True))
+        first = (
+            found.where("n_shingles > 0").groupBy("component_id")
+            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "digest")).alias("at"))
+            .select("at.doc_id", "at.digest").withColumn("alone", F.lit(False))
+        )
+        copies = found.groupBy("doc_id", "digest").agg(F.count("*").alias("copies"))
+        chosen = first.unionByName(wordless)
+        same = F.col("c.doc_id").eqNullSafe(F.col("k.doc_id")) & F.col("c.digest").eqNullSafe(F.col("k.digest"))
+        chosen = scope.result(
+            chosen.alias("c").join(copies.alias("k"), same).select(
+                F.col("c.doc_id").alias("_id"), F.col("c.digest").alias("_digest"),
+                (~F.col("c.alone") & (F.col("copies") > 1)).alias("_repeated"),
+            ),
+            "chosen",
+        )
     here = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & _digest(F.col("text")).eqNullSafe(F.col("_digest"))
     kept = documents.join(chosen.hint("shuffle_hash"), here)
     repeated = kept.where("_repeated").dropDuplicates(["_id", "_digest"])

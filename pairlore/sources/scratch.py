@@ -42,7 +42,8 @@ class Scratch:
     written by ``scope.result`` stay. When the block ends, normally or by an error, all other
     folders of the scope are deleted, so peak disk is the sum of the scope's tables and after
     the job only its result remains. DataFrames that read a deleted table must not be used
-    after the block: take the result from ``scope.result``.
+    after the block: take the result from ``scope.result``. Inside another scope the result
+    belongs to that one, so a job of several steps holds the tables of one step at a time.
     """
 
     def __init__(self, spark: SparkSession):
@@ -58,6 +59,9 @@ class Scratch:
     def result(self, df: DataFrame, name: str = "result") -> DataFrame:
         """``df`` written to a folder that outlives the scope, and read from there."""
         folder = shared_folder(self.spark, name)
+        outer = _OPEN[: _OPEN.index(self)] if self in _OPEN else []
+        if outer:
+            outer[-1].folders.append(folder)
         df.write.parquet(folder)
         return self.spark.read.schema(df.schema).parquet(folder)
 

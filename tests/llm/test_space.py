@@ -1,0 +1,50 @@
+"""Scratch tables that steps leave, and the size of the sketch."""
+
+import os
+
+import pytest
+from llm_helpers import docs, tables  # noqa: F401
+
+from pairlore.llm import jaccard
+from pairlore.sources.scratch import Scratch, saved, shared_folder
+
+
+@pytest.fixture
+def left(spark):
+    """Names of the scratch tables written since the test began that still exist."""
+    base = shared_folder(spark).rsplit("/", 1)[0].removeprefix("file:")
+    listed = lambda: set(os.listdir(base)) if os.path.isdir(base) else set()
+    before = listed()
+    return lambda: sorted(x.removeprefix("pairlore-").rsplit("-", 1)[0] for x in listed() - before)
+
+
+def test_near_duplicates_leave_what_their_result_reads(docs, left):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:59], "x"])), (3, " ".join(words)), (4, "other words only here")]
+    groups = jaccard.near_groups(docs(*rows))
+    assert left() == ["near"]
+    assert sorted((r.doc_id, r.component_id) for r in groups.collect()) == [(1, 1), (2, 1), (3, 1), (4, 4)]
+    kept = jaccard.one_of_each(docs(*rows), 5, 80)
+    assert left() == ["chosen", "near"]
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 4]
+
+
+def test_a_result_belongs_to_the_scope_around(spark, left):
+    with Scratch(spark) as outer:
+        with Scratch(spark) as inner:
+            saved(spark.range(3), "step")
+            kept = inner.result(spark.range(5), "kept")
+        assert left() == ["kept"]
+        assert outer.result(kept, "all").count() == 5
+    assert left() == ["all"]
+
+
+def test_the_sketch_of_few_texts_is_small(docs):
+    with Scratch(docs((1, "a")).sparkSession):
+        frame = docs(*((i, " ".join(f"v{i}x{k}" for k in range(50))) for i in range(20)))
+        frame = frame.select("doc_id", "text", jaccard._digest(frame["text"]).alias("digest"))
+        profiles = jaccard._profiles(frame, 4)
+        parts = profiles.where("chunk is not null").select("part", "counts").collect()
+        # 8 MB a task before, whatever it read
+        assert sum(len(r.counts) for r in parts) < 200_000 * len({r.part for r in parts})
+        assert jaccard._rarity(profiles).sum() == 20 * 47

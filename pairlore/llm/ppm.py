@@ -8,8 +8,9 @@ length of a byte depends on its context alone, so it is worked out once for ever
 string of ORDER + 1 bytes in the corpus, in joins, and summed per document.
 
 Texts are lower-cased (A-Z) and their words joined by blanks, with an end mark before and
-after. Texts meet the parts of the tables that they need block by block; nothing of the size
-of the vocabulary or the trie passes through the driver or is broadcast.
+after. Texts meet the parts of the tables that they need block by block, and a block is worked on
+in parts, which bound a task's memory; nothing of the size of the vocabulary or the trie
+passes through the driver or is broadcast.
 
 Nulls: a null text counts as empty and has the end as its only token; a null id counts as an
 empty text in the fold. Without training texts all bytes are equally likely. An empty table
@@ -22,6 +23,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,8 +34,9 @@ from pairlore.sources.scratch import saved
 
 ORDER = 4
 FOLDS, HELD_OUT = 10, 0
-BLOCK_BYTES = 24 << 20  # of text that one task scores at once
+BLOCK_BYTES = 8 << 20  # of text that one task scores at once
 CHUNK = 4 << 20  # bytes whose strings are counted together
+PART = 1 << 20  # of a block that are in memory as words and strings
 END = b"\n"  # no word: stands for the end among the words
 WORD, GRAM = 0, 1
 COUNTS = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64())])
@@ -63,20 +66,25 @@ def word_keys(words) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words)).view(np.int64)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[list[tuple]]:
-    """Rows of the batches, about CHUNK characters of text together; text comes first."""
+def _chunks(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...], most: int) -> Iterator[list[tuple]]:
+    """Rows of the batches, about ``most`` characters of text together; text comes first."""
     rows, size = [], 0
     for batch in batches:
         for row in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
             rows.append(row)
             size += len(row[0] or "")
-            if size >= CHUNK:
+            if size >= most:
                 yield rows
                 rows, size = [], 0
     if rows:
         yield rows
 
 
+def _slices(group: pa.Table) -> Iterator[pa.RecordBatch]:
+    """A group in batches of few rows: only one of them becomes Python objects at a time."""
+    return iter(group.to_batches(max_chunksize=256))
+
+
 def _table(schema: pa.Schema, *columns) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
 
@@ -88,7 +96,7 @@ def counts(documents: DataFrame, order: int = ORDER) -> DataFrame:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _chunks(batches, ("text", "held_out")):
+        for rows in _chunks(batches, ("text", "held_out"), CHUNK):
             words: Counter[bytes] = Counter()
             found: dict[bool, list[np.ndarray]] = {True: [], False: []}
             for text, held_out in rows:
@@ -194,7 +202,7 @@ def score(documents: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYT
 
     def needed(group: pa.Table) -> pa.Table:
         own, strings, block = set(), [], group.column("block")[0].as_py()
-        for part in _chunks(group.to_batches(), ("text",)):
+        for part in _chunks(_slices(group), ("text",), PART):
             found = [tokens(text) for (text,) in part]
             own.update(w for ws in found for w in ws)
             strings.append(np.unique(np.concatenate([grams(ws, order) for ws in found])))
@@ -208,10 +216,9 @@ def score(documents: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYT
         value = found.column("value").to_numpy()
         lookup = {}
         for k in (WORD, GRAM):
-            order_of = np.argsort(key[kind == k])
-            lookup[k] = key[kind == k][order_of], value[kind == k][order_of]
+            lookup[k] = pd.Index(key[kind == k]), value[kind == k]
         out = []
-        for part in _chunks(group.to_batches(), ("text", "doc_id", "held_out")):
+        for part in _chunks(_slices(group), ("text", "doc_id", "held_out"), PART):
             for text, doc_id, held_out in part:
                 own = tokens(text)
                 count = _looked_up(lookup[WORD], word_keys([*own, END]))
@@ -232,13 +239,13 @@ def score(documents: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYT
     )
 
 
-def _looked_up(pairs: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
+def _looked_up(pairs: tuple[pd.Index, np.ndarray], keys: np.ndarray) -> np.ndarray:
     """Values of the keys, 0 where there is none."""
     known, values = pairs
     if not len(known):
         return np.zeros(len(keys))
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    return np.where(known[at] == keys, values[at], 0.0)
+    at = known.get_indexer(keys)  # hashed: a binary search in a block's table takes far longer
+    return np.where(at >= 0, values[at], 0.0)
 
 
 def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,12 @@
-"""Scratch tables that steps leave, and the size of the sketch."""
+"""Scratch tables that steps leave, the size of the sketch, and what a scoring task holds."""
 
 import os
 
+import pyarrow as pa
 import pytest
 from llm_helpers import docs, tables  # noqa: F401
 
-from pairlore.llm import jaccard
+from pairlore.llm import jaccard, ppm
 from pairlore.sources.scratch import Scratch, saved, shared_folder
 
 
@@ -48,3 +49,12 @@ def test_the_sketch_of_few_texts_is_small(docs):
         # 8 MB a task before, whatever it read
         assert sum(len(r.counts) for r in parts) < 200_000 * len({r.part for r in parts})
         assert jaccard._rarity(profiles).sum() == 20 * 47
+
+
+def test_a_block_is_worked_on_in_parts():
+    group = pa.table({"text": [f"{i:04d}" * 256 for i in range(3000)]})
+    assert max(b.num_rows for b in ppm._slices(group)) <= 256
+    parts = list(ppm._chunks(ppm._slices(group), ("text",), ppm.PART))
+    assert [t for p in parts for (t,) in p] == group.column("text").to_pylist()
+    assert max(sum(len(t) for (t,) in p) for p in parts) <= ppm.PART + 1024
+    assert ppm.PART < ppm.BLOCK_BYTES <= 8 << 20

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairlore.llm.common import ascii_lower, let, table
-from pairlore.sources.scratch import saved
+from pairlore.sources.scratch import Scratch, saved
 
 WINDOW = 13
 GRAM = 5
@@ -173,21 +173,23 @@ def contamination(
 ) -> DataFrame:
     """For each of ``documents`` (doc_id, text): words, hit words and items with windows in it."""
     documents = documents.select("doc_id", "text")
-    hits = document_hits(documents, benchmark, window, gram)
-    places = hits.select("doc_id", "digest", "at").distinct().groupBy("doc_id", "digest").agg(F.count("*").alias("n_hit"))
-    listed = (
-        hits.select("doc_id", "digest", F.col("item_id").cast("string").alias("item"))
-        .distinct()
-        .groupBy("doc_id", "digest")
-        .agg(F.array_sort(F.collect_list("item")).alias("items"))  # one document's items
-    )
-    hit = places.alias("p").join(
-        listed.alias("i"),
-        F.col("p.doc_id").eqNullSafe(F.col("i.doc_id")) & F.col("p.digest").eqNullSafe(F.col("i.digest")),
-    ).select(F.col("p.doc_id").alias("hit_id"), F.col("p.digest").alias("hit_digest"), "n_hit", "items")
+    with Scratch(documents.sparkSession) as scope:
+        hits = document_hits(documents, benchmark, window, gram)
+        places = hits.select("doc_id", "digest", "at").distinct().groupBy("doc_id", "digest").agg(F.count("*").alias("n_hit"))
+        listed = (
+            hits.select("doc_id", "digest", F.col("item_id").cast("string").alias("item"))
+            .distinct()
+            .groupBy("doc_id", "digest")
+            .agg(F.array_sort(F.collect_list("item")).alias("items"))  # one document's items
+        )
+        hit = places.alias("p").join(
+            listed.alias("i"),
+            F.col("p.doc_id").eqNullSafe(F.col("i.doc_id")) & F.col("p.digest").eqNullSafe(F.col("i.digest")),
+        ).select(F.col("p.doc_id").alias("hit_id"), F.col("p.digest").alias("hit_digest"), "n_hit", "items")
+        hit = scope.result(hit, "hits")
     counted = documents.select("doc_id", F.xxhash64("text").alias("digest"), n_words_of(F.col("text")).alias("n_words"))
     joined = counted.join(
-        saved(hit, "hits"),
+        hit,
         F.col("doc_id").eqNullSafe(F.col("hit_id")) & F.col("digest").eqNullSafe(F.col("hit_digest")),
         "left",
     )

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from llm_helpers import docs, tables  # noqa: F401
 
-from pairlore.llm import jaccard, ppm
+from pairlore.llm import jaccard, ppm, winnowing
 from pairlore.sources.scratch import Scratch, saved, shared_folder
 
 
@@ -30,6 +30,14 @@ def test_near_duplicates_leave_what_their_result_reads(docs, left):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 4]
 
 
+def test_decontamination_leaves_what_its_result_reads(spark, docs, left):
+    words = " ".join(f"word{chr(97 + i)}" for i in range(20))
+    items = spark.createDataFrame([("a", words)], "item_id string, text string")
+    found = winnowing.contamination(docs((1, f"before {words} after"), (2, "clean text")), items)
+    assert left() == ["hits"]
+    assert sorted((r.doc_id, r.n_hit) for r in found.collect()) == [(1, 20), (2, 0)]
+
+
 def test_a_result_belongs_to_the_scope_around(spark, left):
     with Scratch(spark) as outer:
         with Scratch(spark) as inner:

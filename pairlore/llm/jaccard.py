@@ -29,7 +29,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pairlore.llm.common import table
@@ -150,14 +150,17 @@ def _rarity(profiles: DataFrame) -> np.ndarray:
 
 
 def _prefixes(documents: DataFrame, rarity, words: int, percent: int) -> DataFrame:
-    """(shingle, key, n, pos): each set's rarest shingles with their place in the order."""
+    """(shingle, key, n, pos): each set's rarest shingles with their place in the order.
+
+    Copies of a text may give their rows several times.
+    """
     schema = pa.schema([("shingle", pa.int64()), ("key", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
 
     def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = rarity.value
         for batch in batches:
             rows: list[list[np.ndarray]] = [[], [], [], []]
-            for text in batch.column("text").to_pylist():
+            for text in dict.fromkeys(batch.column("text").to_pylist()):  # copies have the same rows
                 grams = shingles(text, words)
                 n = len(grams)
                 if n:
@@ -174,15 +177,14 @@ def _prefixes(documents: DataFrame, rarity, words: int, percent: int) -> DataFra
 
 
 def _shared_prefixes(documents: DataFrame, rarity, words: int, percent: int) -> DataFrame:
-    """Prefix rows whose shingle stands in the prefixes of two sets or more, each once."""
-    with Scratch(documents.sparkSession) as scope:
-        rows = saved(_prefixes(documents, rarity, words, percent), "all-prefixes")
-        shared = saved(
-            rows.groupBy("shingle").agg(F.min("key").alias("least"), F.max("key").alias("most"))
-            .where("least != most").select("shingle"),
-            "shared",
-        )
-        return scope.result(rows.join(shared, "shingle", "left_semi").distinct(), "prefixes")
+    """Prefix rows whose shingle stands in the prefixes of two sets or more, each once.
+
+    All prefix rows are moved once, to their shingles; copies and lone shingles go there.
+    """
+    rows = _prefixes(documents, rarity, words, percent).repartition("shingle").distinct()
+    bucket = Window.partitionBy("shingle")
+    shared = rows.withColumn("shared", F.min("key").over(bucket) != F.max("key").over(bucket)).where("shared")
+    return saved(shared.drop("shared"), "prefixes")
 
 
 def _bits(keys: DataFrame) -> np.ndarray:

@@ -2,6 +2,7 @@
 
 import os
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from llm_helpers import docs, tables  # noqa: F401
@@ -66,3 +67,27 @@ def test_a_block_is_worked_on_in_parts():
     assert [t for p in parts for (t,) in p] == group.column("text").to_pylist()
     assert max(sum(len(t) for (t,) in p) for p in parts) <= ppm.PART + 1024
     assert ppm.PART < ppm.BLOCK_BYTES <= 8 << 20
+
+
+def test_prefix_rows_are_moved_once_and_not_written_before(docs, monkeypatch):
+    written = {}
+    monkeypatch.setattr(jaccard, "saved", lambda df, name: written.setdefault(name, df))
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text), (2, text), (3, text + " end"), (4, "words of no other text here"), (5, None), (6, "")]
+    frame = docs(*rows)
+    rarity = frame.sparkSession.sparkContext.broadcast(np.zeros(jaccard.COUNTERS, dtype=np.int64))
+    found = jaccard._shared_prefixes(frame, rarity, 4, 85)
+    assert list(written) == ["prefixes"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1
+
+    prefixes = {}  # without rarity a prefix is the smallest hashes
+    for _, words in rows:
+        grams = jaccard.shingles(words)
+        size = len(grams) - (85 * len(grams) + 99) // 100 + 1 if len(grams) else 0
+        for pos in range(size):
+            row = (jaccard._key(jaccard.signature(grams)), len(grams), pos)
+            prefixes.setdefault(int(grams.view(np.int64)[pos]), set()).add(row)
+    expected = sorted((s, *r) for s, held in prefixes.items() if len(held) > 1 for r in held)
+    assert expected
+    assert sorted(map(tuple, found.select("shingle", "key", "n", "pos").collect())) == expected

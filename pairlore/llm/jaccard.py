@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pairlore.llm.common import table
+from pairlore.llm.common import distinct, table
 from pairlore.llm.components import components
 from pairlore.sources.scratch import Scratch, saved
 
@@ -64,7 +64,7 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     for k in range(size):
         h = h * _FIRST + each[k : k + len(h)]
     h = (h ^ (h >> np.uint64(31))) * _SECOND
-    return np.unique(h ^ (h >> np.uint64(29)))
+    return distinct(h ^ (h >> np.uint64(29)))
 
 
 def signature(grams: np.ndarray) -> bytes:

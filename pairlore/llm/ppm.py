@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairlore.llm.common import fold, table
+from pairlore.llm.common import distinct, fold, table
 from pairlore.sources.scratch import saved
 
 ORDER = 4
@@ -190,7 +190,7 @@ def score(documents: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYT
     counted = counts(documents, order)
     words = counted.where(F.col("kind") == WORD)
     of_words = words.agg(F.sum("n").alias("n"), F.count("*").alias("distinct")).first()
-    n, distinct = of_words["n"] or 0, of_words["distinct"]
+    n, n_distinct = of_words["n"] or 0, of_words["distinct"]
     lengths = code_lengths(counted.where(F.col("kind") == GRAM).select("key", "n"), order)
     values = saved(
         words.select("kind", "key", F.col("n").cast("double").alias("value")).unionByName(
@@ -198,16 +198,16 @@ def score(documents: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYT
         ),
         "values",
     )
-    per_token = float(np.log10(n + 0.1 * (distinct + 1)))
+    per_token = float(np.log10(n + 0.1 * (n_distinct + 1)))
 
     def needed(group: pa.Table) -> pa.Table:
         own, strings, block = set(), [], group.column("block")[0].as_py()
         for part in _chunks(_slices(group), ("text",), PART):
             found = [tokens(text) for (text,) in part]
-            own.update(w for ws in found for w in ws)
-            strings.append(np.unique(np.concatenate([grams(ws, order) for ws in found])))
+            own.update(*found)
+            strings.append(distinct(np.concatenate([grams(ws, order) for ws in found])))
         own.add(END)
-        keys, strings = word_keys(list(own)), np.unique(np.concatenate(strings))
+        keys, strings = word_keys(list(own)), distinct(np.concatenate(strings))
         kind = np.repeat([WORD, GRAM], [len(keys), len(strings)])
         return _table(NEEDS, np.full(len(kind), block), kind, np.concatenate([keys, strings]))
 
@@ -219,12 +219,7 @@ def score(documents: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYT
             lookup[k] = pd.Index(key[kind == k]), value[kind == k]
         out = []
         for part in _chunks(_slices(group), ("text", "doc_id", "held_out"), PART):
-            for text, doc_id, held_out in part:
-                own = tokens(text)
-                count = _looked_up(lookup[WORD], word_keys([*own, END]))
-                base = float(np.log10(count + 0.1).sum() - len(count) * per_token)
-                cost = _looked_up(lookup[GRAM], grams(own, order)).sum()
-                out.append((doc_id, held_out, len(count), int((count > 0).sum()), base, float(cost)))
+            out += _scored(part, lookup, per_token, order)
         return _table(SCORES, *zip(*out, strict=True))
 
     # All columns, though only the text is read: so both uses of the rows share one exchange.
@@ -239,6 +234,22 @@ def score(documents: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYT
     )
 
 
+def _scored(rows: list[tuple], lookup: dict, per_token: float, order: int) -> list[tuple]:
+    """Rows of SCORES for rows (text, doc_id, held_out), whose values are looked up together."""
+    own = [tokens(text) for text, _, _ in rows]
+    strings = [grams(words, order) for words in own]
+    count = _looked_up(lookup[WORD], word_keys([w for words in own for w in (*words, END)]))
+    logs, cost = np.log10(count + 0.1), _looked_up(lookup[GRAM], np.concatenate(strings))
+    word, string, out = 0, 0, []
+    for (_, doc_id, held_out), words, of_text in zip(rows, own, strings, strict=True):
+        at = slice(word, word + len(words) + 1)
+        base = float(logs[at].sum() - (len(words) + 1) * per_token)
+        score = float(cost[string : string + len(of_text)].sum())
+        out.append((doc_id, held_out, len(words) + 1, int((count[at] > 0).sum()), base, score))
+        word, string = at.stop, string + len(of_text)
+    return out
+
+
 def _looked_up(pairs: tuple[pd.Index, np.ndarray], keys: np.ndarray) -> np.ndarray:
     """Values of the keys, 0 where there is none."""
     known, values = pairs

@@ -3,11 +3,13 @@
 import os
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from llm_helpers import docs, tables  # noqa: F401
 
 from pairlore.llm import jaccard, ppm, winnowing
+from pairlore.llm.common import distinct
 from pairlore.sources.scratch import Scratch, saved, shared_folder
 
 
@@ -91,3 +93,33 @@ def test_prefix_rows_are_moved_once_and_not_written_before(docs, monkeypatch):
     expected = sorted((s, *r) for s, held in prefixes.items() if len(held) > 1 for r in held)
     assert expected
     assert sorted(map(tuple, found.select("shingle", "key", "n", "pos").collect())) == expected
+
+
+def test_values_of_a_part_are_looked_up_together(monkeypatch):
+    texts = ["a b b", None, "", "c a  unknown", "b"]
+    words = [b"a", b"b", b"c", ppm.END]
+    strings = distinct(np.concatenate([ppm.grams(ppm.tokens(t)) for t in texts[:4]]))
+    lookup = {
+        ppm.WORD: (pd.Index(ppm.word_keys(words)), np.array([2.0, 3.0, 0.0, 5.0])),
+        ppm.GRAM: (pd.Index(strings), -np.linspace(0.1, 2, len(strings))),
+    }
+    value = lambda kind, key: dict(zip(*lookup[kind], strict=True)).get(key, 0.0)
+    expected = []
+    for i, text in enumerate(texts):
+        counts = [value(ppm.WORD, k) for k in ppm.word_keys([*ppm.tokens(text), ppm.END])]
+        base = sum(np.log10(c + 0.1) for c in counts) - 0.5 * len(counts)
+        cost = sum(value(ppm.GRAM, k) for k in ppm.grams(ppm.tokens(text)))
+        expected.append((i, i % 2 == 0, len(counts), sum(c > 0 for c in counts), base, cost))
+    calls, looked_up = [], ppm._looked_up
+    monkeypatch.setattr(ppm, "_looked_up", lambda *args: calls.append(1) or looked_up(*args))
+    found = ppm._scored([(t, i, i % 2 == 0) for i, t in enumerate(texts)], lookup, 0.5, ppm.ORDER)
+    assert len(calls) == 2  # two per text before
+    assert [row[:4] for row in found] == [row[:4] for row in expected]
+    np.testing.assert_allclose([row[4:] for row in found], [row[4:] for row in expected], rtol=1e-12)
+
+
+@pytest.mark.parametrize("values", [[], [7], [3, -1, 3, 2, -1], [2**63 - 1, -(2**63), 0, 0]])
+def test_distinct_numbers(values):
+    for kind in (np.int64, np.uint64):
+        numbers = np.array(values, dtype=np.int64).astype(kind)
+        np.testing.assert_array_equal(distinct(numbers), np.unique(numbers))

@@ -201,7 +201,10 @@ def _bits(keys: DataFrame) -> np.ndarray:
 
 
 def _sets(documents: DataFrame, classes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(sig, grams) of the sets in ``wanted`` (sig), each read at one of its documents."""
+    """(sig, grams) of the sets in ``wanted`` (sig), each read at one of its documents.
+
+    Not written: they end behind an exchange on ``sig``, which both sides of a join of pairs share.
+    """
     wanted = saved(wanted.distinct(), "wanted")
     place = F.xxhash64("doc_id", "digest")
     at = classes.join(wanted, "sig", "left_semi").select("at.doc_id", "at.digest").select(place.alias("place"))
@@ -218,7 +221,7 @@ def _sets(documents: DataFrame, classes: DataFrame, wanted: DataFrame, words: in
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], schema=schema)
 
     found = documents.select("text", place.alias("place")).mapInArrow(read, "sig binary, grams binary")
-    return saved(found.join(wanted, "sig", "left_semi").dropDuplicates(["sig"]), "sets")
+    return found.join(wanted, "sig", "left_semi").dropDuplicates(["sig"])
 
 
 def _may_be_similar(percent: int) -> Column:

@@ -123,3 +123,13 @@ def test_distinct_numbers(values):
     for kind in (np.int64, np.uint64):
         numbers = np.array(values, dtype=np.int64).astype(kind)
         np.testing.assert_array_equal(distinct(numbers), np.unique(numbers))
+
+
+def test_the_sets_of_candidates_are_not_written(docs, monkeypatch):
+    names, written = [], jaccard.saved
+    monkeypatch.setattr(jaccard, "saved", lambda df, name="table": names.append(name) or written(df, name))
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*words[:59], f"x{i}"])) for i in range(1, 5)]
+    found = jaccard.near_groups(docs(*rows, (9, "other words only here")))
+    assert "pairs" in names and "sets" not in names
+    assert sorted((r.doc_id, r.component_id) for r in found.collect()) == [(i, 1) for i in range(1, 5)] + [(9, 9)]

@@ -274,7 +274,7 @@ def q_count_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_ordered_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals, counts, scores and sums of the documents as one listing in fact order."""
     # joined once: four facts are taken from it, and the listing's ranges need a pass of their own
-    table = saved(contingency(pair_counts(doc_bigrams(spark, sf_dir))), "contingency")
+    table = saved(contingency(pair_counts(doc_bigrams(spark, sf_dir)), sort=True), "contingency")
     facts = union_facts(
         as_facts(decade_totals(table), "N", "n"),
         count_facts(table),

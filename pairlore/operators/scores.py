@@ -50,7 +50,7 @@ def _broadcasts(spark: SparkSession) -> bool:
     return not spark.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-")
 
 
-def contingency(pairs: DataFrame, decade_join: str = "auto") -> DataFrame:
+def contingency(pairs: DataFrame, decade_join: str = "auto", sort: bool = False) -> DataFrame:
     """``(decade, w1, w2, c12)`` plus the marginals ``c1``, ``c2`` and the total ``n``.
 
     Pairs are moved to their first words and then to their second words, and each count is a
@@ -64,9 +64,13 @@ def contingency(pairs: DataFrame, decade_join: str = "auto") -> DataFrame:
     when both join inputs end in an exchange.  An aggregate already sits on the join keys
     and gets none, so ``_movable`` gives it one; that moves one row per word and decade.
     The total rides on the first-word counts, so pairs are never joined on the decade alone.
+
+    ``sort`` asks for rows that lie by (w1, decade, w2) within a partition, which a listing by
+    words then merges instead of sorting them; totals beside the rows come so for a key more in
+    their sort, joined ones come in any order.
     """
     if decade_join == "auto" and _broadcasts(pairs.sparkSession):
-        return _counted_beside(pairs)
+        return _counted_beside(pairs, sort)
     c1 = first_word_counts(pairs)
     c2 = second_word_counts(pairs)
     # Every pair is counted once under its first word, so the totals need no pass of their
@@ -80,16 +84,20 @@ def _movable(marginals: DataFrame, word: str) -> DataFrame:
     return marginals.repartition(F.xxhash64("decade", word))
 
 
-def _counted_beside(pairs: DataFrame) -> DataFrame:
+def _counted_beside(pairs: DataFrame, sort: bool = False) -> DataFrame:
     """``contingency`` by totals over the pairs of a word, which need one sort per word and
     neither a second pass over the shuffled pairs nor a join."""
     for key in PAIR_KEYS:  # as in a join, a pair without a key has no counts
         pairs = pairs.where(F.col(key).isNotNull())
-    by_first = pairs.repartition("w1", "decade")
-    n = _counted(by_first, "n", "decade")
-    first, second = (Window.partitionBy(w, "decade") for w in ("w1", "w2"))
-    with_c1 = by_first.withColumn("c1", F.sum("c12").over(first)).repartition("w2", "decade")
-    table = with_c1.withColumn("c2", F.sum("c12").over(second))
+    early, late = ("w2", "w1") if sort else ("w1", "w2")
+    count = {"w1": "c1", "w2": "c2"}
+    moved = pairs.repartition(early, "decade")
+    n = _counted(moved, "n", "decade")
+    total = {w: F.sum("c12").over(Window.partitionBy(w, "decade")) for w in count}
+    table = moved.withColumn(count[early], total[early]).repartition(late, "decade")
+    if sort:  # the one sort that the total needs, with a key more
+        table = table.sortWithinPartitions(late, "decade", early)
+    table = table.withColumn(count[late], total[late])
     # every decade has its total; said as an outer join, it is not worked out where nobody asks for n
     return table.join(F.broadcast(n), "decade", "left").select(*PAIR_KEYS, "c12", "c1", "c2", "n")
 
@@ -234,6 +242,9 @@ FACT_CLASSES = {"N": 0, "Cw1w2": 1, "Cw1": 1, "Cw2": 1, "Npmi": 2, "SumNpmis": 2
 FACT_TAGS = ("N", "Cw1w2", "Cw1", "Cw2", "Npmi", "SumNpmis", "NpmiWithVal")
 
 
+_PLACE = "_place of the tag"
+
+
 def in_fact_order(facts: DataFrame) -> DataFrame:
     """Mixed facts ``(decade, w1, w2, tag, value)`` in one total order.
 
@@ -242,14 +253,23 @@ def in_fact_order(facts: DataFrame) -> DataFrame:
     together by (w1, w2) likewise, then ``NpmiWithVal`` by value descending.  Ties go by tag
     in the order above, then by value descending; unknown tags come last.  The key is made
     of columns only, so the sort is one range-partitioned exchange.
+
+    A known tag travels as its place (class and rank in one whole number), worked out once: the
+    sort would work out an expression again for each comparison.  Facts that differ in tag or
+    value only share a class and lie in one range, so the ranges need neither.
     """
-    classes = F.create_map(*[x for t, c in FACT_CLASSES.items() for x in (F.lit(t), F.lit(c))])
-    ranks = F.create_map(*[x for i, t in enumerate(FACT_TAGS) for x in (F.lit(t), F.lit(i))])
-    group = F.coalesce(classes[F.col("tag")], F.lit(len(FACT_TAGS)))
+    places = {t: FACT_CLASSES[t] << 3 | i for i, t in enumerate(FACT_TAGS)}
+    place = F.create_map(*[F.lit(x) for known in places.items() for x in known])[F.col("tag")]
+    tag = F.create_map(*[F.lit(x) for t, at in places.items() for x in (at, t)])[F.col(_PLACE)]
+    placed = facts.withColumns({
+        _PLACE: F.coalesce(place, F.lit(len(FACT_TAGS) << 3)), "tag": F.when(place.isNull(), F.col("tag"))
+    })
+    group = F.shiftright(_PLACE, 3)
     by_value = F.when(group == FACT_CLASSES["NpmiWithVal"], F.col("value"))
-    return facts.orderBy(
+    key = [
         F.asc_nulls_last("decade"), group, F.desc_nulls_last(by_value),
         F.asc_nulls_first("w1"), F.asc_nulls_first("w2"),
-        F.coalesce(ranks[F.col("tag")], F.lit(len(FACT_TAGS))), F.asc_nulls_last("tag"),
-        F.desc_nulls_last("value"),
-    )
+    ]
+    ties = F.col(_PLACE), F.asc_nulls_last("tag"), F.desc_nulls_last("value")
+    listed = placed.repartitionByRange(*key).orderBy(*key, *ties)
+    return listed.withColumn("tag", F.coalesce(tag, F.col("tag"))).select(*facts.columns)

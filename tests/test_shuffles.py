@@ -6,7 +6,9 @@ import __spark_entry__ as entry
 from conftest import GOLDEN, rows
 from pyspark.sql import functions as F
 
-from pairlore import collocations, contingency, integrity_audit, ngrams_from_text, pair_counts, read_ngrams, write_sequence_file
+from pairlore import (
+    collocations, contingency, in_fact_order, integrity_audit, ngrams_from_text, pair_counts, read_ngrams, write_sequence_file,
+)
 from pairlore.operators.scores import contingency_in_place
 
 
@@ -75,3 +77,34 @@ def test_sequence_files_are_compressed_blocks(spark, tmp_path):
 def test_ordered_facts_join_once(spark):
     plan = entry.queries()["ordered_facts"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan()
     assert "Join" not in plan.toString() and "contingency" in plan.toString()
+
+
+def test_a_sorted_table_needs_no_sort_of_its_own(ngrams, spark):
+    """A sort per word, as without the order; the rows of a partition lie by first word."""
+    data = [(f"{a} {b}", 1 + (i * j) % 5, year) for i, a in enumerate(("rain", "snow", "hail", "cold"))
+            for j, b in enumerate(("deer", "fall", "storm")) for year in (1994, 1961, 1967)]
+    pairs = pair_counts(ngrams(*data))
+    table = contingency(pairs, sort=True)
+    assert sorted(rows(table)) == sorted(rows(contingency(pairs))) == sorted(rows(contingency(pairs, "shuffle", sort=True)))
+    plan = table._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(re.findall(r"[:+]- (?:\* )?\*?(?:\(\d+\) )?Sort \[", plan)) == 2, plan
+    parts = [[(r.w1, r.decade, r.w2) for r in part] for part in table.rdd.glom().collect()]
+    assert all(part == sorted(part) for part in parts) and max(map(len, parts)) > 2
+
+
+def test_facts_are_sorted_by_columns(spark):
+    """Neither the exchange nor the sort looks a tag up; facts of one pair share a range."""
+    facts = [(1990, "ab", "cd", t, float(v)) for t in ("Cw2", "Npmi", "Odd", "Cw1", None) for v in (1, 3, 2)]
+    facts += [(None, "ab", "cd", "N", None), (40000, None, None, "N", 1.0), (-40000, "", "x", "NpmiWithVal", 0.5)]
+    listed = in_fact_order(spark.createDataFrame(facts, "decade bigint, w1 string, w2 string, tag string, value double"))
+    moved = exchanges(listed)
+    plan = listed._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    sorts = [line for line in plan.split("\n") if "Sort [" in line]
+    assert len(moved) == 1 and "rangepartitioning" in moved[0] and "value" not in moved[0].split("w1")[1], moved
+    assert len(sorts) == 1 and "map(" not in sorts[0] + moved[0], sorts
+    assert listed.columns == ["decade", "w1", "w2", "tag", "value"]
+    got = [(r.decade, r.tag, r.value) for r in listed.collect()]
+    assert got[0] == (-40000, "NpmiWithVal", 0.5) and got[-2:] == [(40000, "N", 1.0), (None, "N", None)]
+    assert [g[1:] for g in got[1:-2]] == [
+        (t, v) for t in ("Cw1", "Cw2", "Npmi", "Odd", None) for v in (3.0, 2.0, 1.0)
+    ]

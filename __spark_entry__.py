@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairlore import (
@@ -50,7 +50,7 @@ from pairlore import (
     write_text,
 )
 from pairlore.functions.words import has_digit, is_short
-from pairlore.operators.counts import PAIR_KEYS
+from pairlore.operators.counts import PAIR_KEYS, word_keys
 from pairlore.sources.facts import as_facts
 from pairlore.sources.scratch import saved, shared_folder
 
@@ -69,9 +69,9 @@ def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return _table(spark, sf_dir, "documents").select("doc_id", "text", *columns)
 
 
-def doc_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+def doc_ngrams(spark: SparkSession, sf_dir: str, *together: Column) -> DataFrame:
     year = 1950 + F.col("doc_id") % 60
-    return ngrams_from_text(_documents(spark, sf_dir), "text", year, "doc_id")
+    return ngrams_from_text(_documents(spark, sf_dir), "text", year, "doc_id", together)
 
 
 def doc_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +124,8 @@ def q_collocations_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_collocations_lazy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(collocations(doc_ngrams(spark, sf_dir), *DOC_THRESHOLDS), "npmi")
+    """The job on counted n-grams, which lie by first word and decade, as it counts them first."""
+    return _rounded(collocations(doc_ngrams(spark, sf_dir, *word_keys()), *DOC_THRESHOLDS), "npmi")
 
 
 def q_collocations_parts(spark: SparkSession, sf_dir: str) -> DataFrame:

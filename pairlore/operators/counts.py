@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairlore.functions.measures import decade_of
@@ -14,6 +14,20 @@ from pairlore.functions.words import bigram_rejections, needs_join, without_list
 PAIR_KEYS = ["decade", "w1", "w2"]
 
 
+def _outer_words(ngram: str) -> tuple[Column, Column, Column]:
+    """The text without trailing spaces, and what lies before its first and after its last space."""
+    text = F.rtrim(ngram)
+    return text, F.substring_index(text, " ", 1), F.substring_index(text, " ", -1)
+
+
+def word_keys(ngram: str = "ngram", year: str = "year") -> tuple[Column, Column]:
+    """First word and decade, as ``two_word_ngrams`` takes them from an n-gram and its year.
+
+    Its filter leaves no NULL; saying so spares a null test that splits the text again.
+    """
+    return F.coalesce(_outer_words(ngram)[1], F.lit("")), decade_of(year)
+
+
 def two_word_ngrams(ngrams: DataFrame) -> DataFrame:
     """``(ngram, year, match_count)`` to ``(ngram, decade, w1, w2, match_count)``.
 
@@ -22,16 +36,14 @@ def two_word_ngrams(ngrams: DataFrame) -> DataFrame:
     the text before the first space, that space and the text after the last space make up
     the whole text, which needs neither a regex nor an array.
     """
-    text = F.rtrim("ngram")
-    first = F.substring_index(text, " ", 1)
-    last = F.substring_index(text, " ", -1)
+    text, first, last = _outer_words("ngram")
+    w1, decade = word_keys()
     return ngrams.where(
         F.octet_length(first) + F.octet_length(last) + 1 == F.octet_length(text)
     ).select(
         "ngram",
-        decade_of("year").alias("decade"),
-        # The filter leaves no NULL; saying so spares a null test that splits the text again.
-        F.coalesce(first, F.lit("")).alias("w1"),
+        decade.alias("decade"),
+        w1.alias("w1"),
         F.coalesce(last, F.lit("")).alias("w2"),
         F.col("match_count").cast("bigint").alias("match_count"),
     )

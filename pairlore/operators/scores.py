@@ -109,10 +109,15 @@ def contingency_in_place(pairs: DataFrame) -> DataFrame:
     word.  A word's pairs (each once, however often it occurs) are in one task, in a sort that
     spills; ``contingency`` splits the joins of a word that dominates, for twice the shuffle.
     """
-    by_first = pairs.repartition("w1", "decade")
-    n = _counted(by_first, "n", "decade")
-    with_c1 = _with_count(by_first, "w1", "c1")
-    table = attach_per_decade(_with_count(with_c1.repartition("w2", "decade"), "w2", "c2"), n, "n")
+    for key in PAIR_KEYS:  # as in a join, a pair without a key has no counts
+        pairs = pairs.where(F.col(key).isNotNull())
+    # A total beside the rows: pairs that lie by first word already are counted behind their
+    # exchange, and a join would count them once more.
+    first = Window.partitionBy("w1", "decade")
+    with_c1 = pairs.repartition("w1", "decade").withColumn("c1", F.sum("c12").over(first))
+    by_second = with_c1.repartition("w2", "decade")
+    n = _counted(by_second, "n", "decade")
+    table = attach_per_decade(_with_count(by_second, "w2", "c2"), n, "n")
     # Tests of c12 and c1 must not move into some uses of the shuffles below, which would then
     # not be shared: each value names c2, which is known above them only.
     late = (F.when(F.col("c2").isNotNull(), F.col(c)).alias(c) for c in ("c12", "c1"))

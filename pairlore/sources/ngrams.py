@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -178,7 +180,7 @@ def bigrams_of_text(texts: DataFrame, text: str, year: Column, *keep: str) -> Da
 
 
 def ngrams_from_text(
-    texts: DataFrame, text: str, year: Column, document: str
+    texts: DataFrame, text: str, year: Column, document: str, together: Sequence[Column] = ()
 ) -> DataFrame:
     """Yearly bigram table of a table of texts, in the full n-gram schema.
 
@@ -186,15 +188,46 @@ def ngrams_from_text(
     are then counted where they are made, and only counts by year and n-gram are shuffled.
     Counting distinct documents per n-gram would shuffle every pair with its document as well.
     Documents without an id count for no volume, so their texts may lie anywhere.
+
+    ``together`` are values of ``year`` and ``ngram``: the counts are then shuffled by these
+    alone, and the rows of equal values lie in one partition.  Spark knows it, so that a later
+    step that needs them together (``word_keys``) does not shuffle again.
     """
     spread = F.when(F.col(document).isNull(), F.xxhash64(text))
     located = texts.select(
         F.col(document).alias("document"), spread.alias("spread"), year.alias("year"), F.col(text).alias("text")
-    ).repartition("document", "spread")
+    )
+    counts = F.sum("match_count").alias("match_count")
+    if not together:
+        return (
+            _counts_by_document(located.repartition("document", "spread"))
+            .groupBy("year", "ngram")
+            .agg(counts, F.count("document").alias("volume_count"))
+        )
+    # Counts are added up by share of the documents before they move, as Spark would do for a
+    # shuffle of its own: a frequent n-gram is a row per year and share, not per document.
+    shares = _SHARES * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = F.pmod(F.xxhash64("document", "spread"), F.lit(shares)).alias("share")
+    moved = (
+        _counts_by_document(located.select("*", share).repartition("share"), "share")
+        .groupBy("year", "ngram", "share")
+        .agg(counts, F.count("document").alias("volume_count"))
+        .repartition(*together)
+    )
+    keys = [key.alias(f"key{i}") for i, key in enumerate(together)]
+    return (
+        moved.groupBy("year", "ngram", *keys)
+        .agg(counts, F.sum("volume_count").alias("volume_count"))
+        .select("year", "ngram", "match_count", "volume_count")
+    )
+
+
+_SHARES = 8  # of the documents for each partition of a shuffle
+
+
+def _counts_by_document(located: DataFrame, *keep: str) -> DataFrame:
     return (
-        bigrams_of_text(located, "text", F.col("year"), "document", "spread")
-        .groupBy("year", F.concat_ws(" ", "w1", "w2").alias("ngram"), "document", "spread")
+        bigrams_of_text(located, "text", F.col("year"), "document", "spread", *keep)
+        .groupBy("year", F.concat_ws(" ", "w1", "w2").alias("ngram"), "document", "spread", *keep)
         .agg(F.sum("match_count").alias("match_count"))
-        .groupBy("year", "ngram")
-        .agg(F.sum("match_count").alias("match_count"), F.count("document").alias("volume_count"))
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pairlore import (
     collocations, contingency, in_fact_order, integrity_audit, ngrams_from_text, pair_counts, read_ngrams, write_sequence_file,
 )
+from pairlore.operators.counts import word_keys
 from pairlore.operators.scores import contingency_in_place
 
 
@@ -108,3 +109,36 @@ def test_facts_are_sorted_by_columns(spark):
     assert [g[1:] for g in got[1:-2]] == [
         (t, v) for t in ("Cw1", "Cw2", "Npmi", "Odd", None) for v in (3.0, 2.0, 1.0)
     ]
+
+
+def test_ngrams_lie_by_first_word_for_the_job(spark):
+    """Counts laid out by first word and decade are not shuffled again to count pairs and first words."""
+    texts = spark.createDataFrame(
+        [(1, 1951, "rain deer rain deer"), (1, 1951, "rain deer"), (2, 1952, "rain deer snow fall"), (2, 1952, None),
+         (None, 1951, "rain deer hail"), (None, 1951, "rain deer hail"), (3, 1961, "snow fall x rain  fall"), (4, 1962, "")],
+        "id bigint, y bigint, body string",
+    )
+    plain, laid = (ngrams_from_text(texts, "body", F.col("y"), "id", keys) for keys in ((), word_keys()))
+    assert laid.dtypes == plain.dtypes
+    assert sorted(rows(laid)) == sorted(rows(plain)) and (1951, "rain deer", 5, 1) in rows(laid)
+    found = collocations(laid, 0.1, 0.2)
+    moved = exchanges(found)
+    # texts, counts, pairs by second word, totals, its counts, scores, sums
+    assert not any(re.search(r"hashpartitioning\(decade#\d+L?, w1#\d+, w2", e) for e in moved), moved
+    assert sum("REPARTITION_BY_COL" in e for e in moved) == 4, moved
+    assert rows(found) == rows(collocations(plain, 0.1, 0.2)) != []
+
+
+def test_lazy_collocations_shuffle_pairs_three_times(spark):
+    moved = exchanges(entry.queries()["collocations_lazy"](spark, "/root/testdata/sf0.001"))
+    wide = [e for e in moved if "REPARTITION_BY_COL" in e]
+    assert len(wide) == 4 and "share" in wide[-1] and "substring_index" in wide[-2], wide
+    assert not any("ENSURE" in e and "w1" in e for e in moved), moved
+
+
+def test_counts_in_place_leave_out_pairs_without_a_key(spark):
+    pairs = spark.createDataFrame(
+        [(1950, "aa", "bb", 4), (1950, None, "bb", 3), (None, "aa", "bb", 2), (1950, "aa", None, 1)],
+        "decade bigint, w1 string, w2 string, c12 bigint",
+    )
+    assert rows(contingency_in_place(pairs)) == rows(contingency(pairs)) == [(1950, "aa", "bb", 4, 4, 4, 4)]

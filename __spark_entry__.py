@@ -125,7 +125,8 @@ def q_collocations_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_collocations_lazy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job on counted n-grams, which lie by first word and decade, as it counts them first."""
-    return _rounded(collocations(doc_ngrams(spark, sf_dir, *word_keys()), *DOC_THRESHOLDS), "npmi")
+    ngrams = doc_ngrams(spark, sf_dir, *word_keys())
+    return _rounded(collocations(ngrams, *DOC_THRESHOLDS, laid_out=True), "npmi")
 
 
 def q_collocations_parts(spark: SparkSession, sf_dir: str) -> DataFrame:

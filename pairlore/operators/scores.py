@@ -102,21 +102,27 @@ def _counted_beside(pairs: DataFrame, sort: bool = False) -> DataFrame:
     return table.join(F.broadcast(n), "decade", "left").select(*PAIR_KEYS, "c12", "c1", "c2", "n")
 
 
-def contingency_in_place(pairs: DataFrame) -> DataFrame:
+def contingency_in_place(pairs: DataFrame, laid_out: bool = False) -> DataFrame:
     """The rows of ``contingency`` with each pair shuffled once per word and nothing beside it.
 
     Pairs are brought together by first word, counted and joined there, then likewise by second
     word.  A word's pairs (each once, however often it occurs) are in one task, in a sort that
     spills; ``contingency`` splits the joins of a word that dominates, for twice the shuffle.
+
+    ``laid_out`` says that pairs lie by first word and decade already, so that they are counted
+    without a shuffle between: a join would count them twice, so ``c1`` is a total beside them.
     """
-    for key in PAIR_KEYS:  # as in a join, a pair without a key has no counts
-        pairs = pairs.where(F.col(key).isNotNull())
-    # A total beside the rows: pairs that lie by first word already are counted behind their
-    # exchange, and a join would count them once more.
-    first = Window.partitionBy("w1", "decade")
-    with_c1 = pairs.repartition("w1", "decade").withColumn("c1", F.sum("c12").over(first))
-    by_second = with_c1.repartition("w2", "decade")
-    n = _counted(by_second, "n", "decade")
+    if laid_out:
+        for key in PAIR_KEYS:  # as in a join, a pair without a key has no counts
+            pairs = pairs.where(F.col(key).isNotNull())
+        first = Window.partitionBy("w1", "decade")
+        with_c1 = pairs.repartition("w1", "decade").withColumn("c1", F.sum("c12").over(first))
+        by_second = with_c1.repartition("w2", "decade")
+        n = _counted(by_second, "n", "decade")
+    else:
+        by_first = pairs.repartition("w1", "decade")
+        n = _counted(by_first, "n", "decade")
+        by_second = _with_count(by_first, "w1", "c1").repartition("w2", "decade")
     table = attach_per_decade(_with_count(by_second, "w2", "c2"), n, "n")
     # Tests of c12 and c1 must not move into some uses of the shuffles below, which would then
     # not be shared: each value names c2, which is known above them only.

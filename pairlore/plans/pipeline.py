@@ -47,6 +47,7 @@ def collocations(
     sum_scope: str = "positive",
     include_perfect: bool = False,
     decade_join: str = "auto",
+    laid_out: bool = False,
 ) -> DataFrame:
     """Ordered word pairs that pass either threshold, best first within each decade.
 
@@ -56,13 +57,15 @@ def collocations(
     with perfect pairs it holds every scored pair with flags that each use filters on.  For a large
     corpus prefer ``collocations_from(write_stages(...), ...)``, which keeps every step.
     ``decade_join="shuffle"`` takes the joins that split a hot word or decade (``contingency``).
+    ``laid_out`` suits n-grams whose rows lie by ``word_keys`` (``contingency_in_place``); the
+    result is the same for any.
     """
     check_threshold("min_npmi", min_npmi)
     check_threshold("rel_min_npmi", rel_min_npmi)
     # Zero components score nothing; filtering them before the table forks keeps the two
     # branches alike, so that they share the shuffles below the joins.
     pairs = pair_counts(ngrams, stop_words, stopword_mode)
-    table = contingency_in_place(pairs) if decade_join == "auto" else contingency(pairs, decade_join)
+    table = contingency_in_place(pairs, laid_out) if decade_join == "auto" else contingency(pairs, decade_join)
     table = table.where(has_all_components())
     if sum_scope == "positive" and not include_perfect:
         scores = npmi_scores(table).select(*PAIR_KEYS, "npmi")

@@ -121,12 +121,12 @@ def test_ngrams_lie_by_first_word_for_the_job(spark):
     plain, laid = (ngrams_from_text(texts, "body", F.col("y"), "id", keys) for keys in ((), word_keys()))
     assert laid.dtypes == plain.dtypes
     assert sorted(rows(laid)) == sorted(rows(plain)) and (1951, "rain deer", 5, 1) in rows(laid)
-    found = collocations(laid, 0.1, 0.2)
-    moved = exchanges(found)
-    # texts, counts, pairs by second word, totals, its counts, scores, sums
+    found = collocations(laid, 0.1, 0.2, laid_out=True)
+    moved = exchanges(found)  # of rows: texts, counts, pairs by second word, scores
     assert not any(re.search(r"hashpartitioning\(decade#\d+L?, w1#\d+, w2", e) for e in moved), moved
     assert sum("REPARTITION_BY_COL" in e for e in moved) == 4, moved
-    assert rows(found) == rows(collocations(plain, 0.1, 0.2)) != []
+    for other in (collocations(plain, 0.1, 0.2), collocations(plain, 0.1, 0.2, laid_out=True), collocations(laid, 0.1, 0.2)):
+        assert rows(found) == rows(other) != []
 
 
 def test_lazy_collocations_shuffle_pairs_three_times(spark):
@@ -141,4 +141,4 @@ def test_counts_in_place_leave_out_pairs_without_a_key(spark):
         [(1950, "aa", "bb", 4), (1950, None, "bb", 3), (None, "aa", "bb", 2), (1950, "aa", None, 1)],
         "decade bigint, w1 string, w2 string, c12 bigint",
     )
-    assert rows(contingency_in_place(pairs)) == rows(contingency(pairs)) == [(1950, "aa", "bb", 4, 4, 4, 4)]
+    assert rows(contingency_in_place(pairs, laid_out=True)) == rows(contingency(pairs)) == [(1950, "aa", "bb", 4, 4, 4, 4)]
